@@ -116,8 +116,8 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     by_lang = wide.where(F.col("source").isNull() & F.col("lang").isNotNull() & (F.col("n") >= LEAST_GROUP))
     whole = wide.where(F.col("lang").isNull())
     renamed = lambda df, mark, by: df.select(*by, *[F.col(f"fence_{m}").alias(f"{mark}_{m}") for m in metrics])
-    # the last table has one row; the first two one for each group
-    joined = rows.join(renamed(own, "own", ["lang", "source"]), ["lang", "source"], "left").join(renamed(by_lang, "lang", ["lang"]), "lang", "left").join(F.broadcast(renamed(whole, "all", [])), F.lit(True), "left")
+    level = renamed(whole.withColumn("_one", F.lit(1)), "all", ["_one"])  # one row
+    joined = rows.withColumn("_one", F.lit(1)).join(renamed(own, "own", ["lang", "source"]), ["lang", "source"], "left").join(renamed(by_lang, "lang", ["lang"]), "lang", "left").join(F.broadcast(level), "_one", "left")
     within = F.lit(True)
     for m in metrics:
         within = within & F.coalesce(F.col(m) <= F.coalesce(f"own_{m}", f"lang_{m}", f"all_{m}"), F.lit(True))

@@ -27,6 +27,25 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.ngrams import score_texts
+
+    docs = _read(spark, sf_dir, "documents")
+    return score_texts(docs.select("doc_id", "text", (_remainder(7) != 2).alias("train")))
+
+
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.minhash import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"), 75)
+
+
+def op6_int8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.embeddings import near_vectors
+
+    return near_vectors(_read(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from txspark.llm.sharding import shard_documents
 
@@ -55,5 +74,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op3_ngram_scores, op4_minhash, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
