@@ -40,6 +40,12 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), 75)
 
 
+def op5_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.substrings import remove_repeats
+
+    return remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op6_int8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from txspark.llm.embeddings import near_vectors
 
@@ -74,5 +80,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_ngram_scores, op4_minhash, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
