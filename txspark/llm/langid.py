@@ -20,9 +20,9 @@ FAMILIES = {
 }
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 #: Features: hashed n-grams of 1 to 3 bytes of the lower-cased text.
-BUCKETS = 1 << 13
+BUCKETS = 1 << 12
 #: The fit reads at most this many labelled rows of a language: those with the smallest hashes of doc_id.
-ROWS_PER_LANGUAGE = 1500
+ROWS_PER_LANGUAGE = 600
 UNKNOWN = "und"
 
 
@@ -31,7 +31,7 @@ def _grams(data: np.ndarray) -> np.ndarray:
     x = data.astype(np.uint32)
     two = (np.concatenate(([np.uint32(32)], x[:-1])) << np.uint32(8)) | x
     three = (np.concatenate(([np.uint32(32)], two[:-1])) << np.uint32(8) & np.uint32(0xFFFFFF)) | x
-    hashed = [(g * np.uint32(0x9E3779B1) + np.uint32(k * 0x85EBCA77 & 0xFFFFFFFF)) >> np.uint32(19) for k, g in enumerate((x, two, three))]
+    hashed = [(g * np.uint32(0x9E3779B1) + np.uint32(k * 0x85EBCA77 & 0xFFFFFFFF)) >> np.uint32(20) for k, g in enumerate((x, two, three))]
     return np.stack(hashed).astype(np.intp)
 
 
@@ -45,20 +45,26 @@ def features(text: str) -> np.ndarray:
     return np.bincount(grams.ravel(), minlength=BUCKETS) / max(grams.shape[1], 1)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 1e-3) -> np.ndarray:
+def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 80, ridge: float = 1e-3) -> np.ndarray:
     """Weights and bias of a linear support vector machine with squared hinge loss, by accelerated gradient steps; y is -1 or 1.
 
     Classes weigh the same whatever their sizes. The steps have no random part.
     """
-    x1 = np.hstack([x, np.ones((len(x), 1))])
+    x1 = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    top = (share[:, None] * x1**2).sum() if len(x1) < 2 else np.linalg.norm(x1 * np.sqrt(share)[:, None], 2) ** 2
-    rate = 1 / (2 * top + ridge)
-    w = v = np.zeros(x1.shape[1])
+    share, y = share.astype(x1.dtype), y.astype(x1.dtype)
+    direction = np.ones(x1.shape[1], x1.dtype)
+    for _ in range(20):  # power steps to the largest curvature
+        direction = x1.T @ (share * (x1 @ direction))
+        top = np.linalg.norm(direction)
+        direction /= max(top, 1e-12)
+    rate = x1.dtype.type(1 / (2.2 * top + ridge))
+    ridge = x1.dtype.type(ridge)
+    w = v = np.zeros(x1.shape[1], x1.dtype)
     for t in range(rounds):
         slack = np.maximum(0, 1 - y * (x1 @ v))
         after = v - rate * (ridge * v - 2 * x1.T @ (share * slack * y))
-        v = after + t / (t + 3) * (after - w)
+        v = after + x1.dtype.type(t / (t + 3)) * (after - w)
         w = after
     return w
 
@@ -70,8 +76,11 @@ class Model:
         self.languages = sorted(set(langs))
         family = np.array([FAMILY.get(lang, lang) for lang in langs], dtype=object)
         self.groups = {f: sorted(set(langs[family == f])) for f in sorted(set(family))}
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-4
-        z = (x - self.mean) / self.scale / np.sqrt(x.shape[1])
+        if not len(x):
+            self.pairs, self.weights, self.bias = [], np.zeros((x.shape[1], 0)), np.zeros(0)
+            return
+        mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-4
+        z = (x - mean) / scale / np.float32(np.sqrt(x.shape[1]))
         self.pairs, columns = [], []
         for names, label in [(sorted(self.groups), family), *((names, langs) for names in self.groups.values())]:
             for a, b in combinations(names, 2):
@@ -80,8 +89,8 @@ class Model:
                 self.pairs.append((a, b))
         w = np.array(columns).T if columns else np.zeros((x.shape[1] + 1, 0))
         # margins as sums over the buckets of a text, so that scoring needs no counts
-        self.weights = w[:-1] / self.scale[:, None] / np.sqrt(x.shape[1])
-        self.bias = w[-1] - self.mean @ self.weights
+        self.weights = w[:-1] / scale[:, None] / np.sqrt(x.shape[1])
+        self.bias = w[-1] - mean @ self.weights
 
     def margins(self, text: str) -> np.ndarray:
         grams = _grams(_bytes(text)).ravel()
@@ -129,7 +138,7 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Mode
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "x": [features(t).astype(np.float32).tobytes() for t in batch["text"]]})
 
     sample = chosen.mapInPandas(vectors, "doc_id long, lang string, x binary").toPandas().sort_values(["doc_id", "lang"])
-    x = np.array([np.frombuffer(v, np.float32) for v in sample["x"]], dtype=np.float64).reshape(len(sample), BUCKETS)
+    x = np.array([np.frombuffer(v, np.float32) for v in sample["x"]], dtype=np.float32).reshape(len(sample), BUCKETS)
     return Model(x, sample["lang"].to_numpy(dtype=object))
 
 
