@@ -27,6 +27,15 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.mixing import apply_mixture, fit_domains, fit_mixture, label_documents
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    domains = fit_domains(label_documents(docs, _read(spark, sf_dir, "labels")))
+    mixture = fit_mixture(docs, domains, {"high": 0.8, "low": 0.19, "toxic": 0.01})
+    return apply_mixture(docs, mixture).drop("text")
+
+
 def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from txspark.llm.ngrams import score_texts
 
@@ -80,5 +89,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_soft_mixing, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
 ORACLES: dict[str, str] = {}

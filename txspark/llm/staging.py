@@ -5,10 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Used only where the session names no folder, as in tests on one machine.
 LOCAL_FOLDER = "/tmp/checkpoints"
 
+#: Narrow rows (ids, keys, pairs) are broadcast up to this many, and joined by a shuffle beyond.
+BROADCAST_ROWS = 1_000_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``."""
@@ -34,3 +38,8 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def few_rows(df: DataFrame) -> DataFrame:
+    """A narrow written table, marked for broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txspark.llm.staging import Scratch
+from txspark.llm.staging import Scratch, few_rows
 from txspark.llm.words import mix
 
 #: Length of the repeated strings, and of the prefix by which suffixes are told apart first.
@@ -21,8 +21,6 @@ BLOCK = 16
 BATCH_BYTES, PLACE_BITS = 4_000_000, 40
 #: Batches in which a whole table enters the index.
 BATCHES = 4
-#: Ids or keys are broadcast up to this many, and joined by a shuffle beyond.
-BROADCAST_ROWS = 1_000_000
 
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
@@ -179,14 +177,9 @@ def _merged(tables: list[DataFrame]) -> DataFrame:
     return union.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _classify(units: DataFrame, repeated: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
     """Units all of whose windows occur elsewhere, and one unit of each hull of the keys whose hulls differ."""
-    known = scratch.put(units.join(_few(repeated), "key"), f"{name}-known")
+    known = scratch.put(units.join(few_rows(repeated), "key"), f"{name}-known")
     mixed = known.where("mixed")
     hulls = scratch.put(mixed.groupBy("key", "hull").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "anchor", "first", "windows")).alias("one")), f"{name}-hulls")
     same = hulls.where("n > 1").select("key", "hull")
@@ -196,7 +189,7 @@ def _classify(units: DataFrame, repeated: DataFrame, scratch: Scratch, name: str
 
 def _with_text(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """Texts joined to the one row that ``rows`` has for some of them; other texts are dropped before they are sent."""
-    near = texts.join(_few(rows.select("doc_id")), "doc_id", "left_semi")
+    near = texts.join(few_rows(rows.select("doc_id")), "doc_id", "left_semi")
     return near.join(rows, "doc_id")
 
 
@@ -247,5 +240,5 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     ranges = scratch.put(ranges, "ranges")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     none = F.lit(None).cast("array<struct<first:int,stop:int>>").alias("ranges")
-    whole = texts.join(_few(ranges.select("doc_id")), "doc_id", "left_anti").select("doc_id", "text", none)
+    whole = texts.join(few_rows(ranges.select("doc_id")), "doc_id", "left_anti").select("doc_id", "text", none)
     return _with_text(texts, ranges).unionByName(whole).mapInPandas(_remove, schema)

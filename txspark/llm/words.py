@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import xxhash
 
 #: Odd multipliers that mix the word hashes of a window, by place.
@@ -22,6 +25,13 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def text_slices(frame: pd.DataFrame, limit: int) -> Iterator[pd.DataFrame]:
+    """The rows of a frame in runs of about ``limit`` characters of text, to bound what a task holds; a text is never cut."""
+    size = np.array([len(t) if t else 0 for t in frame["text"]], np.int64)
+    for _, own in frame.groupby((np.cumsum(size) - size) // limit, sort=True):
+        yield own
+
+
 def tokenise(texts) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Codes of all words in order, the distinct words by code, and the number of words of each text."""
     lengths = np.zeros(len(texts), np.int64)
