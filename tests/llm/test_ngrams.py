@@ -45,7 +45,7 @@ def check(rows, got, prior=ngrams.PRIOR):
 
 @pytest.mark.parametrize("sizes", [(12_000_000, 1_500_000), (3_000, 2_000)])
 def test_scores(spark, monkeypatch, sizes):
-    monkeypatch.setattr(ngrams, "BATCH_BYTES", sizes[0])
+    monkeypatch.setattr(ngrams, "BATCH_CHARS", sizes[0])
     monkeypatch.setattr(ngrams, "SHARD_TOKENS", sizes[1])
     docs = cases.docs(spark).withColumn("train", F.col("doc_id") % 3 != 2)
     rows = [(r["doc_id"], r["text"], r["train"]) for r in docs.collect()]

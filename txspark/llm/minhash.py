@@ -11,19 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txspark.llm.components import connected_components
-from txspark.llm.staging import Scratch
-from txspark.llm.words import mix, tokenise, window_hashes, word_hashes
+from txspark.llm.staging import Scratch, few_rows
+from txspark.llm.words import mix, text_slices, tokenise, window_hashes, word_hashes
 
 WIDTH = 5
 #: Bins of the one permutation, and bands of BINS / BANDS of them. At a similarity of 0.75 a pair shares no
 #: bucket with a probability of (1 - 0.75 ** 4) ** 32, which is 5e-6.
 BINS, BANDS = 128, 32
 #: Centres of a bucket: the first of its documents in each of this many fixed orders.
-CENTRES = 4
+CENTRES = 3
 #: Pairs whose sketches agree in fewer bins than this share are not confirmed; 0.75 lies over six deviations above.
 LEAST_AGREEMENT = 0.5
-#: Pairs are sent to the texts by broadcast up to this many, and by a shuffle beyond.
-BROADCAST_PAIRS = 1_000_000
+#: Characters of text that a task turns into words at a time.
+BATCH_CHARS = 3_000_000
 
 
 def shingle_sets(texts, width: int = WIDTH) -> list[np.ndarray]:
@@ -94,7 +94,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """doc_id, size and key of the set, four bits of each bin, band keys."""
-    for batch in batches:
+    for batch in (own for frame in batches for own in text_slices(frame, BATCH_CHARS)):
         sets = shingle_sets(batch["text"].tolist())
         some = np.array([len(s) > 0 for s in sets], bool)
         sig = signatures([s for s in sets if len(s)])
@@ -160,7 +160,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     first = [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)).alias("order"), F.col("doc_id").alias("id")))["id"] for k in range(1, CENTRES)]
     centres = member.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), *[c.alias(f"c{k}") for k, c in enumerate(first)]).where("low < high")
     star = member.join(centres, "bucket").select("doc_id", F.explode(F.array_distinct(F.array("low", *[f"c{k}" for k in range(CENTRES - 1)]))).alias("centre"))
-    edges = star.where("doc_id <> centre").select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
+    edges = star.where("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
 
     slim = reps.select("doc_id", "n_shingles", "sketch")
     side = lambda x: slim.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     alike = sized.select("a", "b", "sketch_a", "sketch_b").mapInPandas(_agreement, "a long, b long, alike double").where(F.col("alike") >= LEAST_AGREEMENT)
     candidates = scratch.put(alike, "candidates")
 
-    best = candidates.select(F.explode(F.array("a", "b")).alias("id"), "a", "b", "alike").groupBy("id").agg(F.max(F.struct("alike", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+    best = candidates.groupBy("a").agg(F.max(F.struct("alike", "b"))["b"].alias("b"))
     links = scratch.put(_confirmed(texts, scratch.put(best, "best"), least_percent), "links-1")
     groups = connected_components(links, scratch, "groups-1")
     of = lambda x: groups.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
@@ -185,8 +185,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
 
 def _confirmed(texts: DataFrame, pairs: DataFrame, least_percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that hold on full sets. Each text travels once for each pair that it is in."""
-    few = pairs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS
-    send = F.broadcast if few else lambda df: df
-    left = texts.join(send(pairs), texts["doc_id"] == pairs["a"]).select("a", "b", F.col("text").alias("text_a"))
-    right = texts.join(send(pairs), texts["doc_id"] == pairs["b"]).select("a", "b", F.col("text").alias("text_b"))
+    pairs = few_rows(pairs)
+    left = texts.join(pairs, texts["doc_id"] == pairs["a"]).select("a", "b", F.col("text").alias("text_a"))
+    right = texts.join(pairs, texts["doc_id"] == pairs["b"]).select("a", "b", F.col("text").alias("text_b"))
     return left.join(right, ["a", "b"]).mapInPandas(_confirm(least_percent, WIDTH), "a long, b long").distinct()

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from txspark.llm.elias_fano import NgramTrie
 from txspark.llm.staging import Scratch
-from txspark.llm.words import mix, tokenise, word_hashes
+from txspark.llm.words import mix, text_slices, tokenise, word_hashes
 
-#: Bytes of text that one batch holds, near enough; one text is never cut.
-BATCH_BYTES = 12_000_000
+#: Characters of text that one batch holds, near enough; one text is never cut.
+BATCH_CHARS = 8_000_000
 #: Tokens that one shard of the model answers for, near enough.
 SHARD_TOKENS = 1_500_000
 #: Weight of the lower order in a context, in tokens (Dirichlet smoothing, D. MacKay and L. Peto, 1995).
@@ -48,9 +48,7 @@ def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Texts as batches of token codes: one row for each."""
     number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     for frame in frames:
-        size = np.array([len(t) if t else 0 for t in frame["text"]], np.int64)
-        part = (np.cumsum(size) - size) // BATCH_BYTES
-        for _, own in frame.groupby(part, sort=True):
+        for own in text_slices(frame, BATCH_CHARS):
             codes, words, lengths = tokenise(own["text"].tolist())
             # the end of each text is a token too
             ends = np.cumsum(lengths)
