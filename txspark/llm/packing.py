@@ -76,13 +76,13 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024) -> DataFram
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, schema)
     pieces = Scratch(docs.sparkSession, "packing").put(rows, "pieces")
-    layout = _layout({r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}, capacity)
-    plan = docs.sparkSession.createDataFrame(layout, "length long, _base long, _full long, _last long, _shift long, _before long")
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    plan = docs.sparkSession.createDataFrame(_layout(counts, capacity), "length long, _base long, _full long, _last long, _shift long, _before long")
     a_bin = F.floor(F.lit(capacity) / F.col("length"))
     own = F.col("_rank") - F.col("_before")
     full = own < F.col("_full") * a_bin
     return (
-        with_ranks(pieces, "length", ["doc_id", "start", "ids_crc32"], "_rank")
+        with_ranks(pieces, sum(counts.values()), "length", ["doc_id", "start", "ids_crc32"], "_rank")
         .join(F.broadcast(plan), "length")  # one row for each length: at most 37
         .select(
             "doc_id",

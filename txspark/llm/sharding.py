@@ -77,12 +77,13 @@ def shard_documents(docs: DataFrame, shards: int = 8, bits: int = BITS) -> DataF
         hilbert_index([level, code("lang"), code("source")], bits).alias("curve"),
     )
     rows = Scratch(docs.sparkSession, "shards").put(base, "curve")
-    few, more = divmod(rows.count(), shards)  # the first `more` shards have few + 1 rows
+    total = rows.count()
+    few, more = divmod(total, shards)  # the first `more` shards have few + 1 rows
     rank, wide = F.col("_rank"), more * (few + 1)
     shard = F.when(rank < wide, F.floor(rank / (few + 1))).otherwise(more + F.floor((rank - wide) / max(few, 1)))
     first = F.col("shard") * few + F.least("shard", F.lit(more))
     return (
-        with_ranks(rows, "curve", ["text_crc32", "doc_id"], "_rank")
+        with_ranks(rows, total, "curve", ["text_crc32", "doc_id"], "_rank")
         .withColumn("shard", shard.cast("int"))
         .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (rank - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
     )
