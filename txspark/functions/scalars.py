@@ -35,7 +35,7 @@ def normalize_chrom(name: Column) -> Column:
 
 def strip_rank_suffix(tokens: Column) -> Column:
     """A comma list with trimmed tokens, no empty ones, and without ``_<number>`` at their ends; null gives '' (PRJ12)."""
-    parts = F.filter(F.transform(F.split(F.coalesce(tokens, F.lit("")), ","), F.trim), lambda t: t != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(tokens, F.lit("")), ","), lambda t: F.trim(t)), lambda t: t != "")
     return F.array_join(F.transform(parts, lambda t: F.regexp_replace(t, "_[0-9]+$", "")), ",")
 
 

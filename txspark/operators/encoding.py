@@ -17,10 +17,9 @@ def _tokens(column: str):
 
 
 def vocabularies(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted tokens of each comma-list column: lower case, not trimmed; of non-empty values only. One pass over all columns."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.explode(_tokens(c)).alias("token")) for c in columns]
+    """Sorted tokens of each comma-list column: lower case, not trimmed; of non-empty values only."""
     found: dict[str, list[str]] = {c: [] for c in columns}
-    long = reduce(lambda a, b: a.unionByName(b), [df.where(F.col(c) != "").select(p.alias("x")).select("x.*") for c, p in zip(columns, pairs, strict=True)]).distinct()
+    long = reduce(lambda a, b: a.unionByName(b), [df.where(F.col(c) != "").select(F.lit(c).alias("column"), F.explode(_tokens(c)).alias("token")) for c in columns]).distinct()
     rows = long.limit(MOST_COLUMNS + 1).collect()
     if len(rows) > MOST_COLUMNS:
         raise ValueError(f"the encoding would make over {MOST_COLUMNS} columns")

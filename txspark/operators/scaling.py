@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("standard", "minmax")
-STATS = T.StructType().add("position", "int").add("feature", "string").add("kind", "string").add("center", "double").add("scale", "double")
+STATS = T.StructType([T.StructField(n, t) for n, t in (("position", T.IntegerType()), ("feature", T.StringType()), ("kind", T.StringType()), ("center", T.DoubleType()), ("scale", T.DoubleType()))])
 
 
 def numeric_columns(df: DataFrame, skip: tuple[str, ...] = ()) -> list[str]:

@@ -7,7 +7,6 @@ from enum import Enum
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 FLOATS, INTS = ("float", "double"), ("short", "integer", "long", "byte")
 
@@ -123,7 +122,7 @@ def validate(df: DataFrame, schema: dict[str, str], mode: Mode = Mode.STRICT, st
             elif mode is Mode.PERMISSIVE and (have, want) != ("int", "float"):
                 issues.append((n, "dtype", "WARNING", None, None, f"{own[n]} for {schema[n]}"))
             elif mode is Mode.COERCE:
-                casts[n] = F.expr(f"try_cast(`{n}` AS {T._parse_datatype_string(schema[n]).simpleString()})")
+                casts[n] = F.expr(f"try_cast(`{n}` AS {schema[n]})")
     tests: list[tuple[str, str, Column, Column]] = []
     for n in common:
         c = F.col(f"`{n}`")
