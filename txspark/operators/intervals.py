@@ -38,8 +38,8 @@ def overlap_join(a: DataFrame, b: DataFrame, bin_size: int = BIN) -> DataFrame:
     broadcast or split where it is skewed. A pair is reported only in the first bin that both touch, so no distinct is needed.
     Columns of ``b`` but the chromosome come as ``b_<name>``. Empty intervals overlap nothing.
     """
-    first = lambda c: F.floor(F.col(c) / bin_size)
-    bins = lambda s, e: F.explode(F.sequence(first(s), F.floor((F.col(e) - 1) / bin_size)))
+    first = lambda c: F.expr(f"`{c}` div {bin_size}")
+    bins = lambda s, e: F.explode(F.sequence(first(s), F.expr(f"(`{e}` - 1) div {bin_size}")))
     left = a.where("start < end").withColumn("_bin", bins("start", "end"))
     other = b.where("start < end").select("chromosome", *[F.col(c).alias(f"b_{c}") for c in b.columns if c != "chromosome"])
     right = other.withColumn("_bin", bins("b_start", "b_end"))

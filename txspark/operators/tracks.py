@@ -83,8 +83,10 @@ def entry_names(intervals: DataFrame, entries: DataFrame, index: int = 3, sizes:
     """Distinct sorted names of overlapping entries, comma-joined: field ``index`` of the entry's ``rest``; empty ones and '.' do not count (TRK4)."""
     _, inside = _asked(intervals, entries, sizes)
     field = F.get(F.split("rest", "\t"), F.lit(index))
-    named = entries.select(*KEY, field.alias("name")).where("name <> '' AND name <> '.'")
-    found = overlap_join(inside, named, bin_size).groupBy("chromosome", "q_start", "q_end").agg(F.array_join(F.array_sort(F.collect_set("b_name")), ",").alias("names"))
+    named = entries.select(*KEY, field.alias("name")).where("name <> '' AND name <> '.'").distinct()
+    # a hash aggregation leaves each name once, before the few of an interval are collected
+    held = overlap_join(inside, named, bin_size).select("chromosome", "q_start", "q_end", "b_name").distinct()
+    found = held.groupBy("chromosome", "q_start", "q_end").agg(F.array_join(F.array_sort(F.collect_list("b_name")), ",").alias("names"))
     return _back(intervals, found, ["names"])
 
 
