@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txspark.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -84,10 +88,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from txspark.llm.quality import judge_quality
+    from txspark.llm.quality import FLOORS, judge_quality
 
-    return judge_quality(_read(spark, sf_dir, "documents"))
+    judged = judge_quality(_read(spark, sf_dir, "documents"))
+    return judged.withColumns({c: F.round(c, 9) for c in FLOORS})
 
 
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_soft_mixing, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
