@@ -50,7 +50,7 @@ def duck(sql: str) -> str:
 
 
 def _spark(sql: str) -> str:
-    sql = re.sub(r"DAY\((\w+)\)", r"datediff(\1, DATE '1992-01-01')", sql)
+    sql = re.sub(r"DAY\((\w+)\)", r"CAST(datediff(\1, DATE '1992-01-01') AS bigint)", sql)
     sql = re.sub(r"LETTERS\((\w+)\)", r"regexp_replace(\1, '[^A-Za-z]', '')", sql)
     sql = re.sub(r"LISTOF\((.+?\))\)", r"array_join(array_sort(collect_set(\1)), ',')", sql)
     return sql.replace('"end"', "`end`")
