@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from txspark.llm.langid import UNKNOWN, fit, identify
 from txspark.llm.minhash import near_duplicates
-from txspark.llm.mixing import apply_mixture, fit_domains, fit_mixture, label_documents
+from txspark.llm.mixing import apply_mixture, fit_domains, fit_mixture, label_documents, score_domains
 from txspark.llm.packing import pack
 from txspark.llm.secrets import redact
 from txspark.llm.staging import Scratch, few_rows
@@ -43,7 +43,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or drop documents by their rates for SHARES: a row for each copy."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    mixture = fit_mixture(docs, fit_domains(label_documents(docs, labels)), SHARES, keep=("high", "low"))
+    domains = fit_domains(label_documents(docs, labels))
+    mixture = fit_mixture(score_domains(docs, domains), domains, SHARES, keep=("high", "low"))
     drawn = apply_mixture(docs, mixture).where("copies > 0")
     return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 

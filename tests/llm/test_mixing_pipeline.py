@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm import cases
-from txspark.llm.mixing import apply_mixture, domain_of, fit_domains, fit_mixture, label_documents
+from txspark.llm.mixing import apply_mixture, domain_of, fit_domains, fit_mixture, label_documents, rate_scored, score_domains
 
 SHARES = {"high": 0.8, "low": 0.19, "toxic": 0.01}
 
@@ -24,8 +24,10 @@ def test_targets_are_met(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     domains = fit_domains(label_documents(docs, labels))
     assert domains.names == ["high", "low", "toxic"]
-    mixture = fit_mixture(docs, domains, SHARES)
+    scored = score_domains(docs, domains)
+    mixture = fit_mixture(scored, domains, SHARES)
     got = apply_mixture(docs, mixture).toPandas()
+    assert rate_scored(scored, mixture).toPandas()["rate"].sum() == pytest.approx(got["rate"].sum())
     p = got[["p_high", "p_low", "p_toxic"]].to_numpy()
     n = got["n_tokens"].to_numpy(float)
     assert len(got) == docs.count() and (got["rate"] >= 0).all() and (abs(p.sum(axis=1) - 1) < 1e-9).all()
@@ -41,7 +43,7 @@ def test_held_out_accuracy(spark):
     labels = domain_of(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
     labelled = docs.select("doc_id", "text").join(labels, "doc_id")
     domains = fit_domains(labelled.where("doc_id % 2 = 0"), 1500)
-    got = apply_mixture(labelled.where("doc_id % 2 = 1"), fit_mixture(labelled.limit(0), domains, SHARES)).toPandas()
+    got = apply_mixture(labelled.where("doc_id % 2 = 1"), fit_mixture(score_domains(labelled.limit(0), domains), domains, SHARES)).toPandas()
     best = got[["p_high", "p_low", "p_toxic"]].to_numpy().argmax(axis=1)
     right = best == got["domain"].map({"high": 0, "low": 1, "toxic": 2})
     assert right.mean() > 0.85 and right[got["domain"] == "toxic"].mean() > 0.65 and right[got["domain"] == "high"].mean() > 0.85
@@ -51,11 +53,11 @@ def test_cases(spark):
     docs = cases.docs(spark)
     labels = spark.createDataFrame([(0, 1, 0), (4, 0, 0), (4, 0, 0), (5, None, None), (99, 1, 1), (19, 1, 0), (20, 0, 0)], "doc_id long, quality int, toxic int")
     domains = fit_domains(label_documents(docs, labels))
-    got = apply_mixture(docs, fit_mixture(docs, domains, {"high": 1.0}))
+    got = apply_mixture(docs, fit_mixture(score_domains(docs, domains), domains, {"high": 1.0}))
     assert got.count() == len(cases.rows()) and got.columns[: len(docs.columns)] == docs.columns
     none = fit_domains(label_documents(docs, labels.limit(0)))
-    assert {r["rate"] for r in apply_mixture(docs, fit_mixture(docs, none, {"high": 1.0})).collect()} == {1.0}
-    assert apply_mixture(cases.empty(spark), fit_mixture(cases.empty(spark), domains, {"high": 1.0})).count() == 0
+    assert {r["rate"] for r in apply_mixture(docs, fit_mixture(score_domains(docs, none), none, {"high": 1.0})).collect()} == {1.0}
+    assert apply_mixture(cases.empty(spark), fit_mixture(score_domains(cases.empty(spark), domains), domains, {"high": 1.0})).count() == 0
 
 
 def test_pipeline_stages(spark):

@@ -22,12 +22,13 @@ def _let(value: Column, body) -> Column:
 
 def word_hashes(text: Column) -> Column:
     """Hashes of the words of a text in lower case, and of marks that stand for its shape."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.coalesce(text, F.lit(""))
+    words = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    symbols = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
 
     def with_shape(w: Column) -> Column:
         hashes = F.transform(w, lambda x: F.xxhash64(x))
         tenth = lambda a, b: F.floor(F.lit(10) * a / F.greatest(b, F.lit(1))).cast("string")
-        symbols = F.size(F.filter(w, lambda x: x.rlike(r"[#*$%&|<>]")))
         shape = F.array(
             F.xxhash64(F.concat(F.lit(" marked "), tenth(symbols, F.size(w)))),
             F.xxhash64(F.concat(F.lit(" distinct "), F.when(F.size(w) >= 200, tenth(F.size(F.array_distinct(hashes)), F.size(w))).otherwise(""))),
@@ -108,27 +109,31 @@ class Mixture:
 
     def rate(self, p: Column) -> Column:
         """The non-negative rate that belongs to the probabilities ``p``."""
-        if not self.steps:
-            return F.lit(1.0)
-        history = F.array(*[F.array(*[F.lit(float(v)) for v in step]) for step in self.steps])
-        along = lambda g: F.aggregate(F.zip_with(p, g, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-        return F.aggregate(history, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - along(g)))
+        rate = F.lit(1.0)
+        for step in self.steps:  # one generated expression, a few multiplications a round
+            rate = F.greatest(F.lit(0.0), rate - sum((p[i] * F.lit(float(v)) for i, v in enumerate(step)), F.lit(0.0)))
+        return rate
 
 
-def fit_mixture(docs: DataFrame, domains: Domains, shares: dict[str, float], keep: tuple[str, ...] = ()) -> Mixture:
+def score_domains(docs: DataFrame, domains: Domains) -> DataFrame:
+    """A written table of doc_id, n_tokens and p of each row of ``docs``."""
+    scored = docs.select("doc_id", domains.posteriors(F.col("text")).alias("x")).select("doc_id", "x.*")
+    return Scratch(docs.sparkSession, "mixing").put(scored, "posteriors")
+
+
+def fit_mixture(scored: DataFrame, domains: Domains, shares: dict[str, float], keep: tuple[str, ...] = ()) -> Mixture:
     """Rates r >= 0 whose expected tokens of each domain, sum of r * tokens * p, meet the targets, by projected-gradient least squares.
 
     ``shares`` are the weights of the domains; one that is not named has 0. The targets share out all tokens or, with
     ``keep``, as many as let none of those domains fall below what it has. A step is scaled by the inverse of the token-weighted Gram
     matrix of the domains over the documents whose rate is positive, which makes the loss equally steep along all of them; where such a step
     gains little, by that over all documents, with which a step of length one never fails to descend. A rate follows from the steps so far and the document's own probabilities: each round is one
-    aggregation over a compact table, and only K * K numbers reach the driver.
+    aggregation over the compact table ``scored(n_tokens, p)``, and only K * K numbers reach the driver.
     """
     k = len(domains.names)
     if not k:
         return Mixture(domains, [], 0.0)
-    scored = docs.select(domains.posteriors(F.col("text")).alias("x")).select("x.*").where("n_tokens > 0")
-    rows = Scratch(docs.sparkSession, "mixing").put(scored, "posteriors")
+    rows = scored.select("n_tokens", "p").where("n_tokens > 0")
     p = [F.col("p")[i] for i in range(k)]
 
     def totals(rate: Column) -> tuple[np.ndarray, np.ndarray, float]:
@@ -164,22 +169,30 @@ def fit_mixture(docs: DataFrame, domains: Domains, shares: dict[str, float], kee
     return Mixture(domains, steps, float(np.abs(have - target).max()))
 
 
+def _rated(rows: DataFrame, kept: list[str], mixture: Mixture) -> DataFrame:
+    """Columns ``kept`` of rows with n_tokens and p, and what follows from these."""
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
+    rated = rows.withColumn("_rate", mixture.rate(F.col("_p")))
+    return rated.select(
+        *kept, F.col("_n").alias("n_tokens"), *[F.col("_p")[i].alias(f"p_{k}") for i, k in enumerate(mixture.domains.names)],
+        F.col("_rate").alias("rate"), F.floor(F.col("_rate") + chance).cast("long").alias("copies"),
+    )
+
+
+def rate_scored(scored: DataFrame, mixture: Mixture) -> DataFrame:
+    """doc_id, n_tokens, a column p_<domain> for each domain, rate and copies of a table of ``score_domains``."""
+    return _rated(scored.select("doc_id", F.col("n_tokens").alias("_n"), F.col("p").alias("_p")), ["doc_id"], mixture)
+
+
 def apply_mixture(docs: DataFrame, mixture: Mixture) -> DataFrame:
     """``docs`` with n_tokens, a column p_<domain> for each domain, rate, and copies: the rate rounded at random by doc_id.
 
     Probabilities, rate and copies follow from the row alone. Null or empty text has no tokens, the domains' overall
     probabilities, and a rate that moves no total; repeated rows get equal numbers; columns of those names are replaced.
     """
-    names = mixture.domains.names
-    new = ["n_tokens", *[f"p_{k}" for k in names], "rate", "copies"]
-    kept = [c for c in docs.columns if c not in new]
-    scored = docs.select(*kept, mixture.domains.posteriors(F.col("text")).alias("_x"))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
-    rated = scored.withColumn("_rate", mixture.rate(F.col("_x.p")))
-    return rated.select(
-        *kept, F.col("_x.n_tokens").alias("n_tokens"), *[F.col("_x.p")[i].alias(f"p_{k}") for i, k in enumerate(names)],
-        F.col("_rate").alias("rate"), F.floor(F.col("_rate") + chance).cast("long").alias("copies"),
-    )
+    kept = [c for c in docs.columns if c not in ("n_tokens", *[f"p_{k}" for k in mixture.domains.names], "rate", "copies")]
+    rows = docs.select(*kept, mixture.domains.posteriors(F.col("text")).alias("_x"))
+    return _rated(rows.select(*kept, F.col("_x.n_tokens").alias("_n"), F.col("_x.p").alias("_p")), kept, mixture)
 
 
 def domain_of(labels: DataFrame) -> DataFrame:

@@ -32,12 +32,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from txspark.llm.mixing import apply_mixture, fit_domains, fit_mixture, label_documents
+    from txspark.llm.mixing import fit_domains, fit_mixture, label_documents, rate_scored, score_domains
 
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     domains = fit_domains(label_documents(docs, _read(spark, sf_dir, "labels")))
-    mixture = fit_mixture(docs, domains, {"high": 0.8, "low": 0.19, "toxic": 0.01})
-    return apply_mixture(docs, mixture).drop("text")
+    scored = score_domains(docs, domains)
+    return rate_scored(scored, fit_mixture(scored, domains, {"high": 0.8, "low": 0.19, "toxic": 0.01}))
 
 
 def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
