@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txspark.session import ship_package
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 #: Written for DuckDB, with DAY(x) for the days since 1992 and LETTERS(x) for the ASCII letters of x.
@@ -60,6 +62,7 @@ class Inputs:
     """Tables and fixtures of one folder as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship_package(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -23,3 +27,17 @@ def get_session(master: str = "local[*]", name: str = "txspark", **conf: str) ->
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once: they need it wherever it is not installed on the executors."""
+    context = spark.sparkContext
+    if getattr(context, "txspark_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="txspark-")) / "txspark.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(here.rglob("*.py")):
+            archive.write(path, path.relative_to(here.parent))
+    context.addPyFile(str(target))
+    context.txspark_shipped = True
