@@ -16,6 +16,7 @@ from txspark.llm.mixing import apply_mixture, fit_domains, fit_mixture, label_do
 from txspark.llm.packing import pack
 from txspark.llm.secrets import redact
 from txspark.llm.staging import Scratch, few_rows
+from txspark.session import ship_package
 
 #: Weights of the domains in the mixture; no domain but the toxic one falls below what it has.
 SHARES = {"high": 0.81, "low": 0.185, "toxic": 0.005}
@@ -62,6 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over the whole table of documents."""
+    ship_package(spark)
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):

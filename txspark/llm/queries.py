@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txspark.llm.oracles import ORACLES
+from txspark.session import ship_package
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
