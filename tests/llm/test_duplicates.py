@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 
 from tests.llm import cases
+from txspark.llm import minhash
 from txspark.llm.components import connected_components
 from txspark.llm.embeddings import near_vectors, normalise, quantise
-from txspark.llm.minhash import band_keys, near_duplicates, shingle_sets, signatures
+from txspark.llm.minhash import band_keys, near_duplicates, shared_counts, shingle_sets, signatures
 from txspark.llm.staging import Scratch
 
 
@@ -70,6 +71,32 @@ def test_documents_of_a_table(spark):
     check_documents(docs.collect(), near_duplicates(docs).collect())
 
 
+@pytest.mark.parametrize("tile", [256, 40])
+def test_documents_with_a_shared_template(spark, monkeypatch, tile):
+    """Unrelated documents of one template fill the common buckets, below 0.75; planted pairs lie just above it."""
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(11)
+    template, rows = cases.words(rng, 420), []
+    for g in range(130):
+        own = [cases.words(rng, 82).split() for _ in range(2)]
+        rows.append((2 * g, template + " " + " ".join(own[0])))
+        if g % 3 == 0:
+            rows.append((2 * g + 1, template + " " + " ".join(own[0][: rng.randrange(18, 26)] + own[1])))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_duplicates(docs).collect()
+    check_documents(docs.collect(), got)
+    assert 20 < sum(not r["kept"] for r in got) < 60
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(np.concatenate([rng.integers(0, 60, 30), rng.integers(100, 2000, k)]).astype(np.uint64)) for k in (0, 5, 400, 900) * 12] + [np.zeros(0, np.uint64)]
+    got = shared_counts(sets)
+    assert all(got[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
+    assert shared_counts([]).shape == (0, 0)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     for n in (3, 40, 2000):

@@ -24,6 +24,10 @@ CENTRES = 3
 LEAST_AGREEMENT = 0.5
 #: Characters of text that a task turns into words at a time.
 BATCH_CHARS = 3_000_000
+#: Documents, and shingles, of one side of a tile in which sets are compared each with each, near enough.
+TILE, TILE_SHINGLES = 256, 2_000_000
+#: Shingles in this many sets of a tile or more are counted by a matrix product, this many shingles at a time.
+COMMON, COLUMNS = 16, 4096
 
 
 def shingle_sets(texts, width: int = WIDTH) -> list[np.ndarray]:
@@ -136,13 +140,103 @@ def _agreement(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "alike": (share - 1 / 16) * 16 / 15})
 
 
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of the sorted shingle set of each text."""
+    for batch in (own for frame in batches for own in text_slices(frame, BATCH_CHARS)):
+        sets = [s.tobytes() for s in shingle_sets(batch["text"].tolist())]
+        yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": sets})
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each pair of sets has in common. Rare hashes are counted pair by pair, common ones by products of 0/1 matrices."""
+    n = len(sets)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(row) else np.zeros(0, np.int64)
+    order = np.argsort(code, kind="stable")
+    row, often = row[order], np.bincount(code)
+    start = np.cumsum(often) - often
+    flat = np.zeros(n * n, np.int64)
+    for times in range(2, COMMON):
+        at = start[often == times]
+        held = row[at[:, None] + np.arange(times)]
+        for i in range(times):
+            for j in range(times):
+                flat += np.bincount(held[:, i] * n + held[:, j], minlength=n * n) if i != j and len(at) else 0
+    shared = flat.reshape(n, n)
+    common = np.flatnonzero(often >= COMMON)
+    for k in range(0, len(common), COLUMNS):
+        own = common[k : k + COLUMNS]
+        have = np.zeros((n, len(own)), np.float32)
+        for c, (a, m) in enumerate(zip(start[own].tolist(), often[own].tolist(), strict=True)):
+            have[row[a : a + m], c] = 1
+        shared = shared + np.rint(have @ have.T).astype(np.int64)
+    return shared
+
+
+def _tile_links(least_percent: int):
+    """Links that join what the pairs of a tile join: pairs of its two sides, of different groups, whose sets are similar enough."""
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        ids, group, side = (tile[c].to_numpy(np.int64) for c in ("doc_id", "component", "side"))
+        sets = [np.frombuffer(s, np.uint64) for s in tile["shingles"]]
+        size = np.array([len(s) for s in sets], np.int64)
+        shared = shared_counts(sets)
+        linked = 100 * shared >= least_percent * (size[:, None] + size[None, :] - shared)
+        linked &= (group[:, None] != group[None, :]) & ((side[:, None] != side[None, :]) | (side[:, None] == 0))
+        seen, out = np.zeros(len(ids), bool), []
+        for first in range(len(ids)):
+            todo = [] if seen[first] else [first]
+            seen[first] = True
+            while todo:
+                x = todo.pop()
+                new = np.flatnonzero(linked[x] & ~seen)
+                seen[new] = True
+                out += [(ids[x], ids[y]) for y in new]
+                todo += new.tolist()
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _rest(texts: DataFrame, reps: DataFrame, groups: DataFrame, scratch: Scratch, least_percent: int) -> DataFrame | None:
+    """Links between documents that share a bucket and still lie in different groups, each such pair compared on full sets.
+
+    Buckets whose documents are of more than one group are open. Documents that a chain of open buckets joins form a cluster; pairs of
+    its largest group are linked already. The others meet each other, and those of the largest group, in tiles. None if no bucket is open.
+    """
+    component = F.coalesce("component", "doc_id").alias("component")
+    placed = reps.join(groups.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", component, "bands")
+    placed = scratch.put(placed, "placed")
+    member = placed.select("doc_id", "component", F.explode("bands").alias("bucket"))
+    opened = member.groupBy("bucket").agg(F.min("component").alias("one"), F.max("component").alias("other"), F.min("doc_id").alias("low")).where("one < other")
+    opened = scratch.put(opened.select("bucket", "low"), "open-buckets")
+    if opened.isEmpty():
+        return None
+    chains = scratch.put(member.join(few_rows(opened), "bucket").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct(), "chains")
+    cluster = connected_components(chains, scratch, "clusters").select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
+    rows = scratch.put(placed.drop("bands").join(few_rows(cluster), "doc_id"), "rest")
+    sizes = rows.groupBy("cluster", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    blocks = lambda n, s: F.ceil(F.greatest(n / TILE, s / TILE_SHINGLES)).cast("int")
+    of = sizes.groupBy("cluster").agg(F.max(F.struct("n", "component", "s")).alias("most"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    of = of.select("cluster", F.col("most.component").alias("largest"), blocks(F.col("most.n"), F.col("most.s")).alias("n_large"), blocks(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.s")).alias("n_other"))
+    draw = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    # blocks of the others come first, then those of the largest group
+    numbered = rows.join(of, "cluster").withColumn("block", F.when(F.col("component") == F.col("largest"), F.col("n_other") + draw("n_large")).otherwise(draw("n_other")))
+    meets = F.when(F.col("block") < F.col("n_other"), F.sequence(F.lit(0), F.col("n_other") + F.col("n_large") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_other") - 1))
+    tiles = numbered.select("doc_id", "component", "cluster", "block", F.explode(meets).alias("with"))
+    tiles = tiles.select("doc_id", "component", "cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"))
+    sets = texts.join(few_rows(rows.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInPandas(_sets, "doc_id long, shingles binary")
+    return tiles.join(scratch.put(sets, "sets"), "doc_id").groupBy("cluster", "i", "j").applyInPandas(_tile_links(least_percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     """Group the documents whose sets of five-word shingles have a Jaccard similarity of ``least_percent`` or more.
 
     Documents with equal sets form a class that is compared through its smallest doc_id. Class representatives that share a
     band's bucket are joined to the bucket's few centres only, so the candidate pairs grow with the documents and not with the square of a
     bucket. First each representative's most similar candidate is confirmed on the full sets, then the candidates
-    that still lie in different groups. Groups are the components of confirmed links.
+    that still lie in different groups. Last, documents that share a bucket and still lie in different groups are all compared on the full
+    sets, in tiles, so that no pair which shares a bucket is lost to the choice of centres. Groups are the components of confirmed links.
 
     Null or empty text, or text without words, has an empty set and is linked with nothing. Rows that repeat a doc_id with
     the same text give one row; an empty table gives none; other columns are ignored. Returns doc_id, n_shingles, component_id
@@ -176,6 +270,9 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     open_pairs = scratch.put(open_pairs.join(best, ["a", "b"], "left_anti"), "open")
     links = links.unionByName(scratch.put(_confirmed(texts, open_pairs, least_percent), "links-2"))
     groups = connected_components(links, scratch, "groups-2")
+    more = _rest(texts, reps, groups, scratch, least_percent)
+    if more is not None:
+        groups = connected_components(links.unionByName(scratch.put(more, "links-3")), scratch, "groups-3")
 
     component = classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     plain = described.select("doc_id", "n_shingles", "set_key").distinct()
