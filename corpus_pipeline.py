@@ -30,10 +30,36 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates, once."""
-    groups = near_duplicates(docs.select("doc_id", "text"))
-    gone = Scratch(spark, "dropped").put(groups.where("NOT kept").select("doc_id").distinct(), "ids")
-    return docs.join(few_rows(gone), "doc_id", "left_anti").select(*docs.columns)
+    """Keep one row of each group of near-duplicates: the smallest doc_id, then the least hash of the text, then the least row.
+
+    A document is a pair of doc_id and text, so rows that repeat it are one, and different texts of one doc_id are judged each.
+    """
+    scratch = Scratch(spark, "dropped")
+    pair = ["doc_id", "_text"]
+    rows = docs.withColumn("_text", F.xxhash64("text"))
+    pairs = scratch.put(rows.groupBy(*pair).agg(F.count("*").alias("n")), "pairs")
+    several = pairs.groupBy("doc_id").agg(F.min("_text").alias("least"), F.max("_text").alias("most")).where("least < most")
+    # the further texts of a doc_id get ids beyond all others
+    top = pairs.agg(F.max("doc_id")).first()[0] or 0
+    more = pairs.join(several, "doc_id").where("_text > least").select(*pair, (F.lit(top) + 1 + F.monotonically_increasing_id()).alias("_id"))
+    more = scratch.put(more, "further")
+    if more.isEmpty():
+        named = rows.withColumn("_id", F.col("doc_id"))
+        gone = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text")).where("NOT kept").select(F.col("doc_id").alias("_id"))
+    else:
+        named = rows.join(few_rows(more), pair, "left").withColumn("_id", F.coalesce("_id", "doc_id"))
+        groups = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text")).select(F.col("doc_id").alias("_id"), "component_id")
+        placed = scratch.put(groups.join(few_rows(more), "_id", "left").withColumn("doc_id", F.coalesce("doc_id", "_id")), "placed")
+        # the first text of a doc_id has no hash here, and null comes before all hashes
+        kept = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_text", "_id"))["_id"].alias("_id"))
+        gone = placed.join(kept, "_id", "left_anti").select("_id")
+    left = named.join(few_rows(scratch.put(gone.distinct(), "ids")), "_id", "left_anti")
+    again = scratch.put(pairs.where("n > 1").select(*pair), "repeated")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    same = lambda how: left.join(few_rows(again), pair, how)
+    one = same("left_semi").groupBy(*pair).agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row")).select("doc_id", "_row.*")
+    return same("left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

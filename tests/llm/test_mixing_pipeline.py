@@ -1,10 +1,13 @@
 """Mixing against its targets and a direct solution; the pipeline stage by stage."""
 
+import random
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from tests.llm import cases
+from tests.llm.test_duplicates import components, shingles
 from txspark.llm.mixing import apply_mixture, domain_of, fit_domains, fit_mixture, label_documents, rate_scored, score_domains
 
 SHARES = {"high": 0.8, "low": 0.19, "toxic": 0.01}
@@ -80,6 +83,24 @@ def test_pipeline_stages(spark):
     assert share("high") > 0.97 and share("low") > 0.9 and share("toxic") < 0.7
 
 
+def test_deduplicate_keeps_one_row(spark):
+    rows = cases.rows()
+    near, clean = rows[0][1] + " end", cases.words(random.Random(1), 80)
+    more = [(900, near), (900, clean), (901, clean + " more"), (902, None), (902, None), (902, "")] + [(903, clean.upper() * 2)] * 40
+    docs = spark.createDataFrame(rows + [(i, t, "en", "src0", None, 0, "x", None) for i, t in more], cases.SCHEMA).repartition(3)
+    pairs = sorted({(r[0], r[1]) for r in docs.collect()}, key=str)
+    sets = [shingles(t) for _, t in pairs]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    group = components(range(len(pairs)), links)
+    got = corpus_pipeline.deduplicate(spark, docs, "")
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert got.columns == docs.columns and len(kept) == len(set(kept)) == len(set(group.values()))
+    assert {group[pairs.index(p)] for p in kept} == set(group.values())
+    for p in kept:
+        assert p[0] == min(q[0] for q, g in zip(pairs, [group[k] for k in range(len(pairs))], strict=True) if g == group[pairs.index(p)])
+    assert (900, clean) in kept and (900, near) not in kept
+
+
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 200
