@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm import cases
@@ -54,6 +55,20 @@ def test_overlapping_passages(spark, monkeypatch, batches):
     check(rows, substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), batches).collect())
 
 
+@pytest.mark.parametrize("bits", [40, 54, 56])
+def test_anchors_of_a_text_with_more_places_than_a_key_holds(monkeypatch, bits):
+    monkeypatch.setattr(substrings, "PLACE_BITS", bits)
+    rng = np.random.default_rng(bits)
+    passage = rng.integers(0, 256, 700, dtype=np.uint8)
+    data = np.concatenate([passage, rng.integers(0, 256, 3000, dtype=np.uint8), passage, rng.integers(0, 4, 900, dtype=np.uint8)])
+    hashes = substrings._Hashes(data)
+    anchor, first, last = substrings._anchors_of(hashes, np.array([0, 150, len(data)]))
+    low = np.uint64((1 << (64 - bits)) - 1)
+    got = {w: a for a, b, e in zip(anchor.tolist(), first.tolist(), last.tolist(), strict=True) for w in range(b, e + 1)}
+    assert got == {w: w + int(np.argmin(hashes.by[32][w : w + 169] & ~low)) for w in range(150, len(data) - 199)}
+    assert all(got[w + 3700] == got[w] + 3700 for w in range(150, 501))
+
+
 def test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     check([(r["doc_id"], r["text"]) for r in docs.collect()], substrings.remove_repeats(docs).collect())

@@ -17,7 +17,7 @@ from txspark.llm.words import mix
 LENGTH, PREFIX = 200, 32
 #: Windows of a block, the step between an anchor's windows and single ones.
 BLOCK = 16
-#: Bytes of text that are hashed at a time, near enough; places of a batch must fit in PLACE_BITS bits.
+#: Bytes of text that are hashed at a time, near enough. A window's key has PLACE_BITS bits of its hash, and a place in the others.
 BATCH_BYTES, PLACE_BITS = 4_000_000, 40
 #: Batches in which a whole table enters the index.
 BATCHES = 4
@@ -79,14 +79,17 @@ def _anchors_of(hashes: _Hashes, starts: np.ndarray) -> tuple[np.ndarray, np.nda
         return windows, windows, windows
     low = np.uint64((1 << (64 - PLACE_BITS)) - 1)
     n = len(hashes.by[PREFIX])
-    key = (hashes.by[PREFIX] & ~low) | np.arange(n, dtype=np.uint64)
-    width, least = 1, key
     places = LENGTH - PREFIX + 1
-    while width < places:
-        step = min(width, places - width)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        width += step
-    anchor = (least[windows] & low).astype(np.int64)
+    most = np.zeros(n - places + 1, np.int64)
+    for begin in range(0, len(most), int(low) + 2 - places):  # as many places at a time as a key can tell apart
+        part = hashes.by[PREFIX][begin : begin + int(low) + 1]
+        width, least = 1, (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        while width < places:
+            step = min(width, places - width)
+            least = np.minimum(least[: len(least) - step], least[step:])
+            width += step
+        most[begin : begin + len(least)] = (least & low).astype(np.int64) + begin
+    anchor = most[windows]
     text = np.searchsorted(starts, windows, side="right")
     new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])))
     first = np.flatnonzero(new)
