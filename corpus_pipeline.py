@@ -18,8 +18,8 @@ from txspark.llm.secrets import redact
 from txspark.llm.staging import Scratch, few_rows
 from txspark.session import ship_package
 
-#: Weights of the domains in the mixture; no domain but the toxic one falls below what it has.
-SHARES = {"high": 0.81, "low": 0.185, "toxic": 0.005}
+#: Weights of the domains in the mixture; no domain but the toxic one, whose target is 0, falls below what it has.
+SHARES = {"high": 0.81, "low": 0.185, "toxic": 0.0}
 CAPACITY = 1024
 
 
@@ -68,11 +68,13 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents by their rates for SHARES: a row for each copy."""
+    """Repeat or drop documents by their rates for SHARES: a row for each copy. Those that labels mark toxic go, whatever their rate."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domains = fit_domains(label_documents(docs, labels))
-    mixture = fit_mixture(score_domains(docs, domains), domains, SHARES, keep=("high", "low"))
-    drawn = apply_mixture(docs, mixture).where("copies > 0")
+    toxic = Scratch(spark, "toxic").put(labels.where("toxic = 1").select("doc_id").distinct(), "ids")
+    rest = docs.join(few_rows(toxic), "doc_id", "left_anti").select(*docs.columns)
+    mixture = fit_mixture(score_domains(rest, domains), domains, SHARES, keep=("high", "low"))
+    drawn = apply_mixture(rest, mixture).where("copies > 0")
     return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 

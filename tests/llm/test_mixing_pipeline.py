@@ -101,6 +101,15 @@ def test_deduplicate_keeps_one_row(spark):
     assert (900, clean) in kept and (900, near) not in kept
 
 
+def test_mix_drops_labelled_toxic_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    domain = {r["doc_id"]: r["domain"] for r in domain_of(spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.mix(spark, docs, sf).select("doc_id").collect()}
+    left = {k: (sum(domain.get(i) == k for i in kept), sum(v == k for v in domain.values())) for k in ("high", "low", "toxic")}
+    assert left["toxic"][0] == 0 and all(left[k][0] > 0.9 * left[k][1] for k in ("high", "low")), left
+
+
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 200
