@@ -43,7 +43,7 @@ def check(rows, got, prior=ngrams.PRIOR):
         assert r["score"] == pytest.approx(w[5], rel=1e-4, abs=1e-3 + 1e-4 * w[1])
 
 
-@pytest.mark.parametrize("sizes", [(12_000_000, 1_500_000), (3_000, 2_000)])
+@pytest.mark.parametrize("sizes", [(12_000_000, 1_500_000), (3_000, 2_000), (30_000, 40)])
 def test_scores(spark, monkeypatch, sizes):
     monkeypatch.setattr(ngrams, "BATCH_CHARS", sizes[0])
     monkeypatch.setattr(ngrams, "SHARD_TOKENS", sizes[1])
@@ -94,6 +94,24 @@ def test_trie(order):
         del trie
 
 
+def test_pointers_give_the_range_of_each_context():
+    rng = np.random.default_rng(5)
+    rows = sorted({tuple(int(x) for x in rng.integers(0, 30, 2)) for _ in range(400)})
+    trie = NgramTrie.build([np.array(c, np.uint64) for c in zip(*rows, strict=True)], np.arange(len(rows)))
+    heads = sorted({r[0] for r in rows})
+    places = trie.pointers[1].access(np.arange(len(heads) + 1)).astype(int).tolist()
+    assert places == [sum(r[0] < h for r in rows) for h in heads] + [len(rows)]
+    assert (trie.levels[1].access(np.arange(len(rows))) == trie.levels[1].all()).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 40])
+def test_few_values_of_a_wide_universe(n):
+    values = np.sort(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    s = EliasFano.build(values, 1 << 64)
+    assert (s.all() == values).all() and (s.access(np.arange(n)) == values).all() and s.successor(values)[1].all()
+    assert not s.successor(values - np.uint64(1))[1].any()
+
+
 def test_quantised_logarithms():
     p = 10.0 ** np.linspace(-12.9, 0, 1000)
     assert np.abs(np.log10(ngrams.dequantise_log(ngrams.quantise_log(p))) - np.log10(p)).max() < 1.1e-4

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import gc
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no folder, as in tests on one machine.
-LOCAL_FOLDER = "/tmp/checkpoints"
+#: Used only on a local master that names no folder, as in tests.
+LOCAL_FOLDER = f"{tempfile.gettempdir()}/txspark-scratch"
 
 #: Narrow rows (ids, keys, pairs) are broadcast up to this many, and joined by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``."""
-    return spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share; a cluster must name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not (spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return folder or LOCAL_FOLDER
 
 
 class Scratch:
@@ -40,6 +45,15 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+    def free_shuffles(self) -> None:
+        """Let Spark delete the shuffle files of tables that are written by now.
+
+        It does so when the driver has collected the plans that made them, else only in its periodic collection.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
 def few_rows(df: DataFrame) -> DataFrame:
     """A narrow written table, marked for broadcast if it has few rows."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

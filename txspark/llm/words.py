@@ -32,16 +32,35 @@ def text_slices(frame: pd.DataFrame, limit: int) -> Iterator[pd.DataFrame]:
         yield own
 
 
+class _Codes(dict):
+    """Words by the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        return code
+
+
+class Words:
+    """Texts as codes of words, text by text: no list of all words is held."""
+
+    def __init__(self):
+        self.seen, self.parts, self.lengths = _Codes(), [], []
+
+    def add(self, text: str | None) -> None:
+        own = split_words(text)
+        self.parts.append(np.fromiter(map(self.seen.__getitem__, own), np.int32, len(own)))
+        self.lengths.append(len(own))
+
+    def codes(self) -> np.ndarray:
+        return np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
+
+
 def tokenise(texts) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Codes of all words in order, the distinct words by code, and the number of words of each text."""
-    lengths = np.zeros(len(texts), np.int64)
-    words: list[bytes] = []
-    for i, text in enumerate(texts):
-        own = split_words(text)
-        lengths[i] = len(own)
-        words += own
-    code = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    return np.fromiter(map(code.__getitem__, words), np.int64, len(words)), list(code), lengths
+    words = Words()
+    for text in texts:
+        words.add(text)
+    return words.codes(), list(words.seen), np.array(words.lengths, np.int64)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
