@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import cases
-from txspark.llm.quality import judge_quality
+from txspark.llm.quality import LEAST_SPREAD, judge_quality, quantile_fences
 from txspark.llm.secrets import KINDS, redact, scan_secrets, span_string, window_entropy
 from txspark.llm.sharding import hilbert_index, shard_documents
 
@@ -114,3 +114,22 @@ def test_quality_fences_follow_groups(spark):
     rows = [(i, texts(80 + i % 5), "en", "code") for i in range(300)] + [(1000 + i, texts(i % 3), "en", "prose") for i in range(300)] + [(5000, texts(80), "en", "prose")]
     got = {r["doc_id"]: r["kept"] for r in judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert not got.pop(5000) and all(got.values())
+
+
+def test_junk_does_not_move_the_fences(spark):
+    """A source of which a third is junk keeps its ordinary documents and loses the junk."""
+    words = [f"w{k}" for k in range(120)]
+    text = lambda marks, i: " ".join(w + "#" * (k < marks) for k, w in enumerate(words[i % 20 :]))
+    rows = [(i, text(60 if i % 3 == 0 else i % 4, i), "en", "mixed") for i in range(1000)] + [(2000 + i, text(i % 4, i), "en", f"other{i % 9}") for i in range(300)]
+    got = {r["doc_id"]: r["kept"] for r in judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept == (i >= 2000 or i % 3 > 0) for i, kept in got.items())
+
+
+def test_fences_are_no_fixed_cutoffs(spark):
+    """In the given tables a metric that one group allows is refused in another."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = judge_quality(docs).where("NOT base_failed AND symbol_ratio < 0.02 OR NOT kept AND NOT base_failed").collect()
+    kept, gone = [r for r in rows if r["kept"]], [r for r in rows if not r["kept"]]
+    assert gone and max(r["mean_word"] for r in kept) > min(r["mean_word"] for r in gone)
+    fences = quantile_fences(judge_quality(docs).join(docs.select("doc_id", "lang", "source").na.fill(""), "doc_id").where("NOT base_failed"), LEAST_SPREAD).collect()
+    assert len({round(f["high_mean_word"], 3) for f in fences}) > 20

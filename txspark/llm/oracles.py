@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txspark.llm.quality import ACCURACY, FLOORS, LEAST_GROUP, LEAST_WORDS, REACH
+from txspark.llm.quality import ACCURACY, LEAST_SPREAD, LEAST_WORDS, PRIOR_DOCS, REACH
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = "list_filter(string_split_regex({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
@@ -25,10 +25,15 @@ OP6 = f"""WITH RECURSIVE v AS (SELECT vec_id AS id, list_transform(embedding, la
     SELECT v.id AS vec_id, coalesce(n.n, 0) AS n_links, component_id, v.id = component_id AS kept FROM v JOIN comp ON v.id = comp.id LEFT JOIN n ON n.id = v.id"""
 
 _GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
-_FENCE = ", ".join(f"max(CASE WHEN metric = '{m}' THEN fence END) AS {m}" for m in FLOORS)
-_WITHIN = " AND ".join(f"r.{m} <= coalesce(o.{m}, g.{m}, a.{m})" for m in FLOORS)
+_FENCES = ", ".join(f"max(CASE WHEN metric = '{m}' THEN q50 - {REACH} * spread END) AS low_{m}, max(CASE WHEN metric = '{m}' THEN q50 + {REACH} * spread END) AS high_{m}" for m in LEAST_SPREAD)
+_WITHIN = " AND ".join(f"r.{m} BETWEEN low_{m} AND high_{m}" for m in LEAST_SPREAD)
 _LEVELS = " UNION ALL ".join(f"SELECT {keys}, metric, bucket, count(*) AS n FROM b GROUP BY ALL" for keys in ("lang, source", "lang, NULL AS source", "NULL AS lang, NULL AS source"))
 
+
+def _drawn(q: str, own: str, wider: str) -> str:
+    return f"({own}.n * {own}.{q} + {PRIOR_DOCS} * {wider}.{q}) / ({own}.n + {PRIOR_DOCS}) AS {q}"
+
+
 OP10 = f"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
     tri AS (SELECT doc_id, i, hash_key, count(*) OVER (PARTITION BY doc_id, hash_key) AS times FROM (SELECT doc_id, i, md5(array_to_string(w[i:i + 2], ' ')) AS hash_key FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t))),
     rep AS (SELECT doc_id, count(DISTINCT word_at) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS word_at FROM tri WHERE times > 1) GROUP BY 1),
@@ -38,15 +43,16 @@ OP10 = f"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source
     r AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN n_symbols / CAST(word_chars AS double) ELSE 0 END AS symbol_ratio,
         CASE WHEN n_lines > 0 THEN n_dup_lines / CAST(n_lines AS double) ELSE 0 END AS dup_line_ratio, CASE WHEN n_words > 0 THEN n_repeat_words / CAST(n_words AS double) ELSE 0 END AS repeat_ratio,
         CASE WHEN n_words > 0 THEN word_chars / CAST(n_words AS double) ELSE 0 END AS mean_word FROM c),
-    long AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {m} AS v, {floor} AS floor FROM r WHERE NOT base_failed" for m, floor in FLOORS.items())}),
+    long AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {m} AS v FROM r WHERE NOT base_failed" for m in LEAST_SPREAD)}),
     b AS (SELECT lang, source, metric, CASE WHEN v > 0 THEN CAST(ceil(ln(greatest(v, 1e-9)) / ln({_GAMMA!r})) AS int) ELSE -100000 END AS bucket FROM long),
     u AS ({_LEVELS}), q AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, metric) AS total, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bucket) AS upto,
         CASE WHEN bucket = -100000 THEN 0.0 ELSE 2 * pow({_GAMMA!r}, bucket) / {_GAMMA + 1!r} END AS value FROM u),
-    f AS (SELECT lang, source, metric, max(total) AS n, min(CASE WHEN upto >= 0.5 * total THEN value END) AS q50, min(CASE WHEN upto >= 0.9 * total THEN value END) AS q90 FROM q GROUP BY 1, 2, 3),
-    k AS (SELECT lang, source, n, metric, greatest(CASE metric {" ".join(f"WHEN '{m}' THEN {floor}" for m, floor in FLOORS.items())} END, q90 + {REACH} * (q90 - q50)) AS fence FROM f),
-    wide AS (SELECT lang, source, max(n) AS n, {_FENCE} FROM k GROUP BY 1, 2)
-    SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({_WITHIN}, TRUE) AS kept, {", ".join(f"round(r.{m}, 9) AS {m}" for m in FLOORS)}
-    FROM r LEFT JOIN (SELECT * FROM wide WHERE source IS NOT NULL AND n >= {LEAST_GROUP}) o ON r.lang = o.lang AND r.source = o.source
-    LEFT JOIN (SELECT * FROM wide WHERE source IS NULL AND lang IS NOT NULL AND n >= {LEAST_GROUP}) g ON r.lang = g.lang LEFT JOIN (SELECT * FROM wide WHERE lang IS NULL) a ON TRUE"""
+    f AS (SELECT lang, source, metric, max(total) AS n, min(CASE WHEN 2 * upto >= total THEN value END) AS q50, min(CASE WHEN 10 * upto >= total THEN value END) AS q10 FROM q GROUP BY 1, 2, 3),
+    g AS (SELECT f.lang, f.metric, {_drawn("q50", "f", "a")}, {_drawn("q10", "f", "a")} FROM f JOIN f a ON f.metric = a.metric WHERE f.source IS NULL AND f.lang IS NOT NULL AND a.lang IS NULL),
+    o AS (SELECT f.lang, f.source, f.metric, {_drawn("q50", "f", "g")}, {_drawn("q10", "f", "g")} FROM f JOIN g ON f.lang = g.lang AND f.metric = g.metric WHERE f.source IS NOT NULL),
+    k AS (SELECT lang, source, metric, q50, greatest(q50 - q10, CASE metric {" ".join(f"WHEN '{m}' THEN {least}" for m, least in LEAST_SPREAD.items())} END) AS spread FROM o),
+    wide AS (SELECT lang, source, {_FENCES} FROM k GROUP BY 1, 2)
+    SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({_WITHIN}, FALSE) AS kept, {", ".join(f"round(r.{m}, 9) AS {m}" for m in LEAST_SPREAD)}
+    FROM r LEFT JOIN wide ON r.lang = wide.lang AND r.source = wide.source"""
 
 ORACLES = {"op4_minhash": OP4, "op6_int8_vectors": OP6, "op10_quality_rules": OP10}

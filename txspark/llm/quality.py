@@ -7,17 +7,19 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txspark.llm.staging import Scratch
+from txspark.llm.staging import Scratch, few_rows
 
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5
 #: Relative error of a sketched quantile.
 ACCURACY = 0.01
-#: A group with fewer documents takes the thresholds of its language, then of the whole table.
-LEAST_GROUP = 200
-#: Metric: the fence is q90 + REACH * (q90 - q50), and never below the floor.
-FLOORS = {"symbol_ratio": 0.10, "dup_line_ratio": 0.30, "repeat_ratio": 0.30, "mean_word": 12.0}
-REACH = 4.0
+#: The bucket of values that are not above zero.
+NONE = -100_000
+#: Quantiles of a group count as if it had this many more documents like its language, and a language like the whole table.
+PRIOR_DOCS = 20
+#: Metric: the least spread that counts. A fence lies REACH spreads from the median; the spread is the distance from the median down to the first decile.
+LEAST_SPREAD = {"symbol_ratio": 0.01, "dup_line_ratio": 0.04, "repeat_ratio": 0.04, "mean_word": 0.1}
+REACH = 8.0
 
 
 def _let(value: Column, body) -> Column:
@@ -46,7 +48,7 @@ def _repeated(words: Column) -> Column:
 def text_metrics(docs: DataFrame) -> DataFrame:
     """Counts of each whole text: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (with a word).
 
-    Null text counts as empty: all zero. Rows and other columns stay.
+    Null text counts as empty: all zero. Rows and other columns stay; columns of those names are replaced.
     """
     text = F.coalesce("text", F.lit(""))
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -61,64 +63,65 @@ def text_metrics(docs: DataFrame) -> DataFrame:
     )
     line_counts = _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     symbols = (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long")
-    return docs.withColumns({"_w": counts, "_l": line_counts, "n_symbols": symbols}).select(
-        *[c for c in docs.columns if c not in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")],
-        "_w.n_words", "_w.word_chars", "n_symbols", "_l.n_dup_lines", "_w.n_repeat_words", "_l.n_lines",
-    )
+    kept = [c for c in docs.columns if c not in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")]
+    found = docs.select(F.struct(*kept).alias("row"), counts.alias("w"), line_counts.alias("l"), symbols.alias("n_symbols"))
+    return found.select(*[F.col("row")[c].alias(c) for c in kept], "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines")
 
 
-def quantile_fences(rows: DataFrame, metrics: list[str], keys: list[str]) -> DataFrame:
-    """Fences of each group of ``keys`` and of its prefixes, from histograms with logarithmic buckets.
+def _quantiles(sketch: DataFrame, keys: list[str], gamma: float) -> DataFrame:
+    """n, median (q50) and first decile (q10) of each group of ``keys`` and metric."""
+    merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys, "metric")
+    ranked = merged.withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
+    value = F.when(F.col("bucket") == NONE, 0.0).otherwise(2 * F.pow(F.lit(gamma), F.col("bucket")) / F.lit(gamma + 1))
+    at = lambda parts: F.min(F.when(F.col("upto") * parts >= F.col("total"), value))
+    return ranked.groupBy(*keys, "metric").agg(F.max("total").alias("n"), at(2).alias("q50"), at(10).alias("q10"))
+
 
-    A histogram is a mergeable sketch of quantiles with bounded relative error: the count of each bucket adds up, first in the
-    tasks, then over groups, so that the sketch of a language is the sum of those of its sources. Returns keys (null: over all),
-    metric, n and fence.
+def quantile_fences(rows: DataFrame, least_spread: dict[str, float]) -> DataFrame:
+    """``lang``, ``source`` and, for each metric, low_<metric> and high_<metric>: a row for each group.
+
+    A histogram with logarithmic buckets is a mergeable sketch of quantiles with bounded relative error: the count of each bucket adds up,
+    first in the tasks, then over groups, so that the sketch of a language is the sum of those of its sources. Quantiles of a
+    group are drawn towards those of its language as by PRIOR_DOCS documents more, so that small groups need no rule of their own. Median and first
+    decile do not move with junk in the upper tail, even if that is a third of a group, and the fences follow them up and down.
     """
     gamma = (1 + ACCURACY) / (1 - ACCURACY)
-    long = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])).alias("x")).select(*keys, "x.*")
-    bucket = F.when(F.col("value") > 0, F.ceil(F.log(F.greatest("value", F.lit(1e-9))) / F.lit(math.log(gamma)))).otherwise(F.lit(-100_000)).cast("int")
-    sketch = long.groupBy(*keys, "metric", bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    levels = [sketch.groupBy(*keys[:k], "metric", "bucket").agg(F.sum("n").alias("n")).select(*[F.col(c) if i < k else F.lit(None).cast("string").alias(c) for i, c in enumerate(keys)], "metric", "bucket", "n") for k in range(len(keys) + 1)]
-    union = levels[0]
-    for level in levels[1:]:
-        union = union.unionByName(level)
-    group = Window.partitionBy(*keys, "metric")
-    ranked = union.withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
-    value = F.when(F.col("bucket") == -100_000, 0.0).otherwise(2 * F.pow(F.lit(gamma), F.col("bucket")) / F.lit(gamma + 1))
-    at = lambda q: F.min(F.when(F.col("upto") >= F.lit(q) * F.col("total"), value))
-    floor = F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair])
-    return (
-        ranked.groupBy(*keys, "metric")
-        .agg(F.first("total").alias("n"), at(0.5).alias("q50"), at(0.9).alias("q90"))
-        .withColumn("fence", F.greatest(floor[F.col("metric")], F.col("q90") + REACH * (F.col("q90") - F.col("q50"))))
-        .select(*keys, "metric", "n", "fence")
-    )
+    long = rows.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in least_spread])).alias("x")).select("lang", "source", "x.*")
+    bucket = F.when(F.col("value") > 0, F.ceil(F.log(F.greatest("value", F.lit(1e-9))) / F.lit(math.log(gamma)))).otherwise(F.lit(NONE)).cast("int")
+    sketch = long.groupBy("lang", "source", "metric", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+    def drawn(own: DataFrame, wider: DataFrame, on: list[str]) -> DataFrame:
+        both = own.join(wider.select(*on, F.col("q50").alias("w50"), F.col("q10").alias("w10")), on)
+        pull = lambda q, w: (F.col("n") * F.col(q) + PRIOR_DOCS * F.col(w)) / (F.col("n") + PRIOR_DOCS)
+        return both.withColumns({"q50": pull("q50", "w50"), "q10": pull("q10", "w10")}).drop("w50", "w10")
+
+    by_lang = drawn(_quantiles(sketch, ["lang"], gamma), _quantiles(sketch, [], gamma), ["metric"])
+    own = drawn(_quantiles(sketch, ["lang", "source"], gamma), by_lang, ["lang", "metric"])
+    least = F.create_map(*[F.lit(x) for pair in least_spread.items() for x in pair])
+    spread = REACH * F.greatest(F.col("q50") - F.col("q10"), least[F.col("metric")])
+    fenced = own.withColumns({"low": F.col("q50") - spread, "high": F.col("q50") + spread})
+    return fenced.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{side}_{m}") for m in least_spread for side in ("low", "high")])
 
 
 def judge_quality(docs: DataFrame) -> DataFrame:
     """Counts of each document, the fixed base rule, and the verdict of the adaptive rules.
 
-    A document is kept if the base rule passes and each metric stays within the fence of its language and source (of the
-    language, then of all, where a group has under LEAST_GROUP documents). Only documents that pass the base rule shape the
-    fences. Null language or source is a group of its own; null text fails the base rule; repeated rows are judged each; an
-    empty table gives none. Fences allow for the long upper tail, so that ordinary documents stay whatever their source.
+    A document is kept if the base rule passes and each metric lies between the fences of its language and source. Only documents that pass
+    the base rule shape the fences. Null language or source is a group of its own; null text fails the base rule; repeated rows are judged each; an
+    empty table gives none; columns of the documents other than doc_id, text, lang and source are ignored.
     """
-    metrics = list(FLOORS)
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     counted = text_metrics(docs.select("doc_id", "text", key("lang"), key("source"))).drop("text")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     ratios = {"symbol_ratio": per("n_symbols", "word_chars"), "dup_line_ratio": per("n_dup_lines", "n_lines"), "repeat_ratio": per("n_repeat_words", "n_words"), "mean_word": per("word_chars", "n_words")}
-    rows = Scratch(docs.sparkSession, "quality").put(counted.withColumns(ratios | {"base_failed": failed}), "counts")
-    fences = quantile_fences(rows.where(~F.col("base_failed")), metrics, ["lang", "source"])
-    wide = fences.groupBy("lang", "source").agg(F.first("n").alias("n"), *[F.max(F.when(F.col("metric") == m, F.col("fence"))).alias(f"fence_{m}") for m in metrics])
-    own = wide.where(F.col("source").isNotNull() & (F.col("n") >= LEAST_GROUP))
-    by_lang = wide.where(F.col("source").isNull() & F.col("lang").isNotNull() & (F.col("n") >= LEAST_GROUP))
-    whole = wide.where(F.col("lang").isNull())
-    renamed = lambda df, mark, by: df.select(*by, *[F.col(f"fence_{m}").alias(f"{mark}_{m}") for m in metrics])
-    level = renamed(whole.withColumn("_one", F.lit(1)), "all", ["_one"])  # one row
-    joined = rows.withColumn("_one", F.lit(1)).join(renamed(own, "own", ["lang", "source"]), ["lang", "source"], "left").join(renamed(by_lang, "lang", ["lang"]), "lang", "left").join(F.broadcast(level), "_one", "left")
+    scratch = Scratch(docs.sparkSession, "quality")
+    rows = scratch.put(counted.withColumns(ratios | {"base_failed": failed}), "counts")
+    fences = scratch.put(quantile_fences(rows.where(~F.col("base_failed")), LEAST_SPREAD), "fences")
+    # a row for each language and source; a document without one failed the base rule
+    joined = rows.join(few_rows(fences), ["lang", "source"], "left")
     within = F.lit(True)
-    for m in metrics:
-        within = within & F.coalesce(F.col(m) <= F.coalesce(f"own_{m}", f"lang_{m}", f"all_{m}"), F.lit(True))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & within).alias("kept"), *metrics)
+    for m in LEAST_SPREAD:
+        within = within & F.coalesce(F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}")), F.lit(False))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & within).alias("kept"), *LEAST_SPREAD)

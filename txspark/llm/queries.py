@@ -90,10 +90,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from txspark.llm.quality import FLOORS, judge_quality
+    from txspark.llm.quality import LEAST_SPREAD, judge_quality
 
     judged = judge_quality(_read(spark, sf_dir, "documents"))
-    return judged.withColumns({c: F.round(c, 9) for c in FLOORS})
+    return judged.withColumns({c: F.round(c, 9) for c in LEAST_SPREAD})
 
 
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_soft_mixing, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
