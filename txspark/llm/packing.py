@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txspark.llm.ranks import with_ranks
@@ -19,14 +20,19 @@ from txspark.llm.staging import Scratch
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: A piece stays whole if as many of it as a sequence holds leave no more than this share of the sequence; pieces under capacity / SHORT always do.
+SLACK, SHORT = 1 / 32, 32
+
+
 @lru_cache(maxsize=1)
-def byte_bpe(path: str):
-    """An encoder for a byte-level BPE file of the ``tokenizers`` library.
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Ids as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives them, for a byte-level BPE file.
 
-    The ids equal those of ``Tokenizer.from_file(path)`` with ``add_special_tokens=False``; the merges are read as ranks,
-    which takes about a third of the time. Ranks of such a file are its ids, without the special tokens.
+    The merges are read as ranks for an encoder that takes a third of the time; ranks of such a file are its ids, without the special
+    tokens. Texts that name a special token, and those that the faster encoder cannot take (very long runs of white space), go through the tokenizer itself.
     """
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
@@ -34,82 +40,91 @@ def byte_bpe(path: str):
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    named = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
+
+    @lru_cache(maxsize=1)
+    def whole() -> Tokenizer:
+        return Tokenizer.from_file(path)
+
+    def encode(text: str) -> list[int]:
+        if not named.search(text):
+            try:
+                return fast(text)
+            except BaseException as error:  # the panic of a native library is no Exception
+                if type(error).__name__ != "PanicException":
+                    raise
+        return whole().encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
-    """Cut n ids into whole sequences, then halves, quarters and so on; a tail under capacity / 32 stays whole."""
-    out = [capacity] * (n // capacity)
-    rest, part = n % capacity, capacity // 2
-    while part >= max(capacity // 32, 1):
-        if rest >= part:
-            out.append(part)
-            rest -= part
-        part //= 2
-    return out + [rest] * (rest > 0)
+    """Cut n ids into whole sequences and a rest, which loses the largest reciprocal of the capacity below it until what is left fits its class."""
+    out, rest = [capacity] * (n // capacity), n % capacity
+    while rest:
+        k = capacity // rest
+        if capacity - k * rest <= capacity * SLACK or rest * SHORT < capacity:
+            return [*out, rest]
+        out.append(capacity // (k + 1))
+        rest -= out[-1]
+    return out
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024) -> DataFrame:
     """Harmonic packing: pieces whose length lies in a reciprocal class share sequences of a fixed number of pieces.
 
-    A document is its ids and a closing id 0. It is cut into pieces of capacity, capacity/2, ... capacity/32 and a tail
-    shorter than that. Pieces of length l form the class of capacity // l, filled with exactly that many pieces a
-    sequence wherever they come from, by their rank in the class; ranks need only counts of slices of a class. The last,
-    partial sequences of all classes (at most one for each length, so at most 37) are joined first-fit.
+    A document is its ids and a closing id 0, cut by ``piece_lengths``. Pieces longer than capacity / (k + 1), up to capacity / k, form
+    class k, in which each sequence takes k pieces wherever they come from, by their rank in the class; ranks need only counts of
+    slices of a class. The last, partial sequences of all classes (at most one for each class, so at most 64) are joined first-fit.
 
     Null text has no ids but the closing one; empty text likewise; repeated rows are packed each; other columns are ignored;
     an empty table gives no rows. Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = byte_bpe(tokenizer_path).encode_ordinary
+        encode = encoder(tokenizer_path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = np.array([*(encode(text) if text else ()), 0], dtype="<u4")
                 at = 0
                 for length in piece_lengths(len(ids), capacity):
-                    rows.append((doc_id, at, length, zlib.crc32(ids[at : at + length].tobytes()), len(ids)))
+                    rows.append((doc_id, at, length, zlib.crc32(ids[at : at + length].tobytes()), len(ids), capacity // length))
                     at += length
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "class"])
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, schema)
     pieces = Scratch(docs.sparkSession, "packing").put(rows, "pieces")
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = docs.sparkSession.createDataFrame(_layout(counts, capacity), "length long, _base long, _full long, _last long, _shift long, _before long")
-    a_bin = F.floor(F.lit(capacity) / F.col("length"))
+    counts = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    plan = docs.sparkSession.createDataFrame(_layout(counts, capacity), "class long, _base long, _full long, _last long, _before long")
     own = F.col("_rank") - F.col("_before")
-    full = own < F.col("_full") * a_bin
-    return (
-        with_ranks(pieces, sum(counts.values()), "length", ["doc_id", "start", "ids_crc32"], "_rank")
-        .join(F.broadcast(plan), "length")  # one row for each length: at most 37
-        .select(
-            "doc_id",
-            "start",
-            "length",
-            "ids_crc32",
-            "doc_tokens",
-            F.when(full, F.col("_base") + F.floor(own / a_bin)).otherwise(F.col("_last")).cast("long").alias("sequence_id"),
-            (F.pmod(own, a_bin) * F.col("length") + F.when(full, 0).otherwise(F.col("_shift"))).cast("long").alias("offset"),
-        )
+    sequence = F.when(own < F.col("_full") * F.col("class"), F.col("_base") + F.floor(own / F.col("class"))).otherwise(F.col("_last"))
+    placed = (
+        with_ranks(pieces, sum(counts.values()), "class", ["doc_id", "start", "ids_crc32"], "_rank")
+        .join(F.broadcast(plan), "class")  # a row for each class: at most 64
+        .withColumn("sequence_id", sequence.cast("long"))
     )
+    # a sequence has at most ``capacity`` pieces
+    before = Window.partitionBy("sequence_id").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
 
 
-def _layout(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
-    """For each length: first sequence, number of full ones, where its last pieces go and from which offset, and the ranks before it."""
+def _layout(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """For each class: first sequence, number of full ones, where its last pieces go, and the ranks before it."""
     out, base, before, rests = {}, 0, 0, []
-    for length in sorted(counts):
-        full, rest = divmod(counts[length], capacity // length)
-        out[length] = [base, full, -1, 0, before]
-        base, before = base + full, before + counts[length]
+    for k in sorted(counts):
+        full, rest = divmod(counts[k], k)
+        out[k] = [base, full, -1, before]
+        base, before = base + full, before + counts[k]
         if rest:
-            rests.append((rest * length, length))
+            rests.append((rest * (capacity // k), k))  # no piece of the class is longer
     open_to: list[int] = []
-    for need, length in sorted(rests, reverse=True):
-        k = next((k for k, used in enumerate(open_to) if used + need <= capacity), len(open_to))
-        if k == len(open_to):
+    for need, k in sorted(rests, reverse=True):
+        at = next((at for at, used in enumerate(open_to) if used + need <= capacity), len(open_to))
+        if at == len(open_to):
             open_to.append(0)
-        out[length][2:4] = [base + k, open_to[k]]
-        open_to[k] += need
-    return [(length, *row) for length, row in out.items()]
+        out[k][2] = base + at
+        open_to[at] += need
+    return [(k, *row) for k, row in out.items()]
