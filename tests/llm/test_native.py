@@ -84,6 +84,21 @@ def test_shards(spark, shards):
     assert shard_documents(cases.empty(spark)).count() == 0
 
 
+def test_shards_can_be_skipped(spark):
+    """A reader that knows the least and largest value of each shard leaves most of them out, by any of the three columns."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang", "source", F.octet_length("text").alias("n_bytes"), "text")
+    got = shard_documents(docs, 64).select("doc_id", "shard").join(docs.na.fill(""), "doc_id").toPandas()
+
+    def read(column, buckets):
+        ranges = got.groupby("shard")[column].agg(["min", "max"])
+        return sum(((ranges["min"] <= v) & (v <= ranges["max"])).mean() for v in buckets) / len(buckets)
+
+    langs, sources = sorted(set(got["lang"])), sorted(set(got["source"]))
+    assert read("lang", langs) < 0.45 and read("source", sources) < 0.5 and read("n_bytes", got["n_bytes"].quantile([0.1, 0.5, 0.9, 0.99]).tolist()) < 0.5
+    mixed = got.assign(shard=got["doc_id"] % 64)
+    assert all(((mixed.groupby("shard")["lang"].agg(["min", "max"])["min"] <= v)).all() for v in langs[1:])
+
+
 def counts_of(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]

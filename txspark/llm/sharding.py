@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txspark.llm.ranks import with_ranks
-from txspark.llm.staging import Scratch
+from txspark.llm.staging import Scratch, few_rows
 
 #: Bits of each dimension; the curve has 2 ** (bits * dimensions) cells.
 BITS = 5
@@ -56,27 +56,37 @@ def hilbert_index(dims: list[Column], bits: int = BITS) -> Column:
     return _let(_let(_let(F.aggregate(high, point, at_bit), gray), undone), interleaved)
 
 
+def ordered_codes(df: DataFrame, column: str, bits: int) -> DataFrame:
+    """``(column, code)`` for each value of a string column: codes of ``bits`` bits that grow with the value and cut the rows evenly.
+
+    The code of a value is the share of the rows that come before it in order. Only distinct values with their counts pass
+    the window without partitions.
+    """
+    counts = df.groupBy(column).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    share = F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.sum("_n").over(Window.partitionBy())
+    return counts.select(column, F.floor(share * (1 << bits)).cast("int").alias(f"{column}_code"))
+
+
 def shard_documents(docs: DataFrame, shards: int = 8, bits: int = BITS) -> DataFrame:
     """Cut the curve order of all documents into ``shards`` runs whose row counts differ by one at most.
 
-    Dimensions: size (logarithm), language and source, each quantised to ``bits`` bits, so that a shard spans few
-    values of each and a reader can skip shards by any of them. Rows of one curve cell are ordered by slices, then the
-    CRC-32 of the text and doc_id. Null text has size 1 and CRC 0; null language or source counts as the empty
+    Dimensions: size (logarithm), language and source, each quantised to ``bits`` bits in an order-preserving way, so that a shard spans
+    a narrow range of each and a reader can skip shards by the least and largest value of any of them. Rows of one curve cell are ordered by
+    slices, then the CRC-32 of the text and doc_id. Null text has size 1 and CRC 0; null language or source counts as the empty
     string; repeated rows are separate rows; an empty table gives none; other columns are ignored.
 
     Returns doc_id, size, text_crc32, law (``rows``), shard, slot, grown_shard (null) and curve.
     """
-    side = 1 << bits
-    code = lambda c: F.pmod(F.crc32(F.coalesce(c, F.lit("")).cast("binary")), F.lit(side))
+    scratch = Scratch(docs.sparkSession, "shards")
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    level = F.least(F.floor(F.log2(size.cast("double"))), F.lit(side - 1))
-    base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        size.alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        hilbert_index([level, code("lang"), code("source")], bits).alias("curve"),
-    )
-    rows = Scratch(docs.sparkSession, "shards").put(base, "curve")
+    level = F.least(F.floor(F.log2(F.col("size").cast("double"))), F.lit((1 << bits) - 1))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), named("lang"), named("source"))
+    base = scratch.put(base, "metadata")
+    for c in ("lang", "source"):
+        base = base.join(few_rows(scratch.put(ordered_codes(base, c, bits), c)), c)
+    rows = scratch.put(base.select("doc_id", "size", "text_crc32", hilbert_index([level, F.col("lang_code"), F.col("source_code")], bits).alias("curve")), "curve")
     total = rows.count()
     few, more = divmod(total, shards)  # the first `more` shards have few + 1 rows
     rank, wide = F.col("_rank"), more * (few + 1)
