@@ -9,29 +9,31 @@ from tokenizers import Tokenizer
 
 from tests.llm import cases
 from txspark.llm.langid import fit, identify
-from txspark.llm.packing import byte_bpe, pack, piece_lengths
+from txspark.llm.packing import encoder, pack, piece_lengths
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_equal_the_tokenizers(spark):
     texts = [t for _, t, *_ in cases.rows() if t] + ["<|endoftext|> it's  we'll\n\n  x　y ١٢٣ ½ ²"]
     texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
-    plain = byte_bpe(PATH)
+    texts += ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", " " * 2_000_000, "a" * 2_000_000, "x" + "\n" * 1_200_000 + "y <|endoftext", "\u3000" * 300_000]
+    encode = encoder(PATH)
     for text, want in zip(texts, tokenizer().encode_batch(texts, add_special_tokens=False), strict=True):
-        assert plain.encode_ordinary(text) == want.ids
+        assert encode(text) == want.ids
 
 
 def test_piece_lengths():
     for n in [*range(1, 70), 511, 512, 1023, 1024, 1025, 5000]:
         got = piece_lengths(n, 1024)
         assert sum(got) == n and max(got) <= 1024
+        for piece in got:  # in its class, a sequence of such pieces is near full, or they are short
+            assert piece * 32 < 1024 or 1024 - 1024 // piece * piece <= 1024 / 32
+    assert sum(len(piece_lengths(n, 1024)) for n in range(1, 1025)) / 1024 < 2.9
 
 
 def check_packing(docs, got, capacity=1024):

@@ -72,25 +72,8 @@ def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 80, ridge: float = 1e-3)
 class Model:
     """Weights over buckets: one column for each pair of families and for each pair of languages of a family."""
 
-    def __init__(self, x: np.ndarray, langs: np.ndarray):
-        self.languages = sorted(set(langs))
-        family = np.array([FAMILY.get(lang, lang) for lang in langs], dtype=object)
-        self.groups = {f: sorted(set(langs[family == f])) for f in sorted(set(family))}
-        if not len(x):
-            self.pairs, self.weights, self.bias = [], np.zeros((x.shape[1], 0)), np.zeros(0)
-            return
-        mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-4
-        z = (x - mean) / scale / np.float32(np.sqrt(x.shape[1]))
-        self.pairs, columns = [], []
-        for names, label in [(sorted(self.groups), family), *((names, langs) for names in self.groups.values())]:
-            for a, b in combinations(names, 2):
-                use = (label == a) | (label == b)
-                columns.append(fit_svm(z[use], np.where(label[use] == a, 1.0, -1.0)))
-                self.pairs.append((a, b))
-        w = np.array(columns).T if columns else np.zeros((x.shape[1] + 1, 0))
-        # margins as sums over the buckets of a text, so that scoring needs no counts
-        self.weights = w[:-1] / scale[:, None] / np.sqrt(x.shape[1])
-        self.bias = w[-1] - mean @ self.weights
+    def __init__(self, groups: dict[str, list[str]], pairs: list[tuple[str, str]], weights: np.ndarray, bias: np.ndarray):
+        self.groups, self.pairs, self.weights, self.bias = groups, pairs, weights, bias
 
     def margins(self, text: str) -> np.ndarray:
         grams = _grams(_bytes(text)).ravel()
@@ -112,7 +95,7 @@ class Model:
         return best, float(1 / (1 + np.exp(-3 * np.clip(least[best], -10, 10))))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not any(map(str.isalpha, text)) or not self.languages:
+        if not text or not any(map(str.isalpha, text)) or not self.groups:
             return UNKNOWN, 0.0
         margins = self.margins(text)
         family, sure = self.choose(sorted(self.groups), margins)
@@ -120,26 +103,58 @@ class Model:
         return lang, sure * surer
 
 
+def _duel(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the buckets and bias of a machine that was fitted on standardised features."""
+    mean, scale = x.mean(axis=0), x.std(axis=0) + np.float32(1e-4)
+    x -= mean
+    x /= scale * np.float32(np.sqrt(x.shape[1]))
+    w = fit_svm(x, y).astype(np.float64)
+    weights = w[:-1] / scale / np.sqrt(len(scale))
+    return np.append(weights, w[-1] - mean @ weights)
+
+
+def _fit_duel(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["doc_id", "lang"])
+    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), BUCKETS).copy()
+    return pd.DataFrame({"duel": [key[0]], "w": [_duel(x, np.where(rows["first"], 1.0, -1.0)).tobytes()]})
+
+
 def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
-    """Fit on at most ``rows_per_language`` rows of each language of ``labelled(doc_id, text, lang)``.
+    """Fit on about ``rows_per_language`` rows of each language of ``labelled(doc_id, text, lang)``, and as many of each family.
 
-    Only feature vectors of that bounded sample reach the driver. Rows without language or letters are not used.
+    Each pair of families, and each pair of languages of a family, is fitted by a task of its own on that bounded sample; the driver gets the
+    number of rows of each language and the weights of each pair. Rows without language, text or letters are not used.
     """
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    rate = F.lit(1.0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, F.lit(min(1.0, rows_per_language / n))).otherwise(rate)
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate * (1 << 20))
+    groups: dict[str, list[str]] = {}
+    for lang in sorted(counts):
+        groups.setdefault(FAMILY.get(lang, lang), []).append(lang)
+    duels = [*combinations(sorted(groups), 2), *(pair for names in groups.values() for pair in combinations(names, 2))]
+    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
+    # for each language, the duels it takes part in, its side, and the share of its rows that they see
+    parts: dict[str, list] = {lang: [] for lang in counts}
+    for k, (a, b) in enumerate(duels):
+        for name in (a, b):
+            members = groups[name] if k < len(groups) * (len(groups) - 1) // 2 else [name]
+            for lang in members:
+                parts[lang].append(F.struct(F.lit(k).alias("duel"), F.lit(name == a).alias("first"), F.lit(min(1.0, rows_per_language / counts[lang] / len(members))).alias("share")))
+    if not duels:
+        return Model(groups, [], np.zeros((BUCKETS, 0)), np.zeros(0))
+    table = F.create_map(*[x for lang, own in parts.items() for x in (F.lit(lang), F.array(*own))])
+    sample = usable.withColumn("duels", F.filter(table[F.col("lang")], lambda d: d["share"] >= rank)).where(F.size("duels") > 0)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[[any(map(str.isalpha, t)) for t in batch["text"]]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "x": [features(t).astype(np.float32).tobytes() for t in batch["text"]]})
-
-    sample = chosen.mapInPandas(vectors, "doc_id long, lang string, x binary").toPandas().sort_values(["doc_id", "lang"])
-    x = np.array([np.frombuffer(v, np.float32) for v in sample["x"]], dtype=np.float32).reshape(len(sample), BUCKETS)
-    return Model(x, sample["lang"].to_numpy(dtype=object))
+            yield batch[["doc_id", "lang", "duels"]].assign(x=[features(t).astype(np.float32).tobytes() for t in batch["text"]])
+
+    described = sample.mapInPandas(vectors, "doc_id long, lang string, duels array<struct<duel:int,first:boolean,share:double>>, x binary")
+    rows = described.select("doc_id", "lang", "x", F.explode("duels").alias("d")).select("doc_id", "lang", "x", "d.duel", "d.first")
+    fitted = rows.groupBy("duel").applyInPandas(_fit_duel, "duel int, w binary").collect()
+    weights = np.zeros((BUCKETS + 1, len(duels)))
+    for r in fitted:
+        weights[:, r["duel"]] = np.frombuffer(r["w"])
+    return Model(groups, duels, weights[:-1], weights[-1])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
