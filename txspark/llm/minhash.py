@@ -25,7 +25,9 @@ LEAST_AGREEMENT = 0.5
 #: Characters of text that a task turns into words at a time.
 BATCH_CHARS = 3_000_000
 #: Documents, and shingles, of one side of a tile in which sets are compared each with each, near enough.
-TILE, TILE_SHINGLES = 256, 2_000_000
+TILE, TILE_SHINGLES = 256, 400_000
+#: Shingles of the documents that meet one centre in a group, and of all documents of a group, near enough.
+CHUNK_SHINGLES, GROUP_SHINGLES = 150_000, 600_000
 #: Shingles in this many sets of a tile or more are counted by a matrix product, this many shingles at a time.
 COMMON, COLUMNS = 16, 4096
 
@@ -116,17 +118,21 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def _confirm(least_percent: int, width: int):
-    """Keep the pairs of texts whose full shingle sets are similar enough."""
+def _confirm(least_percent: int):
+    """Keep the pairs of a group of texts whose full shingle sets are similar enough. Rows are texts, each with the centre it meets and whether it is it."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch["text_a"], batch["text_b"], strict=True):
-                x, y = shingle_sets([a, b], width)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= least_percent * (len(x) + len(y) - both))
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, codes = np.unique(rows["doc_id"].to_numpy(np.int64), return_inverse=True)
+        first = np.unique(codes, return_index=True)[1]
+        sets = shingle_sets(rows["text"].iloc[first].tolist())
+        places, keep = {i: k for k, i in enumerate(ids.tolist())}, []
+        for a, b in zip(*(rows.loc[~rows["is_centre"], c].tolist() for c in ("doc_id", "centre")), strict=True):
+            x, y = sets[places[a]], sets[places[b]]
+            x, y = (x, y) if len(x) < len(y) else (y, x)
+            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            if 100 * both >= least_percent * (len(x) + len(y) - both):
+                keep.append((a, b))
+        return pd.DataFrame(keep, columns=["a", "b"]).astype("int64")
 
     return run
 
@@ -137,7 +143,7 @@ def _agreement(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         x = np.frombuffer(b"".join(batch["sketch_a"]), np.uint8) ^ np.frombuffer(b"".join(batch["sketch_b"]), np.uint8)
         same = ((x >> 4) == 0).astype(np.int16) + ((x & 15) == 0)
         share = same.reshape(len(batch), BINS // 2).sum(axis=1) / BINS
-        yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "alike": (share - 1 / 16) * 16 / 15})
+        yield batch[["a", "b", "n_a", "n_b"]].assign(alike=(share - 1 / 16) * 16 / 15)
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -225,7 +231,7 @@ def _rest(texts: DataFrame, reps: DataFrame, groups: DataFrame, scratch: Scratch
     meets = F.when(F.col("block") < F.col("n_other"), F.sequence(F.lit(0), F.col("n_other") + F.col("n_large") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_other") - 1))
     tiles = numbered.select("doc_id", "component", "cluster", "block", F.explode(meets).alias("with"))
     tiles = tiles.select("doc_id", "component", "cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"))
-    sets = texts.join(few_rows(rows.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInPandas(_sets, "doc_id long, shingles binary")
+    sets = texts.join(few_rows(rows.select("doc_id")), "doc_id", "left_semi").mapInPandas(_sets, "doc_id long, shingles binary")
     return tiles.join(scratch.put(sets, "sets"), "doc_id").groupBy("cluster", "i", "j").applyInPandas(_tile_links(least_percent), "a long, b long")
 
 
@@ -238,8 +244,8 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     that still lie in different groups. Last, documents that share a bucket and still lie in different groups are all compared on the full
     sets, in tiles, so that no pair which shares a bucket is lost to the choice of centres. Groups are the components of confirmed links.
 
-    Null or empty text, or text without words, has an empty set and is linked with nothing. Rows that repeat a doc_id with
-    the same text give one row; an empty table gives none; other columns are ignored. Returns doc_id, n_shingles, component_id
+    Null or empty text, or text without words, has an empty set and is linked with nothing. Rows that repeat a doc_id must
+    repeat its text, and give one row; an empty table gives none; other columns are ignored. Returns doc_id, n_shingles, component_id
     (smallest doc_id of the group), kept (whether it is this one).
     """
     spark = docs.sparkSession
@@ -248,7 +254,10 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     schema = "doc_id long, n_shingles long, set_key binary, sketch binary, bands array<long>"
     described = scratch.put(texts.mapInPandas(_describe, schema), "described")
     classes = scratch.put(described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = described.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    often = scratch.put(described.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "often")
+    once = _once(texts, often)
+    # equal rows have equal sketches
+    reps = scratch.put(_once(described, often).join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch", "bands"), "reps")
 
     member = reps.select("doc_id", F.explode("bands").alias("bucket"))
     first = [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)).alias("order"), F.col("doc_id").alias("id")))["id"] for k in range(1, CENTRES)]
@@ -258,31 +267,52 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
 
     slim = reps.select("doc_id", "n_shingles", "sketch")
     side = lambda x: slim.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
-    sized = edges.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= least_percent * F.greatest("n_a", "n_b"))
-    alike = sized.select("a", "b", "sketch_a", "sketch_b").mapInPandas(_agreement, "a long, b long, alike double").where(F.col("alike") >= LEAST_AGREEMENT)
+    # edges are written first, so that a centre of very many is a hot key of a plain join, which adaptive execution splits
+    sized = scratch.put(edges, "edges").join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= least_percent * F.greatest("n_a", "n_b"))
+    alike = sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(_agreement, "a long, b long, n_a long, n_b long, alike double").where(F.col("alike") >= LEAST_AGREEMENT)
     candidates = scratch.put(alike, "candidates")
+    scratch.drop("edges")
 
-    best = candidates.groupBy("a").agg(F.max(F.struct("alike", "b"))["b"].alias("b"))
-    links = scratch.put(_confirmed(texts, scratch.put(best, "best"), least_percent), "links-1")
+    best = candidates.groupBy("a").agg(F.max(F.struct("alike", "b", "n_a", "n_b")).alias("x")).select("a", "x.b", "x.n_a", "x.n_b")
+    best = scratch.put(best, "best")
+    links = scratch.put(_confirmed(once, best, least_percent, scratch), "links-1")
     groups = connected_components(links, scratch, "groups-1")
     of = lambda x: groups.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
-    open_pairs = candidates.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    open_pairs = scratch.put(open_pairs.join(best, ["a", "b"], "left_anti"), "open")
-    links = links.unionByName(scratch.put(_confirmed(texts, open_pairs, least_percent), "links-2"))
+    open_pairs = candidates.drop("alike").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "n_a", "n_b")
+    open_pairs = scratch.put(open_pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), "open")
+    scratch.free_shuffles()
+    links = links.unionByName(scratch.put(_confirmed(once, open_pairs, least_percent, scratch), "links-2"))
     groups = connected_components(links, scratch, "groups-2")
-    more = _rest(texts, reps, groups, scratch, least_percent)
+    more = _rest(once, reps, groups, scratch, least_percent)
     if more is not None:
         groups = connected_components(links.unionByName(scratch.put(more, "links-3")), scratch, "groups-3")
+    scratch.free_shuffles()
 
     component = classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    plain = described.select("doc_id", "n_shingles", "set_key").distinct()
+    plain = _once(described.select("doc_id", "n_shingles", "set_key"), often)
     out = plain.join(component, "set_key", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame, least_percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that hold on full sets. Each text travels once for each pair that it is in."""
-    pairs = few_rows(pairs)
-    left = texts.join(pairs, texts["doc_id"] == pairs["a"]).select("a", "b", F.col("text").alias("text_a"))
-    right = texts.join(pairs, texts["doc_id"] == pairs["b"]).select("a", "b", F.col("text").alias("text_b"))
-    return left.join(right, ["a", "b"]).mapInPandas(_confirm(least_percent, WIDTH), "a long, b long").distinct()
+def _once(rows: DataFrame, often: DataFrame) -> DataFrame:
+    """One row of each doc_id. Only the ids in ``often`` have several, and only their rows are dealt anew."""
+    if often.isEmpty():
+        return rows
+    ids = few_rows(often)
+    return rows.join(ids, "doc_id", "left_anti").unionByName(rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def _confirmed(texts: DataFrame, pairs: DataFrame, least_percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs ``(a, b)`` that hold on full sets.
+
+    The documents that meet one centre b are cut into chunks of about CHUNK_SHINGLES, and the centre's text travels once to each chunk; chunks are
+    joined to groups of about GROUP_SHINGLES, so that a centre of very many documents is dealt over as many groups.
+    """
+    load = pairs.groupBy("b").agg((F.ceil(F.sum("n_a") / CHUNK_SHINGLES)).cast("long").alias("chunks"))
+    several = scratch.put(load.where("chunks > 1"), "several")
+    size = pairs.agg(F.sum(F.col("n_a") + F.col("n_b"))).first()[0] or 0
+    keyed = pairs.join(few_rows(several), "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("chunks", F.lit(1))).alias("chunk"))
+    keyed = keyed.select("a", "b", F.pmod(F.xxhash64("b", "chunk"), F.lit(-(-size // GROUP_SHINGLES) or 1)).alias("group"), "chunk")
+    centres = keyed.select(F.col("b").alias("doc_id"), F.col("b").alias("centre"), "group", F.lit(True).alias("is_centre")).distinct()
+    members = scratch.put(keyed.select(F.col("a").alias("doc_id"), F.col("b").alias("centre"), "group", F.lit(False).alias("is_centre")).unionByName(centres), "members")
+    return texts.join(few_rows(members), "doc_id").groupBy("group").applyInPandas(_confirm(least_percent), "a long, b long")
