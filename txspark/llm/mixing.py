@@ -83,6 +83,7 @@ def fit_domains(labelled: DataFrame, rows_per_domain: int = ROWS_PER_DOMAIN) ->
     n = {k: max(size.get(k, 0), 1) for k in names}
     total = sum(n.values())
     by_word = held.groupBy("word").agg(*[F.count_if(F.col("domain") == k).alias(f"c{i}") for i, k in enumerate(names)])
+    by_word = Scratch(labelled.sparkSession, "domains").put(by_word, "words")
     every = sum((F.col(f"c{i}") for i in range(len(names))), F.lit(0))
     telling = None
     for i, k in enumerate(names):
@@ -196,9 +197,12 @@ def apply_mixture(docs: DataFrame, mixture: Mixture) -> DataFrame:
 
 
 def domain_of(labels: DataFrame) -> DataFrame:
-    """``(doc_id, domain)`` of a table of labels: toxic, else high or low quality; null if both are unknown."""
-    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
-    return labels.select("doc_id", domain.alias("domain")).dropDuplicates(["doc_id"])
+    """``(doc_id, domain)`` of a table of labels: toxic, else low or high quality; null if both are unknown.
+
+    Of several labels of a document the first in that order holds.
+    """
+    place = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    return labels.groupBy("doc_id").agg(F.min(place).alias("place")).select("doc_id", F.get(F.array(F.lit("toxic"), F.lit("low"), F.lit("high")), F.col("place")).alias("domain"))
 
 
 def label_documents(docs: DataFrame, labels: DataFrame, rows_per_domain: int = ROWS_PER_DOMAIN) -> DataFrame:
