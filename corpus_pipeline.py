@@ -74,8 +74,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     toxic = Scratch(spark, "toxic").put(labels.where("toxic = 1").select("doc_id").distinct(), "ids")
     rest = docs.join(few_rows(toxic), "doc_id", "left_anti").select(*docs.columns)
     mixture = fit_mixture(score_domains(rest, domains), domains, SHARES, keep=("high", "low"))
-    drawn = apply_mixture(rest, mixture).where("copies > 0")
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    drawn = apply_mixture(rest.select("doc_id", "text", F.struct(*rest.columns).alias("row")), mixture).where("copies > 0")
+    return drawn.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
