@@ -18,7 +18,7 @@ LENGTH, PREFIX = 200, 32
 #: Windows of a block, the step between an anchor's windows and single ones.
 BLOCK = 16
 #: Bytes of text that are hashed at a time, near enough. A window's key has PLACE_BITS bits of its hash, and a place in the others.
-BATCH_BYTES, PLACE_BITS = 4_000_000, 40
+BATCH_BYTES, PLACE_BITS = 2_000_000, 40
 #: Batches in which a whole table enters the index.
 BATCHES = 4
 
@@ -31,7 +31,7 @@ def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class _Hashes:
-    """Hashes of all substrings of some lengths of a byte string, by doubling."""
+    """Hashes of all substrings of PREFIX and 128 bytes of a byte string, by doubling."""
 
     def __init__(self, data: np.ndarray):
         self.n = len(data)
@@ -40,7 +40,8 @@ class _Hashes:
         self.by: dict[int, np.ndarray] = {}
         for k in (8, 16, 32, 64):
             h = _pair(h[: len(h) - k], h[k:])
-            self.by[2 * k] = h
+            if 2 * k in (PREFIX, 128):
+                self.by[2 * k] = h
 
     def at(self, length: int, places: np.ndarray) -> np.ndarray:
         """Hashes of the substrings of ``length`` (128 to 256) at the places: two overlapping halves of 128."""
