@@ -270,3 +270,32 @@ def test_additive_terms_score_like_the_pipeline(spark):
     trials = models.search(df, df, "random_forest", ["a", "b"], {"numTrees": [2, -1], "maxDepth": [2]}, n=2)
     assert {r["state"] for r in trials.collect()} == {"complete", "pruned"}
     assert len(models.refit_top(trials, 3, df, df, "random_forest", ["a", "b"])) == 1
+
+
+def test_calls_from_annotation_genome_and_tracks(spark):
+    """A token of an entry track turns the call of one of two transcripts with equal signal."""
+    from txspark.operators.models import TERMS, Additive, call_annotation
+
+    sequence = "ACGTTGCAAGGTCCATTGACCATGCAAGTCCGATTACGGA" * 8
+    genome = spark.createDataFrame([("2L", sequence)], "chromosome string, sequence string")
+    rows = [("2L", f, t, s, e, "+") for t, s, e in (("a", 0, 100), ("b", 150, 290)) for f in ("transcript", "exon")]
+    annotation = spark.createDataFrame(rows, "chromosome string, feature string, transcript_id string, start long, end long, strand string")
+    signal = spark.createDataFrame([("chr2L", 0, 320, 2.0)], "chromosome string, start long, end long, value double")
+    entries = spark.createDataFrame([("chr2L", 160, 170, "x\ty\t0\tEve-1")], "chromosome string, start long, end long, rest string")
+    spec = [{"path": "s", "stat": "mean", "name": "mean_signal"}, {"path": "e", "stat": "extract_names", "name": "entries_tfbs", "name_field_index": 3}]
+    terms = spark.createDataFrame([("tfbs_eve_1", "tfbs_eve_1", b, None, None, v) for b, v in enumerate((-1.0, 1.0))] + [("mean_signal", "mean_signal", b, None, None, v) for b, v in enumerate((5.0, 0.0))], TERMS)
+    model = Additive(terms, {"tfbs_eve_1": [0.5], "mean_signal": [1.0]})
+    schema = {"mean_signal": "double", "tfbs_eve_1": "boolean", "3mer_svd1": "double"}
+    got = call_annotation(annotation, genome, spec, {"s": ("signal", signal), "e": ("entry", entries)}, model, schema, lengths=(3, 4))
+    assert {r["transcript_id"]: (r["prediction"], r["chromosome"]) for r in got.collect()} == {"a": (0, "chr2L"), "b": (1, "chr2L")}
+
+
+@pytest.mark.parametrize("rows", [3, 7, 1000])
+def test_running_totals_over_slices(spark, rows):
+    from txspark.operators.ordered import running
+
+    df = spark.createDataFrame([(float((i * 37) % 101), i) for i in range(101)], "x double, n long").repartition(5)
+    got = running(df, "x", {"up": F.col("n")}, F.sum, lambda a, b: a + b, rows=rows).collect()
+    down = running(df, "x", {"low": F.col("n")}, F.min, F.least, descending=True, rows=rows).collect()
+    assert all(r["up"] == sum(s["n"] for s in got if s["x"] <= r["x"]) for r in got)
+    assert all(r["low"] == min(s["n"] for s in down if s["x"] >= r["x"]) for r in down)

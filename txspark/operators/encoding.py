@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Columns that an encoding may make.
 MOST_COLUMNS = 20_000
@@ -44,6 +45,31 @@ def multi_hot(df: DataFrame, columns: list[str], prefix: bool = True, vocabulary
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], *encoded)
 
 
+def _column_of(prefix: str):
+    """The sanitised column name of a token."""
+    return lambda token: F.btrim(F.regexp_replace(F.regexp_replace(F.concat(F.lit(prefix), token), "[^a-zA-Z0-9_]", "_"), "__+", "_"), F.lit("_"))
+
+
+def encode_for_schema(df: DataFrame, schema: dict[str, str], keys: tuple[str, ...] = ("transcript_id",)) -> DataFrame:
+    """Comma-list columns become the boolean columns of a model's schema that start with the last part of their names; the schema is the vocabulary.
+
+    Tokens are compared in lower case and as sanitised names. A column that the schema itself has, or that no name of it starts with, stays.
+    """
+    made: dict[str, list] = {}
+    gone = []
+    for f in df.schema.fields:
+        prefix = f.name.split("_")[-1] + "_"
+        names = [n for n in schema if n.startswith(prefix)]
+        if isinstance(f.dataType, T.StringType) and f.name not in (*keys, *schema) and names:
+            gone.append(f.name)
+            held = F.transform(F.coalesce(_tokens(f"`{f.name}`"), F.array()), _column_of(prefix))
+            for n in names:
+                made.setdefault(n, []).append(F.array_contains(held, n))
+    made = {n: tests + ([F.col(f"`{n}`").cast("boolean")] if n in df.columns else []) for n, tests in made.items()}
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in gone and c not in made]
+    return df.select(*kept, *[reduce(lambda a, b: a | b, tests).alias(n) for n, tests in made.items()])
+
+
 def merge_agreeing(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns with one name after the first ``_`` that are equal in every row become ``merged_<name>`` (ENC4)."""
     groups: dict[str, list[str]] = {}

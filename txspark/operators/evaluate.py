@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txspark.operators.ordered import running
+
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
@@ -37,11 +39,16 @@ def confusion(df: DataFrame, normalize: bool = False) -> DataFrame:
 
 
 def _steps(df: DataFrame, by: list[str]) -> DataFrame:
-    """True and false positives at each distinct score and above. Rows of one score are added up before the ordered window."""
+    """p, n, true and false positives at each distinct score and above. Rows of one score are added up before the ordered windows, which see a
+    slice of the scores each, or a group if there are groups."""
     counts = df.groupBy(*by, "score").agg(F.count_if(F.col("y").cast("int") == 1).alias("p"), F.count_if(F.col("y").cast("int") == 0).alias("n"))
+    values = {"tp": F.col("p"), "fp": F.col("n")}
+    if not by:
+        totals = counts.agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n")).withColumn("_k", F.lit(1))
+        return running(counts, "score", values, F.sum, lambda a, b: a + b, descending=True).withColumn("_k", F.lit(1)).join(F.broadcast(totals), "_k").drop("_k")
     group = Window.partitionBy(*by)
     down = group.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select(*by, "score", F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("fp"), F.sum("p").over(group).alias("all_p"), F.sum("n").over(group).alias("all_n"))
+    return counts.select("*", *[F.sum(v).over(down).alias(k) for k, v in values.items()], F.sum("p").over(group).alias("all_p"), F.sum("n").over(group).alias("all_n"))
 
 
 def roc_curve(df: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -56,9 +63,8 @@ def roc_curve(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 def roc_auc(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Area under the ROC curve by trapezoids; 0 for a single class (EVL4)."""
     by = by or []
-    order = Window.partitionBy(*by).orderBy(F.col("score").desc())
     s = _steps(df, by)
-    area = (F.col("fp") - F.lag("fp", 1, 0).over(order)) * (F.col("tp") + F.lag("tp", 1, 0).over(order)) / 2
+    area = F.col("n") * (2 * F.col("tp") - F.col("p")) / 2
     return s.withColumn("_a", area).groupBy(*by).agg(_ratio(F.sum("_a"), F.first("all_p").cast("double") * F.first("all_n")).alias("roc_auc"))
 
 
@@ -74,9 +80,10 @@ def pr_curve(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 def pr_auc(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Area under the precision-recall curve by trapezoids from (0, 1) (EVL5)."""
     by = by or []
-    order = Window.partitionBy(*by).orderBy(F.col("score").desc())
-    s = _steps(df, by).withColumns({"r": _ratio(F.col("tp"), F.col("all_p")), "p": F.col("tp") / (F.col("tp") + F.col("fp"))})
-    area = (F.col("r") - F.lag("r", 1, 0.0).over(order)) * (F.col("p") + F.lag("p", 1, 1.0).over(order)) / 2
+    s = _steps(df, by)
+    tp, fp = F.col("tp") - F.col("p"), F.col("fp") - F.col("n")  # at the score above
+    above = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(1.0))
+    area = _ratio(F.col("p"), F.col("all_p")) * (F.col("tp") / (F.col("tp") + F.col("fp")) + above) / 2
     return s.withColumn("_a", area).groupBy(*by).agg(F.sum("_a").alias("pr_auc"))
 
 

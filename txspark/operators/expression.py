@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txspark.operators.ordered import running
+
 
 def sample_fpkm(records: DataFrame) -> DataFrame:
     """Mean FPKM of each transcript and sample; values that are no numbers are skipped (AGG2)."""
@@ -112,13 +114,13 @@ def dge_statistics(fpkm: DataFrame, samples: DataFrame, level: str = "transcript
 def bh_adjust(df: DataFrame, p: str = "pval", name: str = "qval") -> DataFrame:
     """Benjamini-Hochberg q-values; null p has null q (DGE3).
 
-    Equal p are one row before the ordered windows, which see only (p, count).
+    Equal p are one row before the ordered windows, which see (p, count) of a slice of the p-values each.
     """
-    counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n"))
-    up = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_rank", F.sum("_n").over(up)).withColumn("_m", F.sum("_n").over(Window.partitionBy()))
-    down = Window.orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    q = ranked.select("_p", F.least(F.lit(1.0), F.min(F.col("_p") * F.col("_m") / F.col("_rank")).over(down)).alias(name))
+    counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).cast("double").alias("_p")).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    ranked = running(counts, "_p", {"_rank": F.col("_n")}, F.sum, lambda a, b: a + b)
+    q = running(ranked, "_p", {"_q": F.col("_p") * F.lit(total) / F.col("_rank")}, F.min, F.least, descending=True)
+    q = q.select("_p", F.least(F.lit(1.0), "_q").alias(name))
     return df.join(q, df[p] == q["_p"], "left").drop("_p")
 
 

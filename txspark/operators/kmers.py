@@ -46,14 +46,14 @@ def tfidf(kmers: DataFrame) -> DataFrame:
 
 def _svd(rows: DataFrame, columns: list[str], n: int, weight: str) -> DataFrame:
     """(transcript_id, component, score) of a matrix with few columns; V, of columns x n numbers, is all that reaches the driver."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
 
     spark, index = rows.sparkSession, {c: i for i, c in enumerate(columns)}
-    width = len(columns)
-    grouped = rows.groupBy("transcript_id").agg(F.collect_list(F.struct("kmer", weight)).alias("x"))
-    vectors = grouped.rdd.map(lambda r: IndexedRow(0, Vectors.sparse(width, sorted((index[c], float(v)) for c, v in r["x"]))))
-    v = np.array(IndexedRowMatrix(vectors).computeSVD(n, computeU=False).V.toArray())
+    wide = rows.groupBy("transcript_id").pivot("kmer", columns).agg(F.sum(weight)).fillna(0.0, columns)
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(wide).select("v")
+    v = np.array(RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeSVD(n, computeU=False).V.toArray())
     v = v * np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0)  # the largest entry is positive
     table = spark.createDataFrame([(c, j, float(v[i, j])) for c, i in index.items() for j in range(v.shape[1])], "kmer string, component int, v double")
     return rows.join(table, "kmer").groupBy("transcript_id", "component").agg(F.sum(F.col(weight) * F.col("v")).alias("score"))
@@ -84,15 +84,23 @@ def svd_global(kmers: DataFrame, n: int, weight: str = "weight") -> DataFrame:
     return scores.select("transcript_id", F.concat(F.lit("SVD_"), "component").alias("name"), "score")
 
 
-def reduce_kmers(kmers: DataFrame, n: int | dict[int, int] = 1, order: str = "tfidf_svd", by_k: bool = True) -> DataFrame:
-    """A wide table of components by transcript: weights first, or, in the order ``svd_tfidf``, counts (SEQ11).
+def component_weights(scores: DataFrame) -> DataFrame:
+    """(transcript_id, name, score) with scores times ln((1 + n) / (1 + df)) + 1, each id's row scaled to length 1; df counts scores that are not 0."""
+    n = scores.agg(F.count_distinct("transcript_id").alias("n")).withColumn("_k", F.lit(1))
+    idf = scores.groupBy("name").agg(F.count_if(F.col("score") != 0).alias("df")).withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k")
+    # a row for each component
+    weighed = scores.join(F.broadcast(idf.select("name", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))), "name").withColumn("w", F.col("score") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("transcript_id")))
+    return weighed.select("transcript_id", "name", F.when(norm > 0, F.col("w") / norm).otherwise(F.col("w")).alias("score"))
 
-    In that order the weights would apply to components, which have no document frequency, so it stops at the decomposition.
-    """
+
+def reduce_kmers(kmers: DataFrame, n: int | dict[int, int] = 1, order: str = "tfidf_svd", by_k: bool = True) -> DataFrame:
+    """A wide table of components by transcript: weights of k-mers first, or, in the order ``svd_tfidf``, weights of the components (SEQ11)."""
     if order not in ("tfidf_svd", "svd_tfidf"):
         raise ValueError(f"unknown order {order!r}")
     rows, weight = (tfidf(kmers), "weight") if order == "tfidf_svd" else (kmers, "cnt")
     scores = svd_by_k(rows, n, weight) if by_k else svd_global(rows, n if isinstance(n, int) else 1, weight)
+    scores = component_weights(scores) if order == "svd_tfidf" else scores
     return scores.groupBy("transcript_id").pivot("name").agg(F.first("score"))
 
 

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 import random
 import time
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txspark.functions.scalars import normalize_chrom
+from txspark.operators.annotation import annotation_to_intervals
 from txspark.operators.assembly import assemble_features, attach_dge, attach_expression, attach_metadata, drop_non_features
-from txspark.operators.cleaning import canonical_columns, dedup_rows, handle_missing
+from txspark.operators.cleaning import canonical_columns, dedup_rows, handle_missing, sanitize_columns
+from txspark.operators.encoding import encode_for_schema
 from txspark.operators.evaluate import metrics, roc_auc
+from txspark.operators.kmers import count_kmers, reduce_kmers
 from txspark.operators.scaling import apply_scaler
 from txspark.operators.schema import enforce_schema, fields_of
+from txspark.operators.sequences import spliced_sequences
+from txspark.operators.tracks import query_tracks
 
 TERMS = "term string, feature string, bin int, feature2 string, bin2 int, score double"
 
@@ -24,29 +31,47 @@ def _bin(value: Column, cuts: list[float]) -> Column:
     return reduce(lambda a, c: a + F.when(value >= c, 1).otherwise(0), cuts, F.lit(0))
 
 
+def _contributions(terms: DataFrame, cuts: dict[str, list[float]]) -> list[tuple[str, Column]]:
+    """Each term with its contribution as an expression: look-ups of the scores by bin. A null value contributes 0. The model reaches the driver."""
+    table: dict[tuple, dict[tuple, float]] = {}
+    for r in terms.collect():
+        table.setdefault((r["term"], r["feature"], r["feature2"]), {})[r["bin"], r["bin2"] or 0] = r["score"]
+    value = lambda c: F.col(f"`{c}`").cast("double")
+    binned = lambda c: F.when(value(c).isNotNull(), _bin(value(c), cuts[c]))
+    out = []
+    for (term, one, two), scores in sorted(table.items(), key=lambda kv: kv[0][0]):
+        wide = len(cuts[two]) + 1 if two else 1
+        flat = F.array(*[F.lit(scores.get((a, b), 0.0)) for a in range(len(cuts[one]) + 1) for b in range(wide)])
+        place = binned(one) * wide + binned(two) if two else binned(one)
+        out.append((term, F.coalesce(F.get(flat, place), F.lit(0.0))))
+    return out
+
+
 def explain_rows(df: DataFrame, terms: DataFrame, cuts: dict[str, list[float]], key: str = "transcript_id") -> DataFrame:
     """(id, term, contribution) of each row and term, for single features and pairs (MDL2). A null value contributes 0.
 
     ``terms`` has a row for each term and bin (or pair of bins), ``cuts`` the ascending cut points of each feature; both are the model.
     """
-    value = lambda c: F.col(f"`{c}`").cast("double")
-    binned = F.create_map(*[x for c in cuts for x in (F.lit(c), F.when(value(c).isNotNull(), _bin(value(c), cuts[c])))])
-    layout = terms.select("term", "feature", "feature2").distinct()
-    rows = df.select(F.col(key), binned.alias("bins"))
-    slots = F.array(*[F.struct(F.lit(r["term"]).alias("term"), F.lit(r["feature"]).alias("feature"), F.lit(r["feature2"]).cast("string").alias("feature2")) for r in sorted(layout.collect(), key=lambda r: r["term"])])
-    wide = rows.select(key, "bins", F.explode(slots).alias("s"))
-    at = wide.select(key, F.col("s.term").alias("term"), F.element_at("bins", F.col("s.feature")).alias("bin"), F.when(F.col("s.feature2").isNotNull(), F.element_at("bins", F.col("s.feature2"))).otherwise(-1).alias("bin2"))
-    table = terms.select("term", "bin", F.coalesce("bin2", F.lit(-1)).alias("bin2"), "score")
-    # the model is a row for each term and bin
-    return at.join(F.broadcast(table), ["term", "bin", "bin2"], "left").select(key, "term", F.coalesce("score", F.lit(0.0)).alias("contribution"))
+    parts = F.array(*[F.struct(F.lit(t).alias("term"), c.alias("contribution")) for t, c in _contributions(terms, cuts)])
+    return df.select(key, F.explode(parts).alias("x")).select(key, "x.*")
 
 
 def score_additive(df: DataFrame, terms: DataFrame, cuts: dict[str, list[float]], intercept: float = 0.0, key: str = "transcript_id") -> DataFrame:
-    """(id, score, prob, pred): logistic of the intercept and all contributions; 1 from 0.5 on (MDL1)."""
-    score = explain_rows(df, terms, cuts, key).groupBy(key).agg((F.sum("contribution") + intercept).alias("score"))
+    """(id, score, prob, pred): logistic of the intercept and all contributions, in one projection; 1 from 0.5 on (MDL1)."""
+    total = F.aggregate(F.array(*[c for _, c in _contributions(terms, cuts)]), F.lit(0.0), lambda a, c: a + c)
+    score = df.select(key, (total + intercept).alias("score"))
     return score.withColumn("prob", 1 / (1 + F.exp(-F.col("score")))).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
 
 
+@dataclass
+class Additive:
+    """An additive model as tables: terms, cut points and intercept."""
+
+    terms: DataFrame
+    cuts: dict[str, list[float]]
+    intercept: float = 0.0
+
+
 def importance(contributions: DataFrame, top_n: int | None = None, singles_only: bool = False) -> DataFrame:
     """(term, importance, percent, cumulative, rank): mean absolute contribution, largest first (MDL3). Pair terms contain `` & ``."""
     per = contributions.groupBy("term").agg(F.avg(F.abs("contribution")).alias("importance"))
@@ -166,17 +191,21 @@ def refit_top(trials: DataFrame, n: int, train_df: DataFrame, holdout: DataFrame
 
 
 def clean_for_model(features: DataFrame, schema: dict[str, str], scaler: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Rows ready for a model, and the ids that cleaning dropped. Encode, enforce, then scale with saved statistics."""
+    """Rows ready for a model, and the ids that cleaning dropped: comma lists become the model's token columns, names are sanitised, the
+    schema is enforced, and saved statistics scale the rest."""
     clean = dedup_rows(canonical_columns(handle_missing(drop_non_features(features))))
-    ready = enforce_schema(clean, schema)
+    ready = enforce_schema(sanitize_columns(encode_for_schema(clean, schema)), schema)
     dropped = features.select("transcript_id").join(ready.select("transcript_id"), "transcript_id", "left_anti").distinct()
     return (apply_scaler(ready, scaler) if scaler is not None else ready), dropped
 
 
 def score_features(features: DataFrame, model, schema: dict[str, str], scaler: DataFrame | None = None) -> DataFrame:
-    """(transcript_id, prediction, prob_lncrna, prob_coding) of extracted features (MDL8)."""
+    """(transcript_id, prediction, prob_lncrna, prob_coding) of extracted features by a fitted pipeline or an ``Additive`` (MDL8)."""
     ready, _ = clean_for_model(features, schema, scaler)
-    scored = predict(model, ready, list(schema))
+    if isinstance(model, Additive):
+        scored = score_additive(ready, model.terms, model.cuts, model.intercept).select("transcript_id", "pred", F.col("prob").alias("score"))
+    else:
+        scored = predict(model, ready, list(schema))
     return scored.select("transcript_id", F.col("pred").alias("prediction"), F.col("score").alias("prob_lncrna"), (1 - F.col("score")).alias("prob_coding"))
 
 
@@ -189,5 +218,18 @@ def call_transcripts(annotation: DataFrame, model, schema: dict[str, str], track
     return attach_dge(out, dge) if dge is not None else out
 
 
+def call_annotation(annotation: DataFrame, genome: DataFrame, spec: list[dict], tracks: dict[str, tuple[str, DataFrame]], model, schema: dict[str, str], sizes: DataFrame | None = None, lengths: tuple[int, int] = (3, 12), components: int | dict[int, int] = 1, **rest) -> DataFrame:
+    """From annotation, genome and track specification to enriched calls (MDL9).
+
+    Transcripts are queried on all tracks; their spliced sequences give k-mer components of ``lengths``; ``rest`` goes to ``call_transcripts``.
+    """
+    chrom = normalize_chrom(F.col("chromosome"))
+    own, genome = annotation.withColumn("chromosome", chrom), genome.withColumn("chromosome", chrom)
+    intervals = annotation_to_intervals(annotation).select("chromosome", "start", "end", "transcript_id")
+    track = query_tracks(intervals, spec, tracks, sizes).drop("chromosome", "start", "end")
+    kmers = reduce_kmers(count_kmers(spliced_sequences(own, genome), *lengths), components)
+    return call_transcripts(own, model, schema, track, kmers=kmers, **rest)
+
+
 def feature_columns(df: DataFrame, label: str = "y") -> list[str]:
     return [c for c in fields_of(df) if c != label]

@@ -27,7 +27,8 @@ def transcript_intervals(x):
     return annotation.annotation_to_intervals(x.f_annotation)
 
 
-@query("""SELECT transcript_id, start, "end" FROM f_annotation WHERE feature = 'exon' AND transcript_id IN (SELECT transcript_id FROM f_annotation WHERE feature = 'transcript' AND gene_biotype = 'ncRNA')""")
+@query("""SELECT e.transcript_id, e.start, e."end" FROM f_annotation e JOIN (SELECT DISTINCT transcript_id FROM f_annotation WHERE feature = 'transcript' AND gene_biotype = 'ncRNA' AND transcript_biotype = 'ncRNA'
+    AND "end" - start > 10) k ON e.transcript_id = k.transcript_id WHERE e.feature = 'exon'""")
 def exons_of_transcripts(x):
     kept = annotation.by_biotype(annotation.by_feature(x.f_annotation), "ncRNA", 10)
     return annotation.exons_of(x.f_annotation, kept).select("transcript_id", "start", "end")
@@ -106,6 +107,13 @@ def kmer_columns(x):
     return kmers.kmer_wide(kmers.count_kmers(x.f_sequences, 3, 3), [f"{i:03b}" for i in range(8)])
 
 
+@query(f"""WITH {KMERS}, a AS (SELECT CAST(k AS int) AS k, unnest(range(0, CAST(pow(2, k) AS bigint))) AS c FROM (SELECT unnest(range(3, 7)) AS k)), v AS (SELECT k, right(concat('000000', bin(c)), k) AS kmer FROM a)
+    SELECT v.k, v.kmer, CAST(coalesce(sum(cnt), 0) AS bigint) AS cnt FROM v LEFT JOIN n ON v.kmer = n.kmer GROUP BY 1, 2""")
+def kmer_words(x):
+    counts = kmers.count_kmers(x.f_sequences, 3, 6).groupBy("k", "kmer").agg(F.sum("cnt").alias("cnt"))
+    return kmers.kmer_vocabulary(x.spark, 3, 6).join(counts, ["k", "kmer"], "left").fillna(0, ["cnt"])
+
+
 @query(f"""WITH {KMERS}, d AS (SELECT kmer, count(*) AS df FROM n GROUP BY 1), t AS (SELECT transcript_id, k, n.kmer, cnt * (ln((1 + (SELECT count(DISTINCT transcript_id) FROM n)) / CAST(1 + df AS double)) + 1) AS v
     FROM n JOIN d ON n.kmer = d.kmer) SELECT transcript_id, k, kmer, round(v / sqrt(sum(v * v) OVER (PARTITION BY transcript_id)), 6) AS weight FROM t""")
 def kmer_weights(x):

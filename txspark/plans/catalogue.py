@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txspark.plans import annotation_queries, feature_queries, model_queries, track_queries  # noqa: F401  they register themselves
+from txspark.plans import annotation_queries, feature_queries, file_queries, model_queries, track_queries  # noqa: F401  they register themselves
 from txspark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

@@ -48,6 +48,8 @@ def duck(sql: str) -> str:
     """The spelling of DuckDB."""
     sql = re.sub(r"DAY\((\w+)\)", r"date_diff('day', DATE '1992-01-01', CAST(\1 AS date))", sql)
     sql = re.sub(r"LETTERS\((\w+)\)", r"regexp_replace(\1, '[^A-Za-z]', '', 'g')", sql)
+    # decimals: a tie at the seventh digit rounds up, as in Spark
+    sql = re.sub(r"\bround\((\"?\w+\"?), 6\)", r"CAST(round(CAST(\1 AS decimal(28, 9)), 6) AS double)", sql)
     return re.sub(r"LISTOF\((.+?\))\)", r"string_agg(DISTINCT \1, ',' ORDER BY \1)", sql)
 
 

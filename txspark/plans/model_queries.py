@@ -56,14 +56,30 @@ def gene_statistics(x):
     return out.withColumns({"fc": F.round("fc", 4), "f": F.round("f", 3)})
 
 
-@query()
+#: P(F > f) with 1 and d2 = 1, 2 or 3 degrees of freedom in closed form: the tails of Student's t. Six samples have no more.
+TESTED = """t AS (SELECT id, CASE WHEN n >= 4 AND vx > 1e-12 THEN vxy / vx END AS beta, r0, greatest(r0 - vxy * vxy / vx, 0) AS r1, n FROM p),
+    g AS (SELECT id, pow(2, beta) AS fc, n - 3 AS d2, CASE WHEN beta IS NULL THEN NULL WHEN r1 < 1e-12 THEN CASE WHEN r0 < 1e-12 THEN 0 ELSE 1e300 END ELSE (r0 - r1) / (r1 / (n - 3)) END AS f FROM t),
+    v AS (SELECT id, fc, CASE d2 WHEN 1 THEN 1 - 2 / pi() * atan(sqrt(f)) WHEN 2 THEN 1 - sqrt(f / (2 + f)) WHEN 3 THEN 1 - 2 / pi() * (atan(sqrt(f / 3)) + sqrt(f / 3) / (1 + f / 3)) END AS pval FROM g),
+    k AS (SELECT *, CASE WHEN pval IS NOT NULL THEN rank() OVER (ORDER BY pval) + count(*) OVER (PARTITION BY pval) - 1 END AS r, count(pval) OVER () AS m FROM v),
+    q AS (SELECT id, fc, pval, CASE WHEN pval IS NOT NULL THEN least(1, min(pval * m / r) OVER (ORDER BY pval DESC NULLS LAST)) END AS qval FROM k)"""
+
+
+def _test(level):
+    return f"WITH {DGE.replace('KEY', level + '_id')}, {TESTED} SELECT '{level}' AS feature, id, round(CASE WHEN pval IS NOT NULL THEN fc END, 3) AS fc, round(pval, 4) AS pval, round(qval, 4) AS qval FROM q"
+
+
+def _rounded_test(df):
+    return df.withColumns({"fc": F.round(F.when(F.col("pval").isNotNull(), F.col("fc")), 3), "pval": F.round("pval", 4), "qval": F.round("qval", 4)})
+
+
+@query(_test("transcript"))
 def transcript_test(x):
-    return expression.sort_by_p(expression.dge_test(x.f_expression, x.f_samples, "transcript"))
+    return expression.sort_by_p(_rounded_test(expression.dge_test(x.f_expression, x.f_samples, "transcript")))
 
 
-@query()
+@query(_test("gene"))
 def gene_test(x):
-    return expression.dge_test(x.f_expression, x.f_samples, "gene")
+    return _rounded_test(expression.dge_test(x.f_expression, x.f_samples, "gene"))
 
 
 BH = """k AS (SELECT *, rank() OVER (ORDER BY pval) + count(*) OVER (PARTITION BY pval) - 1 AS r, count(*) OVER () AS m FROM f_pvalues), q AS (SELECT id, fc, pval, least(1, min(pval * m / r) OVER (ORDER BY pval DESC)) AS qval FROM k)"""
@@ -249,3 +265,29 @@ def transcript_calls(x):
     from txspark.operators.expression import fpkm_summary
 
     return models.call_transcripts(annotation, model, {n: "double" for n in names}, track, expression=fpkm_summary(x.f_expression))
+
+
+CALLS = """a AS (SELECT i.transcript_id, "end" - start AS length, max_qty, entries_tfbs FROM f_intervals i JOIN f_features f ON i.transcript_id = f.transcript_id JOIN f_lists l ON i.transcript_id = l.transcript_id),
+    d AS (SELECT min(transcript_id) AS transcript_id, length, max_qty, entries_tfbs FROM a GROUP BY length, max_qty, entries_tfbs),
+    s AS (SELECT transcript_id, 0.05 + CASE WHEN max_qty >= 40 THEN 0.7 WHEN max_qty >= 20 THEN 0.1 ELSE -0.5 END + CASE WHEN length >= 15 THEN -0.3 ELSE 0.2 END
+        + CASE WHEN list_contains(string_split(entries_tfbs, ','), 'brand#11') THEN 0.9 ELSE -0.15 END AS score FROM d)"""
+
+
+@query(f"""WITH {CALLS} SELECT s.transcript_id, CASE WHEN score >= 0 THEN 1 ELSE 0 END AS prediction, round(CAST(1 / (1 + exp(-score)) AS double), 6) AS prob_lncrna, round(CAST(1 - 1 / (1 + exp(-score)) AS double), 6) AS prob_coding,
+    chromosome, start, "end", strand FROM s JOIN f_intervals i ON s.transcript_id = i.transcript_id""")
+def additive_calls(x):
+    """A model that knows one token of a comma list."""
+    rows = [("max_qty", "max_qty", b, None, None, v) for b, v in enumerate((-0.5, 0.1, 0.7))] + [("length", "length", b, None, None, v) for b, v in enumerate((0.2, -0.3))]
+    rows += [("tfbs_brand_11", "tfbs_brand_11", b, None, None, v) for b, v in enumerate((-0.15, 0.9))]
+    model = models.Additive(x.spark.createDataFrame(rows, models.TERMS), {"max_qty": [20.0, 40.0], "length": [15.0], "tfbs_brand_11": [0.5]}, 0.05)
+    schema = {"length": "long", "max_qty": "double", "tfbs_brand_11": "boolean"}
+    track = x.f_features.select("transcript_id", "max_qty").join(x.f_lists, "transcript_id")
+    return models.call_transcripts(x.f_intervals.withColumn("feature", F.lit("transcript")), model, schema, track)
+
+
+@query()
+def refitted_trials(x):
+    train, validation, test = _split(x)
+    trials = models.search(train, validation, "random_forest", FEATURES, {"numTrees": [3, 5], "maxDepth": [2, 3]}, ("accuracy",), 2)
+    rows = [(trial, float(m["accuracy"]), float(m["f1"]), float(m["roc_auc"])) for trial, m in models.refit_top(trials, 1, train, test, "random_forest", FEATURES)]
+    return x.spark.createDataFrame(rows, "trial int, accuracy double, f1 double, roc_auc double")

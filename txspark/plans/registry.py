@@ -12,12 +12,12 @@ from txspark.plans.fixtures import Inputs, with_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-DIGITS = 6
+NOISE, DIGITS = 9, 6
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles at six digits, with one zero, as the oracles have them."""
-    return df.select(*[(F.round(F.col(f"`{f.name}`"), DIGITS) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema.fields])
+    """Doubles at nine and then at six digits, with one zero: the first step takes the noise of sums away, so that ties round alike."""
+    return df.select(*[(F.round(F.round(F.col(f"`{f.name}`"), NOISE), DIGITS) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def query(oracle: str | None = None):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -29,6 +30,14 @@ def get_session(master: str = "local[*]", name: str = "txspark", **conf: str) ->
     return builder.getOrCreate()
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share; below the temporary folder only on a local master without one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and (not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{(root or tempfile.gettempdir() + '/txspark-scratch').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers of a session, once: they need it wherever it is not installed on the executors."""
     context = spark.sparkContext

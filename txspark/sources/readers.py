@@ -54,9 +54,9 @@ def read_intervals(spark: SparkSession, path: str) -> DataFrame:
     return parse_intervals(spark.read.text(path))
 
 
-def read_sequences(spark: SparkSession, paths: str | list[str], rna: bool = True) -> DataFrame:
-    """(transcript_id, sequence, file, pos) of FASTA files or folders; empty records are dropped (SRC3)."""
-    text = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{fa,fasta,fna,fas}").text(paths)
+def read_sequences(spark: SparkSession, paths: str | list[str], rna: bool = True, names: str = "*.{fa,fasta,fna,fas}") -> DataFrame:
+    """(transcript_id, sequence, file, pos) of FASTA files or folders, of files that match ``names``; empty records are dropped (SRC3)."""
+    text = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(paths)
     one = F.regexp_replace("value", "^>", "")
     head = F.regexp_extract(one, r"^([^\n]*)", 1)
     body = F.upper(F.regexp_replace(F.regexp_replace(one, r"^[^\n]*", ""), r"\s", ""))
