@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txspark.llm.staging import Scratch
+from txspark.llm.staging import Scratch, few_rows
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
@@ -23,13 +23,14 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "compon
     while True:
         turn += 1
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # written first, so that the join with a hub's neighbours is free to broadcast it or to split the hub
+        least = scratch.put(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-least-{turn}")
+        large = both.join(few_rows(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.put(large, f"{name}-large-{turn}")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = scratch.put(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{name}-{turn}")
-        scratch.drop(f"{name}-large-{turn}", f"{name}-{turn - 1}")
+        scratch.drop(f"{name}-large-{turn}", f"{name}-least-{turn}", f"{name}-{turn - 1}")
         was, state = state, _digest(after)
         now = after
         if was == state:
