@@ -23,7 +23,7 @@ CENTRES = 3
 #: Pairs whose sketches agree in fewer bins than this share are not confirmed; 0.75 lies over six deviations above.
 LEAST_AGREEMENT = 0.5
 #: Characters of text that a task turns into words at a time.
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 2_000_000
 #: Documents, and shingles, of one side of a tile in which sets are compared each with each, near enough.
 TILE, TILE_SHINGLES = 256, 400_000
 #: Shingles of the documents that meet one centre in a group, and of all documents of a group, near enough.
