@@ -14,17 +14,33 @@ def _check(k_min: int, k_max: int) -> None:
         raise ValueError(f"1 <= k_min <= k_max does not hold for {k_min} and {k_max}")
 
 
+#: Starts of windows in a piece of a sequence, and those of the larger pieces that are cut first.
+PIECE, LARGE = 256, 1 << 16
+
+
+def _cut(df: DataFrame, within: int, size: int, overlap: int) -> DataFrame:
+    """Pieces of ``size`` of the first ``within`` characters of ``_s``, each with the ``overlap`` characters that follow."""
+    n = F.floor((F.least(F.length("_s"), F.lit(within)) - 1) / size)
+    placed = df.where("_s <> ''").select("transcript_id", "_s", F.explode(F.sequence(F.lit(0), n.cast("int"))).alias("_at"))
+    return placed.select("transcript_id", F.substring("_s", F.col("_at") * size + 1, F.lit(size + overlap)).alias("_s"), "_at")
+
+
 def count_kmers(df: DataFrame, k_min: int = 3, k_max: int = 12) -> DataFrame:
     """(transcript_id, k, kmer, cnt) of the recoded sequences: overlapping windows of each length (SEQ5).
 
-    Counts are combined in the tasks before the shuffle, whose key (id, k-mer) has no hot value but for one huge sequence, which the
-    combining reduces to 2**(k_max + 1) rows a task.
+    Sequences are cut into pieces, dealt over the tasks, so that a long one is the work of many; a window of k_max characters at each
+    place gives the shorter ones. Counts are combined in the tasks before their shuffle, to 2**(k_max + 1) rows of an id and task at most.
     """
     _check(k_min, k_max)
-    coded = df.select("transcript_id", to_binary(F.col("sequence")).alias("_s")).withColumn("k", F.explode(F.sequence(F.lit(k_min), F.lit(k_max)))).where(F.length("_s") >= F.col("k"))
-    at = F.explode(F.sequence(F.lit(1), F.length("_s") - F.col("k") + 1))
-    windows = coded.select("transcript_id", "k", "_s", at.alias("_at")).select("transcript_id", "k", F.substring("_s", F.col("_at"), F.col("k")).alias("kmer"))
-    return windows.groupBy("transcript_id", "k", "kmer").agg(F.count("*").alias("cnt"))
+    coded = df.select("transcript_id", to_binary(F.col("sequence")).alias("_s"))
+    large = _cut(coded, 1 << 30, LARGE, k_max - 1)
+    dealt = large.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "transcript_id", "_at")
+    pieces = _cut(dealt, LARGE, PIECE, k_max - 1).where(F.length("_s") >= k_min)
+    at = F.sequence(F.lit(1), F.least(F.lit(PIECE), F.length("_s") - k_min + 1))
+    windows = pieces.select("transcript_id", F.explode(F.transform(at, lambda i: F.substring("_s", i, F.lit(k_max)))).alias("_w"))
+    lengths = F.explode(F.sequence(F.lit(k_min), F.least(F.lit(k_max), F.length("_w"))))
+    words = windows.select("transcript_id", "_w", lengths.alias("k")).select("transcript_id", "k", F.substring("_w", F.lit(1), F.col("k")).alias("kmer"))
+    return words.groupBy("transcript_id", "k", "kmer").agg(F.count("*").alias("cnt"))
 
 
 def kmer_vocabulary(spark: SparkSession, k_min: int = 3, k_max: int = 12) -> DataFrame:

@@ -79,10 +79,9 @@ def interval_rows(x):
     return writers.bed_rows(x.f_intervals)
 
 
-@query("""SELECT concat('>', transcript_id, chr(10), regexp_replace(sequence, '(.{60})', '\\1' || chr(10), 'g')) AS record FROM f_sequences WHERE length(sequence) % 60 > 0""")
+@query("""SELECT concat('>', transcript_id, chr(10), rtrim(regexp_replace(sequence, '(.{60})', '\\1' || chr(10), 'g'), chr(10))) AS record FROM f_sequences""")
 def sequence_records(x):
-    rows = x.f_sequences.where("length(sequence) % 60 > 0")
-    return rows.select(writers.fasta_lines(F.col("transcript_id"), F.col("sequence")).alias("record"))
+    return x.f_sequences.select(writers.fasta_lines(F.col("transcript_id"), F.col("sequence")).alias("record"))
 
 
 @query("""SELECT transcript_id, translate(sequence, 'T', 'U') AS rna, translate(regexp_replace(upper(sequence), '[^ATUGC]', '', 'g'), 'ATUGC', '00011') AS code,
@@ -93,8 +92,10 @@ def sequence_forms(x):
 
 
 KMERS = """c AS (SELECT transcript_id, translate(regexp_replace(upper(sequence), '[^ATUGC]', '', 'g'), 'ATUGC', '00011') AS s FROM f_sequences),
-    w AS (SELECT transcript_id, k, substr(s, CAST(i AS bigint), k) AS kmer FROM (SELECT transcript_id, s, k, unnest(range(1, length(s) - k + 2)) AS i FROM c CROSS JOIN (SELECT CAST(unnest(range(3, 7)) AS int) AS k) r)),
+    p AS (SELECT transcript_id, substr(s, CAST(j * 64 + 1 AS bigint), 75) AS t FROM (SELECT transcript_id, s, unnest(range(0, (length(s) + 63) // 64)) AS j FROM c)),
+    w AS (SELECT transcript_id, k, substr(t, CAST(i AS bigint), k) AS kmer FROM (SELECT transcript_id, t, k, unnest(range(1, least(64, length(t) - k + 1) + 1)) AS i FROM p CROSS JOIN (SELECT CAST(unnest(range(3, 7)) AS int) AS k) r)),
     n AS (SELECT transcript_id, k, kmer, count(*) AS cnt FROM w GROUP BY ALL)"""
+ALL_KMERS = KMERS.replace("range(3, 7)", "range(3, 13)")
 
 
 @query(f"WITH {KMERS} SELECT * FROM n")
@@ -107,15 +108,15 @@ def kmer_columns(x):
     return kmers.kmer_wide(kmers.count_kmers(x.f_sequences, 3, 3), [f"{i:03b}" for i in range(8)])
 
 
-@query(f"""WITH {KMERS}, a AS (SELECT CAST(k AS int) AS k, unnest(range(0, CAST(pow(2, k) AS bigint))) AS c FROM (SELECT unnest(range(3, 7)) AS k)), v AS (SELECT k, right(concat('000000', bin(c)), k) AS kmer FROM a)
-    SELECT v.k, v.kmer, CAST(coalesce(sum(cnt), 0) AS bigint) AS cnt FROM v LEFT JOIN n ON v.kmer = n.kmer GROUP BY 1, 2""")
+@query(f"""WITH {ALL_KMERS}, t AS (SELECT k, kmer, count(*) AS cnt FROM w GROUP BY 1, 2), a AS (SELECT CAST(k AS int) AS k, unnest(range(0, CAST(pow(2, k) AS bigint))) AS c FROM (SELECT unnest(range(3, 13)) AS k)),
+    v AS (SELECT k, right(concat('000000000000', bin(c)), k) AS kmer FROM a) SELECT v.k, v.kmer, CAST(coalesce(cnt, 0) AS bigint) AS cnt FROM v LEFT JOIN t ON v.k = t.k AND v.kmer = t.kmer""")
 def kmer_words(x):
-    counts = kmers.count_kmers(x.f_sequences, 3, 6).groupBy("k", "kmer").agg(F.sum("cnt").alias("cnt"))
-    return kmers.kmer_vocabulary(x.spark, 3, 6).join(counts, ["k", "kmer"], "left").fillna(0, ["cnt"])
+    counts = kmers.count_kmers(x.f_sequences).groupBy("k", "kmer").agg(F.sum("cnt").alias("cnt"))
+    return kmers.kmer_vocabulary(x.spark).join(counts, ["k", "kmer"], "left").fillna(0, ["cnt"])
 
 
 @query(f"""WITH {KMERS}, d AS (SELECT kmer, count(*) AS df FROM n GROUP BY 1), t AS (SELECT transcript_id, k, n.kmer, cnt * (ln((1 + (SELECT count(DISTINCT transcript_id) FROM n)) / CAST(1 + df AS double)) + 1) AS v
-    FROM n JOIN d ON n.kmer = d.kmer) SELECT transcript_id, k, kmer, round(v / sqrt(sum(v * v) OVER (PARTITION BY transcript_id)), 6) AS weight FROM t""")
+    FROM n JOIN d ON n.kmer = d.kmer), u AS (SELECT transcript_id, k, kmer, v / sqrt(sum(v * v) OVER (PARTITION BY transcript_id)) AS weight FROM t) SELECT transcript_id, k, kmer, round(weight, 6) AS weight FROM u""")
 def kmer_weights(x):
     return kmers.tfidf(kmers.count_kmers(x.f_sequences, 3, 6))
 
@@ -142,20 +143,26 @@ def unique_names(x):
     return sequences.unique_ids(rows).select("l_orderkey", "transcript_id")
 
 
-EXONS = """SELECT 'exon' AS feature, chromosome, concat('X', chromosome) AS transcript_id, 5 AS start, 25 AS "end", CASE WHEN length(sequence) % 2 = 0 THEN '+' ELSE '-' END AS strand FROM f_genome
-    UNION ALL SELECT 'exon', chromosome, concat('X', chromosome), 40, 61, CASE WHEN length(sequence) % 2 = 0 THEN '+' ELSE '-' END FROM f_genome"""
+#: Two exons over the whole sequence, one before and one after its middle, at places that its length gives.
+HALF = "CAST((length(sequence) - length(sequence) % 2) / 2 AS bigint)"
+STRAND = "CASE WHEN length(sequence) % 2 = 0 THEN '+' ELSE '-' END"
+EXONS = f"""SELECT 'exon' AS feature, chromosome, concat('X', chromosome) AS transcript_id, length(sequence) % 5 AS start, {HALF} AS "end", {STRAND} AS strand FROM f_genome
+    UNION ALL SELECT 'exon', chromosome, concat('X', chromosome), {HALF} + length(sequence) % 3, length(sequence), {STRAND} FROM f_genome"""
 
 
-@query("""SELECT concat('X', chromosome) AS transcript_id, translate(CASE WHEN length(sequence) % 2 = 0 THEN s ELSE reverse(translate(s, 'ACGTN', 'TGCAN')) END, 'T', 'U') AS sequence FROM (SELECT *, concat(substr(sequence, 6, 20),
-    substr(sequence, 41, 21)) AS s FROM f_genome)""")
+@query(f"""SELECT concat('X', chromosome) AS transcript_id, translate(CASE WHEN length(sequence) % 2 = 0 THEN s ELSE reverse(translate(s, 'ACGTN', 'TGCAN')) END, 'T', 'U') AS sequence FROM (SELECT *,
+    concat(substr(sequence, length(sequence) % 5 + 1, greatest({HALF} - length(sequence) % 5, 0)), substr(sequence, {HALF} + length(sequence) % 3 + 1)) AS s FROM f_genome) WHERE s <> ''""")
 def spliced_transcripts(x):
-    return sequences.spliced_sequences(x.sql(EXONS), x.f_genome, size=16)
+    return sequences.spliced_sequences(x.sql(EXONS), x.f_genome, size=256)
 
 
-@query("""SELECT concat(chromosome, ':', 5, '-', 50) AS transcript_id, CASE WHEN length(sequence) % 2 = 0 THEN substr(sequence, 6, 45) ELSE reverse(translate(substr(sequence, 6, 45), 'ACGTN', 'TGCAN')) END AS sequence FROM f_genome""")
+PLACES = f"""SELECT chromosome, length(sequence) % 7 AS start, length(sequence) - length(sequence) % 11 AS "end", {STRAND} AS strand FROM f_genome"""
+
+
+@query(f"""SELECT concat(chromosome, ':', start, '-', "end") AS transcript_id, CASE WHEN strand = '+' THEN s ELSE reverse(translate(s, 'ACGTN', 'TGCAN')) END AS sequence
+    FROM (SELECT p.*, substr(sequence, start + 1, "end" - start) AS s FROM ({PLACES}) p JOIN f_genome g ON p.chromosome = g.chromosome WHERE start < "end")""")
 def interval_bases(x):
-    iv = x.f_genome.select("chromosome", F.lit(5).alias("start"), F.lit(50).alias("end"), F.when(F.length("sequence") % 2 == 0, "+").otherwise("-").alias("strand"))
-    return sequences.interval_sequences(iv, x.f_genome, rna=False, size=16)
+    return sequences.interval_sequences(x.sql(PLACES), x.f_genome, rna=False, size=256)
 
 
 @query("""SELECT s.transcript_id, length(sequence) AS n, CASE WHEN hash_part % 3 = 0 THEN CAST(-hash_part AS double) END AS ss_mfe FROM (SELECT *, CAST(substr(transcript_id, 2) AS bigint) AS hash_part FROM f_sequences) s""")

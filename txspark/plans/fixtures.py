@@ -10,17 +10,18 @@ from txspark.session import ship_package
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+#: Chromosomes grow in number with the tables, so that overlaps grow in proportion; those of customers beyond the suppliers are in no track.
 #: Written for DuckDB, with DAY(x) for the days since 1992 and LETTERS(x) for the ASCII letters of x.
 FIXTURES = {
-    "f_intervals": """SELECT concat('chr', o_custkey % 5) AS chromosome, DAY(o_orderdate) AS start, DAY(o_orderdate) + 1 + o_orderkey % 30 AS "end",
+    "f_intervals": """SELECT concat('chr', CAST((o_custkey - o_custkey % 14) / 14 AS bigint)) AS chromosome, DAY(o_orderdate) AS start, DAY(o_orderdate) + 1 + o_orderkey % 30 AS "end",
         concat('T', o_orderkey) AS transcript_id, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM orders""",
-    "f_signal": """SELECT concat('chr', l_suppkey % 4) AS chromosome, DAY(l_shipdate) AS start, DAY(l_shipdate) + 1 AS "end", CAST(avg(l_discount) AS double) AS value
-        FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 1, 2, 3""",
-    "f_entries": """SELECT concat('chr', l_suppkey % 4) AS chromosome, DAY(l_shipdate) AS start, DAY(l_shipdate) + CAST(l_quantity AS bigint) % 7 + 1 AS "end",
+    "f_signal": """SELECT concat('chr', l_suppkey) AS chromosome, DAY(l_shipdate) AS start, DAY(l_shipdate) + 1 AS "end", CAST(avg(l_discount) AS double) AS value
+        FROM lineitem GROUP BY 1, 2, 3""",
+    "f_entries": """SELECT concat('chr', l_suppkey) AS chromosome, DAY(l_shipdate) AS start, DAY(l_shipdate) + CAST(l_quantity AS bigint) % 7 + 1 AS "end",
         concat(l_returnflag, chr(9), l_linestatus, chr(9), '0', chr(9), CASE WHEN l_partkey % 17 = 0 THEN '.' ELSE concat('E', l_partkey % 17) END) AS rest
-        FROM lineitem WHERE l_linenumber = 1""",
+        FROM lineitem""",
     "f_sizes": """SELECT chromosome, max("end") - 300 AS length FROM f_signal GROUP BY chromosome""",
-    "f_sequences": """SELECT concat('S', item_id) AS transcript_id, translate(upper(LETTERS(text)), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTN') AS sequence FROM benchmark""",
+    "f_sequences": """SELECT concat('S', doc_id) AS transcript_id, translate(upper(LETTERS(text)), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTN') AS sequence FROM documents""",
     "f_annotation": """SELECT CASE o_custkey % 5 WHEN 0 THEN '2L' WHEN 1 THEN '2R' WHEN 2 THEN 'X' WHEN 3 THEN '4' ELSE 'Un' END AS chromosome, 'src' AS source, 'transcript' AS feature,
         DAY(o_orderdate) * 20 AS start, DAY(o_orderdate) * 20 + 100 + o_orderkey % 3 * 100 AS "end", CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
         concat(CASE WHEN o_orderkey % 6 = 0 THEN 'MSTRG.' ELSE 'T' END, o_orderkey) AS transcript_id, concat('G', o_custkey) AS gene_id,
