@@ -57,6 +57,16 @@ def test_redact(spark):
     assert got[13]["text"] == 'x [SECRET]" y' and got[13]["n_chars"] == len(got[13]["text"])
     assert got[0]["text"] == cases.rows()[0][1] and got[5]["text"] is None
     assert redact(cases.docs(spark)).columns == cases.docs(spark).columns
+    own = redact(cases.docs(spark).withColumns({"_spans": F.lit(7), "spans": F.lit(8), "row": F.lit(9)})).select("_spans", "spans", "row").distinct().collect()
+    assert [tuple(r) for r in own] == [(7, 8, 9)]
+
+
+def test_allowed_words(spark):
+    words = ["Donaudampfschifffahrtsgesellschaft", "Users/JohnSmith/Documents/HTMLParser", "state-of-the-art_and_more-words", "a-b-c-d-e-f-g-h-i-j-k-l-m", "=" * 40, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    keys = ["qVtbXkZrLpWyHsNcGdJmTf==", "xK/vQzRtWpLmYbNcHsGdJfTe", "sQ" + "aVtbXkZrLpWyHsNcGdJmTf" * 20000]
+    df = spark.createDataFrame(list(enumerate(words + keys)), "doc_id long, text string")
+    got = {r[0]: r[1] for r in scan_secrets(df).select("doc_id", span_string("secret_spans")).collect()}
+    assert [k for k in sorted(got) if got[k]] == [len(words) + i for i in range(len(keys))]
 
 
 def test_hilbert_steps(spark):

@@ -20,8 +20,9 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 WINDOW = 20
 #: Classes of characters in order; the first that covers a candidate sets the bits a character that one of its windows must reach.
 CLASSES = ((r"^[0-9a-f]+$", 3.0), (r"^[0-9A-F]+$", 3.0), (r"^[A-Za-z]+$", 3.9), (r"", 3.6))
-#: Candidates that are no secrets: one word in lower, upper or title case, words joined by marks, numbers, rows of marks.
-ALLOWED = (r"^[A-Z]?[a-z]+$", r"^[A-Z]+$", r"^[A-Za-z]*([-_/=+]+[A-Za-z]*)+$", r"^[0-9]+$", r"^[-_=+/0-9]+$")
+#: Candidates that are no secrets: one word in lower, upper or title case, words joined by marks or capitals, numbers, rows of marks.
+#: Letters that change case at random are no words, so keys without a digit are left to the entropy of their windows.
+ALLOWED = (r"^[A-Z]?[a-z]+$", r"^[A-Z]+$", r"^(?:[-_/=+]+|[A-Z]+(?![a-z])|[A-Z]?[a-z]{2,}|(?<![A-Za-z])[a-z](?![A-Za-z]))++$", r"^[0-9]+$", r"^[-_=+/0-9]+$")
 
 KINDS = ("assign", "access", "hex", "entropy")
 CHUNK = 256
@@ -142,7 +143,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     Overlapping or touching spans become one mark. All rows stay; null text stays null; texts without spans, and their
     n_chars, stay as they are; other columns stay.
     """
-    spans, text = F.col("_spans"), F.col("text")
+    spans, text = F.col("spans"), F.col("row.text")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -151,6 +152,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(joins, acc["out"]).otherwise(fresh).alias("out"))
 
     clean = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    found = docs.withColumn("_spans", secret_spans(text)).withColumn("_text", F.when(F.size("_spans") > 0, clean).otherwise(text))
-    n_chars = {"n_chars": F.when(F.size("_spans") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {}
-    return found.withColumns({"text": F.col("_text")} | n_chars).select(*docs.columns)
+    # the row travels as one value, so that no column of the caller's has a name of ours
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), secret_spans(F.col("text")).alias("spans"))
+    put = found.select("row", "spans", F.when(F.size("spans") > 0, clean).otherwise(text).alias("put"))
+    new = {"text": F.col("put"), "n_chars": F.when(F.size("spans") > 0, F.length("put").cast("long")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("put")}
+    return put.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
