@@ -299,3 +299,16 @@ def test_running_totals_over_slices(spark, rows):
     down = running(df, "x", {"low": F.col("n")}, F.min, F.least, descending=True, rows=rows).collect()
     assert all(r["up"] == sum(s["n"] for s in got if s["x"] <= r["x"]) for r in got)
     assert all(r["low"] == min(s["n"] for s in down if s["x"] >= r["x"]) for r in down)
+
+
+def test_kmers_across_pieces(spark):
+    from collections import Counter
+
+    seqs = {"empty": "", "null": None, "short": "AC", "three": "ACG", "edge": "ACGGT" * 52, "long": "ACGGTTCA" * 8200 + "GATTACA"}
+    df = spark.createDataFrame(list(seqs.items()), "transcript_id string, sequence string")
+    got = {(r["transcript_id"], r["k"], r["kmer"]): r["cnt"] for r in kmers.count_kmers(df).collect()}
+    want = Counter()
+    for name, text in seqs.items():
+        code = (text or "").translate(str.maketrans("ATUGC", "00011"))
+        want.update((name, k, code[i : i + k]) for k in range(3, 13) for i in range(len(code) - k + 1))
+    assert got == dict(want)
