@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from txspark.llm.divergence import LEAST_DOCS, PRIOR, SCALE, TOP_TERMS
+from txspark.llm.phrases import LEAST, ORDER, TOP
 from txspark.llm.quality import ACCURACY, LEAST_SPREAD, LEAST_WORDS, PRIOR_DOCS, REACH
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -55,4 +57,37 @@ OP10 = f"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source
     SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({_WITHIN}, FALSE) AS kept, {", ".join(f"round(r.{m}, 9) AS {m}" for m in LEAST_SPREAD)}
     FROM r LEFT JOIN wide ON r.lang = wide.lang AND r.source = wide.source"""
 
-ORACLES = {"op4_minhash": OP4, "op6_int8_vectors": OP6, "op10_quality_rules": OP10}
+_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _share(n: str, total: str, size: str) -> str:
+    return f"1 + (CAST({SCALE} AS hugeint) * ({n} + {PRIOR})) // ({total} + {PRIOR} * {size})"
+
+
+OP12 = f"""WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    t AS (SELECT id, lang, source, unnest(regexp_extract_all({_LOWER.format(text="text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    v AS (SELECT lang, term, CAST(count(*) AS hugeint) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT id) >= {LEAST_DOCS}), g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT g.lang, g.source, v.term, v.n AS lang_n, CAST(coalesce(o.n, 0) AS hugeint) AS n FROM g JOIN v ON g.lang = v.lang LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) o ON o.lang = g.lang AND o.source = g.source AND o.term = v.term),
+    s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(lang_n) OVER (PARTITION BY lang, source) AS lang_total, count(*) OVER (PARTITION BY lang, source) AS size FROM c),
+    p AS (SELECT *, {_share("n", "CAST(total AS hugeint)", "size")} AS p, {_share("lang_n", "CAST(lang_total AS hugeint)", "size")} AS q FROM s),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    u AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS bigint) AS value FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN pairs ON pairs.lang = g.lang AND pairs.source = g.source AND pairs.item = h.source
+        UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS bigint) FROM p WHERE n > 0 AND p > q),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS int) AS rank FROM u)
+    SELECT * FROM r WHERE part = 'pair' OR rank <= {TOP_TERMS}"""
+
+_CUTS = " UNION ALL ".join(f"SELECT lang, phrase, a, {k} AS k, array_to_string(ws[1:{k}], ' ') AS head, array_to_string(ws[{k + 1}:], ' ') AS rest FROM cand WHERE size > {k}" for k in range(1, ORDER))
+_GRAMS = " UNION ALL ".join(f"SELECT lang, unnest(list_transform(range(1, len(ws) - {k} + 2), lambda i: ws[i:i + {k - 1}])) AS ws FROM t WHERE len(ws) >= {k}" for k in range(1, ORDER + 1))
+
+OP13 = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format(text="coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    t AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS ws FROM p), total AS (SELECT lang, CAST(sum(len(ws)) AS bigint) AS n FROM t GROUP BY 1),
+    f AS (SELECT lang, ws, len(ws) AS size, array_to_string(ws, ' ') AS phrase, count(*) AS a FROM ({_GRAMS}) GROUP BY 1, 2 HAVING count(*) >= {LEAST}), cand AS (SELECT * FROM f WHERE size > 1),
+    sub AS (SELECT DISTINCT lang, a, len(ws) AS longer, unnest(flatten(list_transform(range(2, len(ws)), lambda m: list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))))) AS phrase FROM cand WHERE size > 2),
+    gone AS (SELECT DISTINCT cand.lang, cand.phrase FROM cand JOIN sub ON cand.lang = sub.lang AND cand.phrase = sub.phrase AND 100 * sub.a >= 100 * cand.a AND sub.longer > cand.size),
+    cuts AS ({_CUTS}), s AS (SELECT cuts.lang, cuts.phrase, cuts.a, k, l.a AS l, r.a AS r, n, CAST((CAST(1000 AS hugeint) * cuts.a * n) // (CAST(l.a AS hugeint) * r.a) AS bigint) AS score
+        FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = cuts.head JOIN f r ON r.lang = cuts.lang AND r.phrase = cuts.rest JOIN total ON total.lang = cuts.lang),
+    low AS (SELECT * FROM s WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM gone) QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM low)
+    SELECT * FROM ranked WHERE rank <= {TOP}"""
+
+ORACLES = {"op4_minhash": OP4, "op6_int8_vectors": OP6, "op10_quality_rules": OP10, "op12_source_divergence": OP12, "op13_collocations": OP13}

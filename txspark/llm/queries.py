@@ -96,4 +96,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumns({c: F.round(c, 9) for c in LEAST_SPREAD})
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_soft_mixing, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules)}
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from txspark.llm.pieces import encode_texts
+
+    coded = encode_texts(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"), "agrees")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.divergence import audit_sources
+
+    return audit_sources(_read(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from txspark.llm.phrases import mine_phrases
+
+    return mine_phrases(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_soft_mixing, op3_ngram_scores, op4_minhash, op5_suffix_index, op6_int8_vectors, op7_hilbert_shards, op8_harmonic_packing, op9_language_id, op10_quality_rules, op11_sentencepiece, op12_source_divergence, op13_collocations)}
