@@ -9,7 +9,7 @@ import pytest
 
 from tests.llm import cases
 from txspark.llm import phrases
-from txspark.llm.phrases import Filter, build_filter, mine_phrases, phrase_counts
+from txspark.llm.phrases import build_filter, mine_phrases, phrase_counts
 from txspark.llm.staging import Scratch
 
 
@@ -51,9 +51,10 @@ def texts_of(seed):
     return rows
 
 
-@pytest.mark.parametrize("bits, chars, order, top", [(1 << 26, 16_000_000, 5, 2000), (64, 200, 4, 9)])
-def test_against_brute_force(spark, monkeypatch, bits, chars, order, top):
-    """Also with filters so small that they let nearly all pass, with many slices, and with few rows."""
+@pytest.mark.parametrize("bits, chars, order, top, pruned", [(1 << 26, 16_000_000, 5, 2000, 3), (64, 200, 4, 9, 1), (1 << 26, 3000, 2, 50, 5)])
+def test_against_brute_force(spark, monkeypatch, bits, chars, order, top, pruned):
+    """Also with filters so small that they let nearly all pass, with many slices, with few rows, and with more or fewer passes."""
+    monkeypatch.setattr(phrases, "PRUNED", pruned)
     monkeypatch.setattr(phrases, "MOST_BITS", bits)
     monkeypatch.setattr(phrases, "SLICE_CHARS", chars)
     rows = texts_of(order)
@@ -84,4 +85,3 @@ def test_filter_has_no_false_negatives(spark):
     others = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)
     assert made.holds(others.view(np.uint64)).mean() < 0.02
     assert not build_filter(spark.createDataFrame([], "key long")).holds(keys.view(np.uint64)).any()
-    assert Filter(None).holds(keys.view(np.uint64)).all()

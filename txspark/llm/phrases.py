@@ -15,8 +15,10 @@ from txspark.llm.words import PLACES, mix, text_slices, word_hashes
 ORDER = 5
 LEAST = 100
 TOP = 2000
+#: Runs of up to so many words are counted by hash before the windows are; their keys have so many bits more than the number of words in the table.
+PRUNED, SPARE_BITS = 3, 3
 #: Characters of text whose windows are counted at a time; a text is never cut.
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 32_000_000
 #: Bits of a filter for each key, hashes of a key, and the most bits of a filter: it is broadcast, and its size is bounded by them alone.
 BITS_PER_KEY, HASHES, MOST_BITS = 16, 4, 1 << 26
 
@@ -25,17 +27,17 @@ _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcd
 
 
 class Filter:
-    """A Bloom filter as an array of uint64: keys that it lacks are certainly absent. Without an array it holds everything."""
+    """A Bloom filter as an array of uint64, of keys without their lowest ``drop`` bits: keys that it lacks are certainly absent."""
 
-    def __init__(self, words: np.ndarray | None):
-        self.words = words
+    def __init__(self, words: np.ndarray, drop: int = 0):
+        self.words, self.drop = words, drop
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys >> np.uint64(self.drop)
         found = np.ones(len(keys), bool)
-        if self.words is not None:
-            for k in range(HASHES):
-                at = _place(keys, k, len(self.words) * 64)
-                found &= (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+        for k in range(HASHES):
+            at = _place(keys, k, len(self.words) * 64)
+            found &= (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
         return found
 
 
@@ -43,7 +45,7 @@ def _place(keys: np.ndarray, k: int, bits: int) -> np.ndarray:
     return (mix(keys * PLACES[k]) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def build_filter(keys: DataFrame) -> Filter:
+def build_filter(keys: DataFrame, drop: int = 0) -> Filter:
     """A filter of the ``key`` column: tasks make words of bits, which are joined by or; at most MOST_BITS bits reach the driver, however many keys there are."""
     n = keys.count()
     bits = 64
@@ -61,43 +63,62 @@ def build_filter(keys: DataFrame) -> Filter:
     found = keys.select("key").mapInPandas(words, "i long, w long").groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
     out = np.zeros(bits // 64, np.uint64)
     out[found["i"].to_numpy(np.int64)] = found["w"].to_numpy(np.int64).view(np.uint64)
-    return Filter(out)
+    return Filter(out, drop)
 
 
 def _seed(lang: str) -> np.uint64:
     return mix(word_hashes([lang.encode("utf-8", "surrogatepass")]))[0]
 
 
-def slice_windows(texts: list[str], lang: str, order: int, words: Filter, pairs: Filter) -> tuple[list[np.ndarray], np.ndarray, list[bytes], np.ndarray]:
+class _Codes(dict):
+    """Words by the order in which they are first asked for, from 1."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self) + 1
+        return code
+
+
+def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Codes of all words in order, whether each is the last of its piece, and the words by code, text by text."""
+    codes, parts, lasts = _Codes(), [], []
+    for text in texts:
+        data = text.encode("utf-8", "surrogatepass").translate(_BYTES) + b"\n"
+        words = data.split()
+        parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
+        raw = np.frombuffer(data, np.uint8)
+        inside = (raw != 32) & (raw != 10)
+        piece = np.cumsum(raw == 10, dtype=np.int32)[np.flatnonzero(inside[:-1] & ~inside[1:])]
+        lasts.append(np.append(piece[1:] != piece[:-1], True) if len(piece) else np.zeros(0, bool))
+    join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
+    return join(parts, np.int32), join(lasts, bool), [b"", *codes]
+
+
+def run_keys(keys: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """A key for each row of words, which depends on their places; a single word has its own."""
+    return keys[columns[0]] if len(columns) == 1 else mix(sum(keys[c] * p for c, p in zip(columns, PLACES, strict=False)))
+
+
+def slice_windows(texts: list[str], lang: str, order: int, filters: list[Filter]) -> tuple[list[np.ndarray], np.ndarray, list[bytes], np.ndarray]:
     """Distinct lead windows of texts of one language: codes of the words by place (0 is padding), counts, the words by code, and their keys.
 
-    A window starts at each word that passes its filter, and is padded from the end of its piece, or from the first word or pair of neighbours that does not pass.
+    A window starts at each word that passes the first filter. It is padded from the end of its piece, or from the first run of k words that the k-th filter lacks.
     """
-    data = b"\n".join(t.encode("utf-8", "surrogatepass").translate(_BYTES) for t in texts)
-    raw = np.frombuffer(data, np.uint8)
-    inside = (raw != 32) & (raw != 10)
-    starts = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
-    piece = np.cumsum(raw == 10)[starts]
-    tokens = data.split()
-    names = [b"", *dict.fromkeys(tokens)]
-    code = {w: i for i, w in enumerate(names)}
-    here = np.fromiter(map(code.__getitem__, tokens), np.int64, len(tokens))
+    here, last, names = word_codes(texts)
     keys = mix(word_hashes(names) ^ _seed(lang))
-    passed = words.holds(keys)
-    passed[0] = False
-    here[~passed[here]] = 0
+    if filters:
+        passed = filters[0].holds(keys)
+        passed[0] = False
+        here = np.where(passed[here], here, 0).astype(np.int32)
     columns = [here]
     for k in range(1, order):
-        after = np.append(columns[-1][1:], 0)
-        if k == 1:  # later columns repeat what the second one leaves out
-            apart = np.append(piece[1:] != piece[:-1], True) if len(piece) else np.zeros(0, bool)
-            both = ~apart & (here > 0) & (after > 0)
+        after = np.append(columns[-1][1:], np.int32(0))
+        both = (columns[-1] > 0) & (after > 0)
+        if k == 1:
+            both &= ~last
+        if k < len(filters):
             at = np.flatnonzero(both)
-            both[at] = pairs.holds(pair_keys(keys, here[at], after[at]))
-            second = np.where(both, after, 0)
-            columns.append(second)
-        else:
-            columns.append(np.where(columns[-1] > 0, np.append(columns[-1][1:], 0), 0))
+            both[at] = filters[k].holds(run_keys(keys, [*(c[at] for c in columns), after[at]]))
+        columns.append(np.where(both, after, np.int32(0)))
     held = here > 0
     columns = [c[held] for c in columns]
     if not held.any():
@@ -113,61 +134,66 @@ def slice_windows(texts: list[str], lang: str, order: int, words: Filter, pairs:
         packed.append(word)
     by = np.lexsort(packed[::-1]) if len(packed) > 1 else np.argsort(packed[0], kind="stable")
     fresh = np.ones(len(by), bool)
-    fresh[1:] = np.logical_or.reduce([p[by][1:] != p[by][:-1] for p in packed])
+    fresh[1:] = np.logical_or.reduce([p[by[1:]] != p[by[:-1]] for p in packed])
     first = np.flatnonzero(fresh)
     return [c[by[first]] for c in columns], np.diff(np.append(first, len(by))), names, keys
 
 
-def pair_keys(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(keys[a] * PLACES[0] + keys[b] * PLACES[1])
-
-
-def _counted(docs: DataFrame, order: int, words: Filter, pairs: Filter, rows: Callable, schema: str) -> DataFrame:
+def _counted(docs: DataFrame, order: int, filters: list[Filter], rows: Callable, schema: str) -> DataFrame:
     """What ``rows`` makes of the windows of each slice of each language."""
-    shared = docs.sparkSession.sparkContext.broadcast((words.words, pairs.words))  # MOST_BITS bits each at most
+    shared = docs.sparkSession.sparkContext.broadcast([(f.words, f.drop) for f in filters])  # MOST_BITS bits each at most
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        some, joint = map(Filter, shared.value)
+        own_filters = [Filter(*f) for f in shared.value]
         for frame in frames:
             for part in text_slices(frame, SLICE_CHARS):
                 for lang, own in part.groupby("lang", sort=True):
-                    found = rows(*slice_windows(own["text"].tolist(), lang, order, some, joint))
-                    yield pd.DataFrame({"lang": lang, **found})
+                    yield rows(lang, *slice_windows(own["text"].tolist(), lang, order, own_filters))
 
     return docs.mapInPandas(count, schema)
 
 
-def _frequent(docs: DataFrame, order: int, words: Filter, least: int) -> DataFrame:
-    """(lang, key, n) of words or pairs that pass, by hash, with n at least ``least``, and a row with a null key for each language: all of its words."""
+def _frequent_words(docs: DataFrame, least: int) -> DataFrame:
+    """(lang, key, n) of words by hash with n at least ``least``, and a row with a null key for each language: all of its words."""
+    rows = lambda lang, columns, n, names, keys: pd.DataFrame({"lang": lang, "key": keys[columns[0]].view(np.int64), "n": n})
+    found = _counted(docs, 1, [], rows, "lang string, key long, n long")
+    return found.rollup("lang", "key").agg(F.sum("n").alias("n")).where(F.col("lang").isNotNull() & (F.col("key").isNull() | (F.col("n") >= least)))
+
 
-    def rows(columns, n, names, keys):
-        if order == 1:
-            return {"key": keys[columns[0]].view(np.int64), "n": n}
-        whole = columns[1] > 0
-        return {"key": pair_keys(keys, columns[0][whole], columns[1][whole]).view(np.int64), "n": n[whole]}
+def _frequent_runs(docs: DataFrame, size: int, filters: list[Filter], drop: int, least: int) -> DataFrame:
+    """(key, n) of runs of ``size`` words that pass, by hash without its lowest ``drop`` bits, with n at least ``least``: runs of one key are added up."""
 
-    found = _counted(docs, order, words, Filter(None), rows, "lang string, key long, n long")
-    return found.rollup("lang", "key").agg(F.sum("n").alias("n")).where(F.col("lang").isNotNull() & (F.col("key").isNull() | (F.col("n") >= least)))
+    def rows(lang, columns, n, names, keys):
+        whole = columns[-1] > 0
+        own = run_keys(keys, [c[whole] for c in columns]) >> np.uint64(drop)
+        return pd.DataFrame({"key": own.view(np.int64), "n": n[whole]})
+
+    return _counted(docs, size, filters, rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of 1 to ``order`` words with f >= least, and (lang, n).
 
     Each word is the start of one window, its lead columns the words that follow, padded at the end of the piece. Only distinct windows are counted, and a
-    rollup over the columns sums them to all shorter prefixes: these are all phrases. Two passes before it find words, then pairs of neighbours that occur
+    rollup over the columns sums them to all shorter prefixes: these are all phrases. Passes before it find words, then runs of 2 to PRUNED words that occur
     ``least`` times (by hash, so too many rather than too few pass); a window is padded from the first that does not, as no phrase across it can.
     """
-    ones = scratch.put(_frequent(docs, 1, Filter(None), least), "words")
-    words = build_filter(ones.where("key IS NOT NULL"))
-    twos = scratch.put(_frequent(docs, 2, words, least).where("key IS NOT NULL"), "pairs")
-    pairs = build_filter(twos)
+    ones = scratch.put(_frequent_words(docs, least), "words")
+    filters = [build_filter(ones.where("key IS NOT NULL"))]
+    total = ones.where("key IS NULL").agg(F.sum("n")).first()[0] or 0
+    # some keys for each word of the table: less would join many rare runs to frequent ones, more would only make longer rows
+    drop = max(0, 64 - int(total).bit_length() - SPARE_BITS)
+    for size in range(2, min(PRUNED, order) + 1):
+        runs = scratch.put(_frequent_runs(docs, size, filters, drop, least), f"runs-{size}")
+        filters.append(build_filter(runs, drop))
     places = [f"w{k}" for k in range(1, order + 1)]
 
-    def rows(columns, n, names, keys):
-        text = np.array([w.decode("utf-8", "surrogatepass") for w in names], object)
-        return {**{p: text[c] for p, c in zip(places, columns, strict=True)}, "n": n}
+    def rows(lang, columns, n, names, keys):
+        used, at = np.unique(np.concatenate(columns), return_inverse=True)
+        text = np.array([names[k].decode("utf-8", "surrogatepass") for k in used.tolist()], object)[at].reshape(order, -1)
+        return pd.DataFrame({"lang": lang, **dict(zip(places, text, strict=True)), "n": n})
 
-    windows = _counted(docs, order, words, pairs, rows, f"lang string, {', '.join(f'{p} string' for p in places)}, n long")
+    windows = _counted(docs, order, filters, rows, f"lang string, {', '.join(f'{p} string' for p in places)}, n long")
     windows = windows.groupBy("lang", *places).agg(F.sum("n").alias("n"))
     sums = windows.rollup("lang", *places).agg(F.sum("n").alias("f"), F.grouping_id().alias("_set")).where(F.col("f") >= least)
     # the grouping set has a bit for each column that is summed over, the last column the lowest

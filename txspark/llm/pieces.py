@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "\u2581"
-#: Chunks whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 48
+#: Chunks and parts of chunks whose ids a worker remembers, each, and the longest of them.
+REMEMBERED, LONGEST = 400_000, 48
 #: Characters of text that a task encodes at a time; a text is never cut.
 SLICE_CHARS = 4_000_000
 
@@ -43,8 +44,9 @@ class Merges:
             raise ValueError(f"{path} has user-defined or unused pieces, which are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.dummy = norm.add_dummy_prefix
-        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
-        self.costs = {p.piece: -p.score for p in model.pieces if p.type == kind.NORMAL}
+        # inside, a plain space stands for its mark: short strings then have a byte for each character
+        self.ids = {p.piece.replace(SPACE, " "): i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
+        self.costs = {p.piece.replace(SPACE, " "): -p.score for p in model.pieces if p.type == kind.NORMAL}
         self.unknown = trainer.unk_id
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE} if trainer.byte_fallback else {}
         self.bytes = {i: b for b, i in self.byte_ids.items()}
@@ -55,14 +57,15 @@ class Merges:
         #: Characters that are neighbours in some piece; between any others no merge is possible.
         self.joined = {a + b for p in self.ids for a, b in zip(p, p[1:], strict=False)}
         # a space after another character starts a chunk of its own, unless some piece spans the two
-        spans = any(pair[1] == SPACE != pair[0] for pair in self.joined)
-        self.chunks = re.compile("(?s).+" if spans else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.known: dict[str, tuple[int, ...]] = {}
+        spans = any(pair[1] == " " != pair[0] for pair in self.joined)
+        self.chunks = re.compile("(?s).+" if spans else " +[^ ]*|[^ ]+")
+        self.known: dict[str, bytes] = {}  # ids as int32
+        self.parts: dict[str, bytes] = {}
         self.differing: set[str] = set()
 
     def split(self, text: str) -> list[str]:
         """The normalised text in chunks that no piece spans."""
-        return self.chunks.findall((SPACE if self.dummy and text else "") + text.replace(" ", SPACE))
+        return self.chunks.findall((" " if self.dummy and text else "") + text.replace(SPACE, " "))
 
     def merge(self, chunk: str) -> list[str]:
         """Pieces of a chunk: of all adjacent pairs of symbols that form a piece, that of the best score is merged first, the leftmost of equals."""
@@ -89,40 +92,53 @@ class Merges:
                     heappush(agenda, (costs[pair], earlier, left, len(pair)))
         return [s for s in symbols if s]
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        out: list[int] = []
-        start = 0
-        for i in range(1, len(chunk) + 1):
-            if i < len(chunk) and chunk[i - 1 : i + 1] in self.joined:
-                continue
-            for piece in self.merge(chunk[start:i]):
-                known = self.ids.get(piece)
-                if known is not None:
-                    out.append(known)
-                else:
-                    out += [self.byte_ids[b] for b in piece.encode()] if self.byte_ids else [self.unknown]
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk as int32, from those of its parts, which no piece spans either."""
+        start, out, joined, parts = 0, [], self.joined, self.parts
+        for i in [*(i for i, pair in enumerate(map("".join, zip(chunk, chunk[1:], strict=False)), 1) if pair not in joined), len(chunk)]:
+            part = chunk[start:i]
             start = i
-        return tuple(out)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts. Chunks that this worker has not met are encoded and checked against the library in one call."""
+            got = parts.get(part)
+            if got is None:
+                ids: list[int] = []
+                for piece in self.merge(part):
+                    known = self.ids.get(piece)
+                    if known is not None:
+                        ids.append(known)
+                    else:
+                        ids += [self.byte_ids[b] for b in piece.encode()] if self.byte_ids else [self.unknown]
+                got = array("i", ids).tobytes()
+                if len(part) <= LONGEST:
+                    parts[part] = got
+            out.append(got)
+        return b"".join(out)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, one after the other, and where each text begins and ends. Chunks that this worker has not met are encoded and checked
+        against the library in one call."""
         cut = [self.split(t) for t in texts]
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        for memory in (known, self.parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
         fresh = {c for c in chain.from_iterable(cut) if c not in known}
+        long = {}
         if fresh:
             coded = {c: self.encode_chunk(c) for c in fresh}
             first = int(self.dummy)  # which the library adds itself; all chunks start with it then
             for (c, ids), want in zip(coded.items(), self.library.encode([c[first:] for c in coded], num_threads=1), strict=True):
-                if list(ids) != want and len(c) > first:
+                if len(c) > first and ids != array("i", want).tobytes():
                     self.differing.add(c)
-            for c in [c for c in coded if len(c) <= LONGEST]:
-                known[c] = coded.pop(c)
-            if coded:
-                both = lambda c: known[c] if c in known else coded[c]
-                return [list(chain.from_iterable(map(both, cs))) for cs in cut]
-        return [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in cut]
+                (known if len(c) <= LONGEST else long)[c] = ids
+        ids_of = (lambda c: known[c] if c in known else long[c]) if long else known.__getitem__
+        coded_texts = [b"".join(map(ids_of, cs)) for cs in cut]
+        ends = np.concatenate([[0], np.cumsum([len(b) >> 2 for b in coded_texts], dtype=np.int64)])
+        return np.frombuffer(b"".join(coded_texts), np.int32), ends
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        ids, ends = self.encode_all(texts)
+        return [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def agrees(self, text: str) -> bool:
         """Whether the library gave the same ids for every chunk of the text."""
@@ -209,13 +225,10 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
             text = batch.column("text")
             for start, end in _ranges(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False), SLICE_CHARS):
                 texts = [t or "" for t in text.slice(start, end - start).to_pylist()]
-                lists = model.encode(texts)
-                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
-                ends = np.concatenate([[0], np.cumsum(sizes)])
+                flat, ends = model.encode_all(texts)
                 in_bytes = np.concatenate([[0], np.cumsum(model.is_byte[flat])])
                 plain = in_bytes[ends[1:]] == in_bytes[ends[:-1]]
-                decoded = [model.decode(ids, p) for ids, p in zip(lists, plain, strict=True)]
+                decoded = [model.decode(flat[a:b].tolist(), p) for a, b, p in zip(ends[:-1], ends[1:], plain, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, end - start), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(decoded, pa.string()), pa.array([model.agrees(t) for t in texts])],
                     names=["doc_id", "ids", "decoded", "agrees"],
