@@ -61,6 +61,7 @@ class Merges:
         self.chunks = re.compile("(?s).+" if spans else " +[^ ]*|[^ ]+")
         self.known: dict[str, bytes] = {}  # ids as int32
         self.parts: dict[str, bytes] = {}
+        self._tabulate(len(model.pieces))
         self.differing: set[str] = set()
 
     def split(self, text: str) -> list[str]:
@@ -92,26 +93,100 @@ class Merges:
                     heappush(agenda, (costs[pair], earlier, left, len(pair)))
         return [s for s in symbols if s]
 
-    def encode_chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk as int32, from those of its parts, which no piece spans either."""
-        start, out, joined, parts = 0, [], self.joined, self.parts
-        for i in [*(i for i, pair in enumerate(map("".join, zip(chunk, chunk[1:], strict=False)), 1) if pair not in joined), len(chunk)]:
-            part = chunk[start:i]
-            start = i
-            got = parts.get(part)
-            if got is None:
-                ids: list[int] = []
-                for piece in self.merge(part):
-                    known = self.ids.get(piece)
-                    if known is not None:
-                        ids.append(known)
-                    else:
-                        ids += [self.byte_ids[b] for b in piece.encode()] if self.byte_ids else [self.unknown]
-                got = array("i", ids).tobytes()
-                if len(part) <= LONGEST:
-                    parts[part] = got
-            out.append(got)
-        return b"".join(out)
+    def _tabulate(self, n: int) -> None:
+        """Tables for ``merge_short``: symbols by code point, and cost and merged symbol of each pair of symbols that forms a piece.
+
+        Symbols are ids of pieces, then the characters that are pieces only together with others, then one for all other characters.
+        """
+        symbols = dict(self.ids)
+        for c in sorted({c for p in self.ids for c in p} - symbols.keys()):
+            symbols[c] = n + len(symbols) - len(self.ids)
+        self.n_pieces, self.other = n, n + len(symbols) - len(self.ids)
+        self.symbol_of = np.full(0x110000, self.other, np.int32)
+        for c, k in symbols.items():
+            if len(c) == 1:
+                self.symbol_of[ord(c)] = k
+        pairs = [(symbols[p[:k]] * (self.other + 1) + symbols[p[k:]], i, self.costs[p]) for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols]
+        pairs.sort()
+        self.pair_keys = np.array([k for k, _, _ in pairs] + [2**62], np.int64)
+        self.pair_pieces = np.array([i for _, i, _ in pairs] + [0], np.int32)
+        self.pair_costs = np.array([c for _, _, c in pairs] + [0], np.float32)
+        pairs_of = np.array([(ord(a) << 21) | ord(b) for a, b in self.joined] or [-1], np.int64)
+        self.joined_keys = np.append(np.sort(pairs_of), 2**62)
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cost and merged symbol of pairs of symbols; infinite where they form no piece."""
+        key = left.astype(np.int64) * (self.other + 1) + right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_costs[at], np.float32(np.inf)), self.pair_pieces[at]
+
+    def merge_short(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of one length: ``merge`` with a row of costs as the agenda of each part, whose first lowest cost is merged, in all rows at once."""
+        size, gone = len(parts[0]), -1
+        sym = self.symbol_of[np.array(parts, f"U{size}").view(np.uint32).reshape(-1, size)]
+        after = np.tile(np.arange(1, size + 1), (len(parts), 1))
+        before = np.tile(np.arange(-1, size - 1), (len(parts), 1))
+        cost, merged = self._look_up(sym[:, :-1], sym[:, 1:])
+        live = np.arange(len(parts)) if size > 1 else np.zeros(0, np.int64)
+        while len(live):
+            j = cost[live].argmin(axis=1)
+            open_ = np.isfinite(cost[live, j])
+            live, j = live[open_], j[open_]
+            right = after[live, j]
+            sym[live, j] = merged[live, j]
+            sym[live, right] = gone
+            further = after[live, right]
+            after[live, j] = further
+            cost[live, j] = np.inf
+            inner = right < size - 1  # the right symbol had an agenda entry of its own
+            cost[live[inner], right[inner]] = np.inf
+            has = further < size
+            r, c, f = live[has], j[has], further[has]
+            before[r, f] = c
+            cost[r, c], merged[r, c] = self._look_up(sym[r, c], sym[r, f])
+            earlier = before[live, j]
+            has = earlier >= 0
+            r, c, e = live[has], j[has], earlier[has]
+            cost[r, e], merged[r, e] = self._look_up(sym[r, e], sym[r, c])
+        left = sym != gone
+        flat, ends = sym[left].astype(np.int32), np.cumsum(left.sum(axis=1))
+        data, plain = flat.tobytes(), ((sym < self.n_pieces).all(axis=1)).tolist()
+        starts = [0, *(4 * ends[:-1]).tolist()]
+        return [data[a:b] if ok else self._ids_of(part) for a, b, ok, part in zip(starts, (4 * ends).tolist(), plain, parts, strict=True)]
+
+    def _ids_of(self, part: str) -> bytes:
+        """Ids of a part through ``merge``, with bytes or the unknown id for symbols beyond the vocabulary."""
+        ids: list[int] = []
+        for piece in self.merge(part):
+            known = self.ids.get(piece)
+            if known is not None:
+                ids.append(known)
+            else:
+                ids += [self.byte_ids[b] for b in piece.encode()] if self.byte_ids else [self.unknown]
+        return array("i", ids).tobytes()
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks as int32, from those of their parts, which no piece spans either."""
+        whole = "".join(chunks)
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        key = (points[:-1] << 21) | points[1:]
+        cut = self.joined_keys[np.searchsorted(self.joined_keys, key)] != key
+        ends = np.cumsum([len(c) for c in chunks])
+        cut[ends[:-1] - 1] = True
+        bounds = [0, *(np.flatnonzero(cut) + 1).tolist(), len(whole)]
+        cut_parts = [whole[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        known, long = self.parts, {}
+        by_size: dict[int, list[str]] = {}
+        for part in dict.fromkeys(p for p in cut_parts if p not in known):
+            if len(part) <= LONGEST:
+                by_size.setdefault(len(part), []).append(part)
+            else:
+                long[part] = self._ids_of(part)
+        for parts in by_size.values():
+            known.update(zip(parts, self.merge_short(parts), strict=True))
+        ids = [known[p] if p in known else long[p] for p in cut_parts]
+        of = np.searchsorted(bounds, np.append(0, ends)).tolist()
+        return [ids[a] if b == a + 1 else b"".join(ids[a:b]) for a, b in zip(of, of[1:], strict=False)]
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts, one after the other, and where each text begins and ends. Chunks that this worker has not met are encoded and checked
@@ -124,7 +199,8 @@ class Merges:
         fresh = {c for c in chain.from_iterable(cut) if c not in known}
         long = {}
         if fresh:
-            coded = {c: self.encode_chunk(c) for c in fresh}
+            fresh = list(fresh)
+            coded = dict(zip(fresh, self.encode_chunks(fresh), strict=True))
             first = int(self.dummy)  # which the library adds itself; all chunks start with it then
             for (c, ids), want in zip(coded.items(), self.library.encode([c[first:] for c in coded], num_threads=1), strict=True):
                 if len(c) > first and ids != array("i", want).tobytes():
