@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txspark.operators.ordered import running
+from txspark.operators.ordered import in_slices, running
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -44,8 +44,9 @@ def _steps(df: DataFrame, by: list[str]) -> DataFrame:
     counts = df.groupBy(*by, "score").agg(F.count_if(F.col("y").cast("int") == 1).alias("p"), F.count_if(F.col("y").cast("int") == 0).alias("n"))
     values = {"tp": F.col("p"), "fp": F.col("n")}
     if not by:
-        totals = counts.agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n")).withColumn("_k", F.lit(1))
-        return running(counts, "score", values, F.sum, lambda a, b: a + b, descending=True).withColumn("_k", F.lit(1)).join(F.broadcast(totals), "_k").drop("_k")
+        cut = in_slices(counts, "score")
+        totals = cut.agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n")).withColumn("_k", F.lit(1))
+        return running(cut, "score", values, F.sum, lambda a, b: a + b, descending=True).withColumn("_k", F.lit(1)).join(F.broadcast(totals), "_k").drop("_k", "_slice")
     group = Window.partitionBy(*by)
     down = group.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return counts.select("*", *[F.sum(v).over(down).alias(k) for k, v in values.items()], F.sum("p").over(group).alias("all_p"), F.sum("n").over(group).alias("all_n"))

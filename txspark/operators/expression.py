@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txspark.operators.ordered import running
+from txspark.operators.ordered import in_slices, running
+from txspark.session import stored
 
 
 def sample_fpkm(records: DataFrame) -> DataFrame:
@@ -111,14 +112,16 @@ def dge_statistics(fpkm: DataFrame, samples: DataFrame, level: str = "transcript
     return c.selectExpr(f"'{level}' AS feature", "id", "pow(2, beta) AS fc", f"CAST({f} AS double) AS f", "CAST(n - 3 AS double) AS d2")
 
 
-def bh_adjust(df: DataFrame, p: str = "pval", name: str = "qval") -> DataFrame:
+def bh_adjust(df: DataFrame, p: str = "pval", name: str = "qval", slices: int | None = None) -> DataFrame:
     """Benjamini-Hochberg q-values; null p has null q (DGE3).
 
-    Equal p are one row before the ordered windows, which see (p, count) of a slice of the p-values each.
+    Equal p are one row before the ordered windows, which see (p, count) of a slice of the p-values each. The table is written once and read from there.
     """
+    df = stored(df, "tested")  # it is read twice
     counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).cast("double").alias("_p")).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    ranked = running(counts, "_p", {"_rank": F.col("_n")}, F.sum, lambda a, b: a + b)
+    cut = in_slices(counts, "_p", slices)
+    total = cut.agg(F.sum("_n")).first()[0] or 0
+    ranked = running(cut, "_p", {"_rank": F.col("_n")}, F.sum, lambda a, b: a + b)
     q = running(ranked, "_p", {"_q": F.col("_p") * F.lit(total) / F.col("_rank")}, F.min, F.least, descending=True)
     q = q.select("_p", F.least(F.lit(1.0), "_q").alias(name))
     return df.join(q, df[p] == q["_p"], "left").drop("_p")

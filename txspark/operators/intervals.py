@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Width of a bin where the caller names none: a few typical intervals.
+#: Width of the finest bins where the caller names none: a typical interval.
 BIN = 4096
 
 
@@ -31,19 +33,49 @@ def clip_intervals(df: DataFrame, sizes: DataFrame) -> DataFrame:
     return cut.where("start < end").select(*df.columns)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """Pairs of intervals of one chromosome that share a base (JN1).
+#: Levels of bins, each FAN times as wide as the one before.
+LEVELS, FAN = 6, 8
+
+
+def _level(start: str, end: str, bin_size: int) -> Column:
+    """The finest level whose bins are as long as the interval, so that it touches two of them at most; the last level for all longer ones."""
+    length = F.col(end) - F.col(start)
+    return reduce(lambda rest, k: F.when(length <= bin_size * FAN**k, F.lit(k)).otherwise(rest), range(LEVELS - 2, -1, -1), F.lit(LEVELS - 1))
+
+
+def interval_levels(df: DataFrame, bin_size: int = BIN) -> list[int]:
+    """The levels that occur among the intervals of a table: LEVELS numbers at most."""
+    return sorted(r[0] for r in df.where("start < end").select(_level("start", "end", bin_size)).distinct().collect())
+
+
+def _width(bin_size: int) -> Column:
+    return F.lit(bin_size) * F.pow(F.lit(FAN), F.col("_bin_level")).cast("long")
+
+
+def in_bins(df: DataFrame, start: str, end: str, coarser: list[int], level: str, bin_size: int) -> DataFrame:
+    """A row for each bin (_bin_level, _bin) that an interval touches at its own level, which comes as column ``level``, and at those of ``coarser`` levels that are coarser."""
+    own = df.where(F.col(start) < F.col(end)).withColumn(level, _level(start, end, bin_size))
+    above = F.filter(F.array(*[F.lit(k) for k in coarser]), lambda k: k > F.col(level)) if coarser else F.array().cast("array<int>")
+    placed = own.withColumn("_bin_level", F.explode(F.concat(F.array(F.col(level)), above)))
+    return placed.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / _width(bin_size)), F.floor((F.col(end) - 1) / _width(bin_size)))))
+
+
+def overlap_join(a: DataFrame, b: DataFrame, bin_size: int = BIN, on: tuple[str, ...] = ("chromosome",), levels: list[int] | None = None) -> DataFrame:
+    """Pairs of intervals of one chromosome (or one value of all ``on`` columns) that share a base (JN1).
 
-    Both sides are exploded to the bins that they touch and joined on (chromosome, bin), an equi-join that adaptive execution can
-    broadcast or split where it is skewed. A pair is reported only in the first bin that both touch, so no distinct is needed.
-    Columns of ``b`` but the chromosome come as ``b_<name>``. Empty intervals overlap nothing.
+    Bins are nested: an interval belongs to the finest level whose bins are as long as it is, where it touches one or two. A pair meets at the coarser one
+    of its two levels, so ``a`` shows itself at its own level and at all coarser ones, and ``b`` at its own and at those coarser ones that ``a`` has
+    (``levels``, found by one pass over ``a`` if not given): a few rows for any interval, however long. The join on (chromosome, level, bin) is an
+    equi-join that adaptive execution can broadcast or split where it is skewed. A pair is reported only in the first bin that both touch, so no distinct is
+    needed. Columns of ``b`` but those of ``on`` come as ``b_<name>``. Empty intervals overlap nothing.
     """
-    first = lambda c: F.expr(f"`{c}` div {bin_size}")
-    bins = lambda s, e: F.explode(F.sequence(first(s), F.expr(f"(`{e}` - 1) div {bin_size}")))
-    left = a.where("start < end").withColumn("_bin", bins("start", "end"))
-    other = b.where("start < end").select("chromosome", *[F.col(c).alias(f"b_{c}") for c in b.columns if c != "chromosome"])
-    right = other.withColumn("_bin", bins("b_start", "b_end"))
-    pairs = left.join(right, ["chromosome", "_bin"])
+    levels = interval_levels(a, bin_size) if levels is None else levels
+    left = in_bins(a, "start", "end", list(range(LEVELS)), "_level_a", bin_size)
+    other = b.select(*on, *[F.col(c).alias(f"b_{c}") for c in b.columns if c not in on])
+    right = in_bins(other, "b_start", "b_end", levels, "_level_b", bin_size)
+    pairs = left.join(right, [*on, "_bin_level", "_bin"])
+    meet = F.col("_bin_level") == F.greatest("_level_a", "_level_b")
     touch = (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end"))
-    once = F.col("_bin") == F.greatest(first("start"), first("b_start"))
-    return pairs.where(touch & once).select(*a.columns, *[c for c in other.columns if c != "chromosome"])
+    width = _width(bin_size)
+    once = F.col("_bin") == F.greatest(F.floor(F.col("start") / width), F.floor(F.col("b_start") / width))
+    return pairs.where(meet & touch & once).select(*a.columns, *[c for c in other.columns if c not in on])

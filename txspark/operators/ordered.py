@@ -7,28 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a slice, near enough.
-SLICE_ROWS = 1_000_000
+from txspark.session import stored
 
 
-def sliced(df: DataFrame, column: str, rows: int = SLICE_ROWS) -> DataFrame:
-    """``df`` with ``_slice``: numbers of ranges of ``column`` that hold about ``rows`` rows each, cut at approximate quantiles."""
-    parts = max(1, -(-df.count() // rows))
-    cuts = sorted(set(df.approxQuantile(column, [k / parts for k in range(1, parts)], 0.1 / parts))) if parts > 1 else []
-    number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(column))) if cuts else F.lit(0)
-    return df.withColumn("_slice", number)
+def in_slices(df: DataFrame, column: str, slices: int | None = None) -> DataFrame:
+    """``df`` as a written table with ``_slice``: numbers of ranges of ``column``, in its order.
+
+    A range partitioning, by cuts that Spark samples, makes the slices; their number is that of the shuffle partitions unless given. The table is
+    written once, so that no later step computes ``df`` again or samples other cuts.
+    """
+    ranged = df.repartitionByRange(slices, column) if slices else df.repartitionByRange(column)
+    return stored(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
-def running(df: DataFrame, column: str, values: dict[str, Column], fold: Callable[[Column], Column], join: Callable[[Column, Column], Column], descending: bool = False, rows: int = SLICE_ROWS) -> DataFrame:
-    """``df`` with a column for each of ``values``: its fold over all rows up to this one in the order of ``column``, whose values differ.
+def running(cut: DataFrame, column: str, values: dict[str, Column], fold: Callable[[Column], Column], join: Callable[[Column, Column], Column], descending: bool = False) -> DataFrame:
+    """``cut`` with a column for each of ``values``: its fold over all rows up to this one in the order of ``column``, whose values differ.
 
-    A slice is ordered by one task; only one row for each slice passes the window without partitions.
+    ``cut`` comes from ``in_slices``. A slice is ordered by one task; what the slices before it add up to is a row for each slice, which alone
+    passes a window without partitions and is broadcast.
     """
-    cut = sliced(df, column, rows)
     turn = (lambda c: F.col(c).desc()) if descending else F.col
     own = cut.groupBy("_slice").agg(*[fold(v).alias(n) for n, v in values.items()])
     earlier = Window.orderBy(turn("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     before = own.select("_slice", *[fold(F.col(n)).over(earlier).alias(f"_before_{n}") for n in values])
     within = Window.partitionBy("_slice").orderBy(turn(column)).rowsBetween(Window.unboundedPreceding, 0)
     both = cut.join(F.broadcast(before), "_slice")  # a row for each slice
-    return both.select(*df.columns, *[F.when(F.col(f"_before_{n}").isNull(), fold(v).over(within)).otherwise(join(F.col(f"_before_{n}"), fold(v).over(within))).alias(n) for n, v in values.items()])
+    return both.select(*cut.columns, *[F.when(F.col(f"_before_{n}").isNull(), fold(v).over(within)).otherwise(join(F.col(f"_before_{n}"), fold(v).over(within))).alias(n) for n, v in values.items()])

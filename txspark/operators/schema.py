@@ -5,8 +5,13 @@ from __future__ import annotations
 import json
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from txspark.session import stored
 
 FLOATS, INTS = ("float", "double"), ("short", "integer", "long", "byte")
 
@@ -51,11 +56,59 @@ def enforce_schema(df: DataFrame, schema: dict[str, str], keys: tuple[str, ...]
     return df.select(*[c for c in keys if c in df.columns], *[one(n, t) for n, t in schema.items()])
 
 
+#: Bits of an order-preserving key that one round of ``exact_quantiles`` tells apart: a feature has at most 2**16 counts in a round.
+ROUND_BITS = 16
+
+
+@F.pandas_udf(T.LongType())
+def _order_key(v: pd.Series) -> pd.Series:
+    """Keys of doubles that lie in their order, as signed integers; NaN comes last and both zeros are one."""
+    bits = (v.to_numpy(float) + 0.0).view(np.int64)
+    return pd.Series(np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits))
+
+
+def exact_quantiles(long: DataFrame, levels: list[float]) -> DataFrame:
+    """(feature, level, value): quantiles by linear interpolation of (feature, v), without a task that sees all values of a feature (AGG4).
+
+    A distributed selection for all features and levels at once: values are counted by the first bits of a key that keeps their order, running counts name the
+    bucket of each wanted rank, and only values of wanted buckets go into the next round, which looks at further bits. After four rounds a bucket is one value.
+    Features without values have no rows.
+    """
+    rows = long.where("v IS NOT NULL").select("feature", "v", _order_key("v").alias("_key"))
+    wanted = None
+    for shift in range(64 - ROUND_BITS, -1, -ROUND_BITS):
+        bucket = F.shiftright("_key", shift).alias("_bucket")
+        if wanted is not None:
+            # a row for each feature and bucket: at most two for each level
+            rows = stored(rows.join(F.broadcast(wanted.select("feature", F.col("_bucket").alias("_kept")).distinct()), "feature").where(F.shiftright("_key", shift + ROUND_BITS) == F.col("_kept")).drop("_kept"), "quantiles")
+        counts = rows.groupBy("feature", bucket).agg(F.count("*").alias("_n"), F.min("v").alias("_v"))
+        if wanted is None:
+            counts = stored(counts, "quantiles")
+            order = Window.partitionBy("feature").orderBy("_bucket")
+            rank = F.array(*[F.struct(F.lit(q).alias("level"), (F.lit(q) * (F.col("_all") - 1)).alias("_h")) for q in levels])
+            want = counts.groupBy("feature").agg(F.sum("_n").alias("_all")).select("feature", F.explode(rank).alias("x")).select("feature", "x.*")
+            sides = F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h"))))
+            want = want.select("feature", "level", "_h", sides.alias("_rank")).withColumn("_of", F.lit(None).cast("long"))
+            placed = counts.withColumn("_upto", F.sum("_n").over(order)).withColumn("_of", F.lit(None).cast("long"))
+        else:
+            within = F.shiftright("_bucket", ROUND_BITS)
+            placed = counts.withColumn("_of", within)
+            placed = placed.withColumn("_upto", F.sum("_n").over(Window.partitionBy("feature", "_of").orderBy("_bucket")))
+            want = wanted.select("feature", "level", "_h", F.col("_left").alias("_rank"), F.col("_bucket").alias("_of"))
+        want = want.withColumnsRenamed({"feature": "_feature", "_of": "_in"})
+        on = (F.col("feature") == F.col("_feature")) & F.col("_of").eqNullSafe(F.col("_in"))
+        found = placed.join(F.broadcast(want), on).where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+        wanted = stored(found.select("feature", "level", "_h", "_bucket", (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_left"), "_v"), "quantiles")
+    low, high = F.min("_v"), F.max("_v")
+    part = F.first("_h") - F.floor(F.first("_h"))
+    return wanted.groupBy("feature", "level").agg(F.when(low == high, low).otherwise(low + (high - low) * part).alias("value"))
+
+
 def profile(df: DataFrame, types: dict[str, str] | None = None, approximate: bool = False) -> DataFrame:
     """A row of statistics for each feature (AGG4).
 
     Continuous: count of nulls, percentage, min, max, mean, sample deviation, and the 5th, 25th, 50th, 75th and 95th percentiles by linear
-    interpolation (by sketch if ``approximate``, for large tables). Nominal: distinct values and the percentage of true ones.
+    interpolation, exact (by sketch, in one pass, if ``approximate``). Nominal: distinct values and the percentage of true ones.
     """
     types = types or {n: "nominal" if t in ("boolean", "string") else "continuous" for n, t in fields_of(df).items()}
     cont, nominal = ([n for n, t in types.items() if t == k] for k in ("continuous", "nominal"))
@@ -63,10 +116,15 @@ def profile(df: DataFrame, types: dict[str, str] | None = None, approximate: boo
     parts = []
     if cont:
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("v")) for c in cont])).alias("x")).select("x.*")
-        levels = F.array(*[F.lit(q) for q in (0.05, 0.25, 0.5, 0.75, 0.95)])
-        q = F.percentile_approx("v", levels, F.lit(10_000)) if approximate else F.percentile("v", levels)
-        stats = long.groupBy("feature").agg(F.count_if(F.col("v").isNull()).alias("null_count"), (100.0 * F.count_if(F.col("v").isNull()) / n).alias("null_percent"), F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), q.alias("q"))
-        parts.append(stats.select("feature", F.lit("continuous").alias("type"), "null_count", "null_percent", "min", "max", "mean", "std", *[F.col("q")[i].alias(a) for i, a in enumerate(("p05", "p25", "median", "p75", "p95"))], F.lit(None).cast("long").alias("n_distinct"), F.lit(None).cast("double").alias("percent_true")))
+        levels, names = [0.05, 0.25, 0.5, 0.75, 0.95], ["p05", "p25", "median", "p75", "p95"]
+        found = [F.count_if(F.col("v").isNull()).alias("null_count"), (100.0 * F.count_if(F.col("v").isNull()) / n).alias("null_percent"), F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
+        if approximate:
+            stats = long.groupBy("feature").agg(*found, F.percentile_approx("v", F.array(*[F.lit(q) for q in levels]), F.lit(10_000)).alias("q"))
+        else:
+            quantiles = exact_quantiles(long, levels).groupBy("feature").agg(*[F.max(F.when(F.col("level") == q, F.col("value"))).alias(a) for q, a in zip(levels, names, strict=True)])
+            # a row for each feature
+            stats = long.groupBy("feature").agg(*found).join(F.broadcast(quantiles), "feature", "left").withColumn("q", F.array(*names)).drop(*names)
+        parts.append(stats.select("feature", F.lit("continuous").alias("type"), "null_count", "null_percent", "min", "max", "mean", "std", *[F.col("q")[i].alias(a) for i, a in enumerate(names)], F.lit(None).cast("long").alias("n_distinct"), F.lit(None).cast("double").alias("percent_true")))
     if nominal:
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("v")) for c in nominal])).alias("x")).select("x.*")
         stats = long.groupBy("feature").agg(F.count_if(F.col("v").isNull()).alias("null_count"), (100.0 * F.count_if(F.col("v").isNull()) / n).alias("null_percent"), F.count_distinct("v").alias("n_distinct"), (100.0 * F.count_if(F.col("v") == "true") / F.greatest(F.count("v"), F.lit(1))).alias("percent_true"))

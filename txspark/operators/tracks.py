@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txspark.operators.intervals import BIN, clip_intervals, expand_intervals, overlap_join
+from txspark.operators.intervals import BIN, clip_intervals, overlap_join
 
 KEY = ["chromosome", "start", "end"]
 STATS = ("mean", "max", "min", "coverage", "std", "sum", "extract_names")
@@ -90,37 +92,107 @@ def entry_names(intervals: DataFrame, entries: DataFrame, index: int = 3, sizes:
     return _back(intervals, found, ["names"])
 
 
+ASK = ["chromosome", "start", "end", "_ask"]
+
+
+def _long_tracks(paths: list[str], tracks: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+    """All tracks as one table, with the number of the track and a value or the text of an entry."""
+    one = lambda i, df: df.select(
+        F.lit(i).alias("_track"), *KEY, (F.col("value").cast("double") if "value" in df.columns else F.lit(None).cast("double")).alias("value"), (F.col("rest") if "rest" in df.columns else F.lit(None).cast("string")).alias("rest")
+    )
+    return reduce(lambda x, y: x.unionByName(y), [one(i, tracks[p][1]) for i, p in enumerate(paths)])
+
+
+def _asks(intervals: DataFrame, asks: list[tuple], paths: list[str], sizes: DataFrame | None) -> DataFrame:
+    """A row for each different interval and (track, expansion): its number, the interval, and the part to look at, within the chromosome."""
+    listed = F.array(*[F.struct(F.lit(i).alias("_ask"), F.lit(paths.index(p)).alias("_track"), F.lit(up).alias("up"), F.lit(down).alias("down")) for i, (p, up, down) in enumerate(asks)])
+    rows = intervals.select(*KEY).distinct().select("*", F.explode(listed).alias("x")).select(*KEY, "x.*")
+    if sizes is not None:
+        rows = rows.join(sizes.select("chromosome", F.col("length").alias("_length")), "chromosome", "left")
+    low, high = F.greatest(F.col("start") - F.col("up"), F.lit(0)), F.col("end") + F.col("down")
+    high = F.least(high, F.coalesce("_length", high)) if sizes is not None else high
+    # an interval that its expansion would empty stays as it is, and so does one without an expansion
+    fine = (low < high) & ((F.col("up") != 0) | (F.col("down") != 0))
+    rows = rows.withColumns({"_s": F.when(fine, low).otherwise(F.col("start")), "_e": F.when(fine, high).otherwise(F.col("end"))})
+    if sizes is not None:
+        rows = rows.withColumns({"_s": F.greatest("_s", F.lit(0)), "_e": F.least("_e", "_length")}).where("_length IS NOT NULL AND _s < _e").drop("_length")
+    return rows.select(*ASK, "_track", "_s", "_e")
+
+
 def query_tracks(intervals: DataFrame, spec: list[dict], tracks: dict[str, tuple[str, DataFrame]], sizes: DataFrame | None = None, bin_size: int = BIN) -> DataFrame:
     """All rows of a track specification over all intervals, a column for each name, names in order (TRK5).
 
     ``spec`` rows have path, stat, name, upstream, downstream and name_field_index; ``tracks`` maps a path to (kind, table) with kind ``signal`` or
-    ``entry``. Rows that share a track and an expansion share a join. A repeated name takes the later row; a track that
+    ``entry``. All tracks are one long table, and each interval asks for each (track, expansion) that the specification names, so that one overlap join serves all; its
+    pairs are added up by interval and ask, and one pivot makes the columns. A repeated name takes the later row; a track that
     is missing, names of a signal and the standard deviation of entries give null.
     """
     last = {row["name"]: row for row in spec}
-    groups: dict[tuple, list[dict]] = {}
-    for row in last.values():
-        groups.setdefault((row["path"], row.get("upstream", 0), row.get("downstream", 0)), []).append(row)
-    base = intervals.select("*", F.col("start").alias("_s"), F.col("end").alias("_e"))
-    out = intervals
-    for (path, up, down), rows in groups.items():
-        kind, track = tracks.get(path, (None, None))
-        asked = expand_intervals(base.select("chromosome", "start", "end", "_s", "_e").distinct(), up, down, sizes)
-        got, columns = asked, {}
-        if kind == "signal":
-            got = signal_stats(asked, track, sizes=sizes, bin_size=bin_size)
-            columns = {s: s for s in STATS if s != "extract_names"}
-        elif kind == "entry":
-            if any(r["stat"] not in ("extract_names", "std") for r in rows):
-                got = entry_stats(asked, track, sizes, bin_size)
-                columns = {"coverage": "coverage", "mean": "depth_mean", "min": "depth_min", "max": "depth_max", "sum": "depth_sum"}
-            for i in sorted({r.get("name_field_index", 3) for r in rows if r["stat"] == "extract_names"}):
-                named = entry_names(asked, track, i, sizes, bin_size).select("chromosome", "_s", "_e", F.col("names").alias(f"names_{i}"))
-                got = got.join(named, ["chromosome", "_s", "_e"], "left")
-        wanted = []
-        for r in rows:
-            source = f"names_{r.get('name_field_index', 3)}" if r["stat"] == "extract_names" and kind == "entry" else columns.get(r["stat"])
-            kind_of = "string" if r["stat"] == "extract_names" else "double"
-            wanted.append((F.col(source) if source else F.lit(None)).cast(kind_of).alias(r["name"]))
-        out = out.join(got.select("chromosome", F.col("_s").alias("start"), F.col("_e").alias("end"), *wanted), KEY, "left")
-    return out.select(*KEY, *[c for c in intervals.columns if c not in KEY], *sorted(last))
+    asked = lambda r: (r["path"], r.get("upstream", 0), r.get("downstream", 0))
+    asks = sorted({asked(r) for r in last.values() if r["path"] in tracks})
+    kind_of = lambda r: "string" if r["stat"] == "extract_names" else "double"
+    nothing = [F.lit(None).cast(kind_of(r)).alias(n) for n, r in sorted(last.items())]
+    rest = [c for c in intervals.columns if c not in KEY]
+    if not asks:
+        return intervals.select(*KEY, *rest, *nothing)
+    paths = sorted({p for p, _, _ in asks})
+    entry = [i for i, p in enumerate(paths) if tracks[p][0] == "entry"]
+    named = sorted({r.get("name_field_index", 3) for r in last.values() if r["stat"] == "extract_names" and tracks.get(r["path"], ("",))[0] == "entry"})
+    depth = any(r["stat"] not in ("extract_names", "std") and tracks.get(r["path"], ("",))[0] == "entry" for r in last.values())
+    table, wanted = _long_tracks(paths, tracks), _asks(intervals, asks, paths, sizes)
+    looked = wanted.withColumnsRenamed({"start": "_start", "end": "_end"}).withColumnsRenamed({"_s": "start", "_e": "end"})
+    pairs = overlap_join(looked, table, bin_size, ("_track", "chromosome"))
+
+    w, v = F.least("end", "b_end") - F.greatest("start", "b_start"), F.col("b_value")
+    is_entry = F.col("_track").isin(entry)
+    number, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    whole = F.struct(number.alias("at"), number.alias("step"), F.lit(None).cast("int").alias("field"), text.alias("name"))
+    marks = F.array(F.when(~is_entry, whole))
+    if depth:
+        ends = [F.struct(at.cast("long").alias("at"), F.lit(step).cast("long").alias("step"), F.lit(None).cast("int").alias("field"), text.alias("name")) for at, step in ((F.greatest("start", "b_start"), 1), (F.least("end", "b_end"), -1))]
+        marks = F.concat(marks, F.when(is_entry, F.array(*ends)).otherwise(F.array()))
+    for k in named:
+        name = F.get(F.split("b_rest", "\t"), F.lit(k))
+        held = F.struct(number.alias("at"), number.alias("step"), F.lit(k).alias("field"), name.alias("name"))
+        marks = F.concat(marks, F.array(F.when(is_entry & (name != "") & (name != "."), held)))
+    own = ["chromosome", F.col("_start").alias("start"), F.col("_end").alias("end"), "_ask"]
+    rows = pairs.select(*own, (F.col("end") - F.col("start")).alias("len"), w.alias("w"), v.alias("v"), F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m")).select(*ASK, "len", "w", "v", "m.*")
+    signal = F.col("v")
+    rows = rows.select(*ASK, "at", "step", "field", "name", "len", F.when(signal.isNotNull(), F.col("w")).alias("w"), (signal * F.col("w")).alias("vw"), (signal * signal * F.col("w")).alias("vvw"), F.col("v").alias("low"), F.col("v").alias("high"), F.lit(False).alias("inside"))
+    if depth:  # an interval without entries has depth 0 where the chromosome is known
+        here = wanted.where(F.col("_track").isin(entry))
+        if sizes is None:
+            here = here.join(table.where(F.col("_track").isin(entry)).select("_track", "chromosome").distinct(), ["_track", "chromosome"], "left_semi")
+        empty = {c: F.lit(None).cast(t) for c, t in rows.dtypes if c not in ASK}
+        rows = rows.unionByName(here.select(*ASK).withColumns(empty | {"inside": F.lit(True)}))
+    sums = {"w": F.sum("w"), "vw": F.sum("vw"), "vvw": F.sum("vvw"), "low": F.min("low"), "high": F.max("high"), "len": F.max("len"), "inside": F.bool_or("inside")}
+    # rows of a signal become one, those of a name one, the ends of entries one for each place
+    marked = rows.groupBy(*ASK, "at", "field", "name").agg(F.sum("step").alias("step"), *[f.alias(c) for c, f in sums.items()])
+    found = {c: f.alias(c) for c, f in sums.items()}
+    if depth:
+        along = Window.partitionBy(*ASK).orderBy("at")  # null places come first and have no depth
+        marked = marked.withColumns({"depth": F.sum("step").over(along), "width": F.lead("at").over(along) - F.col("at")})
+        deep = F.when(F.col("depth") > 0, F.col("width"))
+        found |= {"covered": F.sum(deep).alias("covered"), "total": F.sum(F.col("depth") * deep).alias("total"), "shallow": F.min(F.when(deep > 0, F.col("depth"))).alias("shallow"), "deepest": F.max(F.when(deep > 0, F.col("depth"))).alias("deepest")}
+    for k in named:
+        found[f"names_{k}"] = F.array_join(F.array_sort(F.collect_list(F.when(F.col("field") == k, F.col("name")))), ",").alias(f"names_{k}")
+    stats = marked.groupBy(*ASK).agg(*found.values())
+    n, s, q = F.col("w"), F.col("vw"), F.col("vvw")
+    of_signal = {"mean": s / n, "max": F.col("high"), "min": F.col("low"), "sum": s, "coverage": n / F.col("len"), "std": F.sqrt(F.greatest(F.when(n > 1, (q - s * s / n) / (n - 1)), F.lit(0.0)))}
+    of_entry = {}
+    if depth:
+        zero = lambda c: F.when(F.col("inside"), F.coalesce(c.cast("double"), F.lit(0.0)))
+        of_entry = {"coverage": zero(F.col("covered") / F.col("len")), "mean": zero(F.col("total") / F.col("covered")), "min": zero(F.col("shallow")), "max": zero(F.col("deepest")), "sum": zero(F.col("total"))}
+    columns = []
+    for name, r in sorted(last.items()):
+        kind = tracks.get(r["path"], (None,))[0]
+        if kind == "entry" and r["stat"] == "extract_names":
+            value = F.nullif(F.col(f"names_{r.get('name_field_index', 3)}"), F.lit(""))
+        else:
+            value = {"signal": of_signal, "entry": of_entry}.get(kind, {}).get(r["stat"])
+        if value is None:
+            columns.append(F.lit(None).cast(kind_of(r)).alias(name))
+        else:
+            columns.append(F.max(F.when(F.col("_ask") == asks.index(asked(r)), value.cast(kind_of(r)))).alias(name))
+    wide = stats.groupBy(*KEY).agg(*columns)
+    return intervals.join(wide, KEY, "left").select(*KEY, *rest, *sorted(last))

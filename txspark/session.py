@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str = "local[*]", name: str = "txspark", **conf: str) -> SparkSession:
@@ -38,6 +38,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{(root or tempfile.gettempdir() + '/txspark-scratch').rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written once to a new folder of ``work_folder``: it cuts lineage and survives lost executors."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers of a session, once: they need it wherever it is not installed on the executors."""
     context = spark.sparkContext
