@@ -92,3 +92,65 @@ def test_exact_quantiles(spark):
     for (f, q), v in got.items():
         want = np.quantile(values[f], q)
         assert abs(v - want) <= 1e-12 * max(1.0, abs(want)), (f, q, v, want)
+
+
+def test_sparse_decomposition_of_all_lengths(spark):
+    """Components of lengths 3 to 12 at once against numpy's decomposition of the dense matrices."""
+    from txspark.operators import kmers
+
+    rng = random.Random(8)
+    seqs = [(f"t{i}", "".join(rng.choice("ACGT") for _ in range(rng.randrange(40, 400)))) for i in range(40)]
+    weights = kmers.tfidf(kmers.count_kmers(spark.createDataFrame(seqs, "transcript_id string, sequence string"))).persist()
+    dense = weights.toPandas()
+    got = kmers.svd_by_k(weights, {3: 3, 7: 2, 12: 2}).toPandas()
+    for k, n in ((3, 3), (5, 1), (7, 2), (12, 2)):
+        own = dense[dense["k"] == k].pivot(index="transcript_id", columns="kmer", values="weight").fillna(0.0).sort_index(axis=1)
+        v = np.linalg.svd(own.to_numpy(), full_matrices=False)[2][:n]
+        v = v * np.sign(v[np.arange(n), np.abs(v).argmax(axis=1)])[:, None]
+        want = own.to_numpy() @ v.T
+        for c in range(n):
+            mine = got[got["name"] == f"{k}mer_SVD{c + 1}"].set_index("transcript_id")["score"].reindex(own.index).to_numpy()
+            assert np.abs(mine - want[:, c]).max() < 1e-5, (k, c)
+        assert set(got["name"][got["name"].str.startswith(f"{k}mer_")]) == {f"{k}mer_SVD{c + 1}" for c in range(n)}
+    none = spark.createDataFrame([], "transcript_id string, k int, kmer string, weight double")
+    assert kmers.svd_by_k(none).count() == 0 and kmers.svd_global(none, 2).count() == 0
+
+
+def test_only_changed_rows_are_computed(spark, tmp_path):
+    from txspark.sources.writers import resume_changed
+
+    def run(rows, label, batches=3):
+        seen = []
+
+        def compute(df):
+            seen.extend(r["k"] for r in df.collect())
+            return df.select("k", F.concat("x", F.lit(label)).alias("y"))
+
+        df = spark.createDataFrame(rows, "k int, x string, other int")
+        return {r["k"]: r["y"] for r in resume_changed(df, str(tmp_path / "work"), "k", compute, ["x"], batches).collect()}, sorted(seen)
+
+    assert run([], "0") == ({}, [])
+    assert run([(i, "a", 0) for i in range(6)], "1") == ({i: "a1" for i in range(6)}, list(range(6)))
+    got, seen = run([(0, "a", 9), (1, "b", 0), (2, None, 0), (5, "a", 0), (7, "a", 0)], "2")
+    assert seen == [1, 2, 7] and got == {0: "a1", 1: "b2", 2: None, 5: "a1", 7: "a2"}
+    # back to earlier content: its result is still there
+    assert run([(1, "a", 0), (2, "a", 1)], "3") == ({1: "a1", 2: "a1"}, [])
+    # rows of a batch that never reached the manifest do not count
+    spark.createDataFrame([(1, "lost", "c", "b")], "k int, y string, _content string, _batch string").write.mode("append").parquet(str(tmp_path / "work" / "rows"))
+    assert run([(1, "a", 0)], "4") == ({1: "a1"}, [])
+
+
+def test_specification_files(spark, tmp_path):
+    from txspark.sources.readers import read_track_spec
+
+    (tmp_path / "a.json").write_text('[{"path": "p", "upstream": -1, "stats": [{"stat": "mean", "name": "m"}]}]')
+    want = [{"path": "p", "stat": "mean", "name": "m", "upstream": 0, "downstream": 0, "name_field_index": 3}]
+    assert read_track_spec(spark, str(tmp_path / "a.json")) == want
+    (tmp_path / "b.yaml").write_text("- path: p\n  upstream: -1\n  stats:\n    - {stat: mean, name: m}\n")
+    try:
+        import yaml  # noqa: F401
+    except ImportError:
+        with pytest.raises(ValueError, match="YAML"):
+            read_track_spec(spark, str(tmp_path / "b.yaml"))
+    else:
+        assert read_track_spec(spark, str(tmp_path / "b.yaml")) == want

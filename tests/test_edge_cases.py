@@ -290,17 +290,6 @@ def test_calls_from_annotation_genome_and_tracks(spark):
     assert {r["transcript_id"]: (r["prediction"], r["chromosome"]) for r in got.collect()} == {"a": (0, "chr2L"), "b": (1, "chr2L")}
 
 
-@pytest.mark.parametrize("rows", [3, 7, 1000])
-def test_running_totals_over_slices(spark, rows):
-    from txspark.operators.ordered import running
-
-    df = spark.createDataFrame([(float((i * 37) % 101), i) for i in range(101)], "x double, n long").repartition(5)
-    got = running(df, "x", {"up": F.col("n")}, F.sum, lambda a, b: a + b, rows=rows).collect()
-    down = running(df, "x", {"low": F.col("n")}, F.min, F.least, descending=True, rows=rows).collect()
-    assert all(r["up"] == sum(s["n"] for s in got if s["x"] <= r["x"]) for r in got)
-    assert all(r["low"] == min(s["n"] for s in down if s["x"] >= r["x"]) for r in down)
-
-
 def test_kmers_across_pieces(spark):
     from collections import Counter
 

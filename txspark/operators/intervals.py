@@ -34,7 +34,7 @@ def clip_intervals(df: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 #: Levels of bins, each FAN times as wide as the one before.
-LEVELS, FAN = 6, 8
+LEVELS, FAN = 7, 4
 
 
 def _level(start: str, end: str, bin_size: int) -> Column:

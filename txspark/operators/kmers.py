@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txspark.functions.scalars import to_binary
+from txspark.session import stored
 
 
 def _check(k_min: int, k_max: int) -> None:
@@ -60,43 +64,125 @@ def tfidf(kmers: DataFrame) -> DataFrame:
     return weighed.select("transcript_id", "k", "kmer", (F.col("w") / norm).alias("weight"))
 
 
-def _svd(rows: DataFrame, columns: list[str], n: int, weight: str) -> DataFrame:
-    """(transcript_id, component, score) of a matrix with few columns; V, of columns x n numbers, is all that reaches the driver."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
+#: Directions beyond those wanted, most rounds, and the relative change of the eigenvalues at which they end.
+SPARE, ROUNDS, CLOSE = 10, 40, 1e-11
+SCORES = "transcript_id string, block int, component int, score double"
+#: Weights that a task multiplies at a time.
+CHUNK = 200_000
+
+
+def sparse_rows(rows: DataFrame, columns: dict[int, list[str]], weight: str) -> DataFrame:
+    """(transcript_id, block, at, w): a sparse row for each id and block, written once: places among the block's columns and weights."""
+    # a row for each k-mer of the vocabulary
+    places = rows.sparkSession.createDataFrame([(b, c, i) for b, own in columns.items() for i, c in enumerate(own)], "block int, kmer string, place int")
+    held = rows.select("transcript_id", "block", "kmer", F.col(weight).cast("double").alias("w")).join(F.broadcast(places), ["block", "kmer"])
+    listed = held.groupBy("transcript_id", "block").agg(F.collect_list(F.struct("place", "w")).alias("x"))
+    return stored(listed.select("transcript_id", "block", F.col("x.place").alias("at"), F.col("x.w").alias("w")), "sparse")
+
+
+def _chunks(frame: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of rows of one block with their places, weights and row numbers, of about CHUNK weights each."""
+    for block, own in frame.groupby("block", sort=True):
+        sizes = own["at"].map(len).to_numpy(np.int64)
+        for _, part in own.groupby((np.cumsum(sizes) - sizes) // CHUNK, sort=True):
+            n = part["at"].map(len).to_numpy(np.int64)
+            yield int(block), part, np.concatenate(part["at"].to_list()), np.concatenate(part["w"].to_list()), np.repeat(np.arange(len(part)), n)
+
+
+def _times(q: np.ndarray, at: np.ndarray, w: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """The product of sparse rows and a dense matrix."""
+    return np.stack([np.bincount(row, w * q[at, c], n) for c in range(q.shape[1])], axis=1)
+
+
+def _gram_times(rows: DataFrame, q: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """A'A q of each block: tasks multiply their rows twice and give one dense sum each, of columns x directions, which alone is shuffled and reaches the driver."""
+    wide = max(m.shape[1] for m in q.values())
+    shared = rows.sparkSession.sparkContext.broadcast(q)
+
+    def multiply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {b: np.zeros_like(m) for b, m in shared.value.items()}
+        for frame in frames:
+            for b, part, at, w, row in _chunks(frame):
+                z = _times(shared.value[b], at, w, row, len(part))
+                for c in range(z.shape[1]):
+                    sums[b][:, c] += np.bincount(at, w * z[row, c], len(sums[b]))
+        for b, m in sums.items():
+            full = np.zeros((len(m), wide))
+            full[:, : m.shape[1]] = m
+            yield pd.DataFrame({"block": b, "place": np.arange(len(m)), **{f"y{c}": full[:, c] for c in range(wide)}})
+
+    columns = [f"y{c}" for c in range(wide)]
+    found = rows.mapInPandas(multiply, f"block int, place int, {', '.join(f'{c} double' for c in columns)}").groupBy("block", "place").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
+    out = {b: np.zeros_like(m) for b, m in q.items()}
+    for b, own in found.groupby("block"):
+        out[b][own["place"].to_numpy()] = own[columns].to_numpy()[:, : q[b].shape[1]]
+    return out
+
+
+def right_vectors(rows: DataFrame, sizes: dict[int, int], wanted: dict[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Singular values and right singular vectors of each block by block power iteration, all blocks in the same jobs.
 
-    spark, index = rows.sparkSession, {c: i for i, c in enumerate(columns)}
-    wide = rows.groupBy("transcript_id").pivot("kmer", columns).agg(F.sum(weight)).fillna(0.0, columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(wide).select("v")
-    v = np.array(RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeSVD(n, computeU=False).V.toArray())
-    v = v * np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0)  # the largest entry is positive
-    table = spark.createDataFrame([(c, j, float(v[i, j])) for c, i in index.items() for j in range(v.shape[1])], "kmer string, component int, v double")
-    return rows.join(table, "kmer").groupBy("transcript_id", "component").agg(F.sum(F.col(weight) * F.col("v")).alias("score"))
+    ``rows`` are sparse rows as of ``sparse_rows``. Random directions, SPARE more than wanted, are multiplied by A'A and made orthogonal again until the
+    leading eigenvalues of the small matrix q'A'A q stand still; a block with few columns starts from all of them and is exact after one product. The largest
+    entry of a vector is positive.
+    """
+    rng = np.random.default_rng(99)
+    q = {}
+    for b, m in sizes.items():
+        r = min(m, wanted[b] + SPARE)
+        q[b] = np.eye(m) if r == m else np.linalg.qr(rng.standard_normal((m, r)))[0]
+    open_, done, before = dict(q), {}, {}
+    for _ in range(ROUNDS):
+        product = _gram_times(rows.where(F.col("block").isin(list(open_))), open_)
+        for b in list(open_):
+            small = open_[b].T @ product[b]
+            values, turns = np.linalg.eigh((small + small.T) / 2)
+            order = np.argsort(-values)[: wanted[b]]
+            top = np.maximum(values[order], 0)
+            v = open_[b] @ turns[:, order]
+            v = v * np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0)
+            done[b] = np.sqrt(top), v
+            if open_[b].shape[1] == sizes[b] or (b in before and np.abs(top - before[b]).max() <= CLOSE * max(top.max(), 1e-300)):
+                del open_[b]
+            else:
+                before[b], open_[b] = top, np.linalg.qr(product[b])[0]
+        if not open_:
+            break
+    return done
+
+
+def _svd(rows: DataFrame, columns: dict[int, list[str]], n: dict[int, int], weight: str) -> DataFrame:
+    """(transcript_id, block, component, score) of the blocks of a sparse matrix; a block of one column passes through, a matrix without columns has no rows."""
+    columns = {b: own for b, own in columns.items() if own}
+    if not columns:
+        return rows.sparkSession.createDataFrame([], SCORES)
+    sparse = sparse_rows(rows, columns, weight)
+    vectors = right_vectors(sparse, {b: len(c) for b, c in columns.items()}, {b: max(1, min(n[b], len(c) - 1)) for b, c in columns.items()})
+    shared = rows.sparkSession.sparkContext.broadcast({b: v for b, (_, v) in vectors.items()})
+
+    def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for b, part, at, w, row in _chunks(frame):
+                z = _times(shared.value[b], at, w, row, len(part))
+                yield pd.DataFrame({"transcript_id": np.repeat(part["transcript_id"].to_numpy(), z.shape[1]), "block": b, "component": np.tile(np.arange(z.shape[1]), len(part)), "score": z.ravel()})
+
+    return sparse.mapInPandas(project, SCORES)
 
 
 def svd_by_k(kmers: DataFrame, n: int | dict[int, int] = 1, weight: str = "weight") -> DataFrame:
     """(transcript_id, name, score): truncated SVD for each length, named <k>mer_SVD<i>, i from 1 (SEQ9).
 
-    Components of a length: at most one less than its columns; a single column passes through.
+    Components of a length: at most one less than its columns; a single column passes through. All lengths share their jobs.
     """
-    found = {r["k"]: sorted(r["c"]) for r in kmers.groupBy("k").agg(F.collect_set("kmer").alias("c")).collect()}
-    out = None
-    for k, columns in sorted(found.items()):
-        own, want = kmers.where(F.col("k") == k), n.get(k, 1) if isinstance(n, dict) else n
-        if len(columns) == 1:
-            part = own.select("transcript_id", F.lit(0).alias("component"), F.col(weight).cast("double").alias("score"))
-        else:
-            part = _svd(own, columns, min(want, len(columns) - 1), weight)
-        part = part.select("transcript_id", F.concat(F.lit(f"{k}mer_SVD"), F.col("component") + 1).alias("name"), "score")
-        out = part if out is None else out.unionByName(part)
-    return out
+    columns = {r["k"]: sorted(r["c"]) for r in kmers.groupBy("k").agg(F.collect_set("kmer").alias("c")).collect()}
+    scores = _svd(kmers.withColumn("block", F.col("k").cast("int")), columns, {k: n.get(k, 1) if isinstance(n, dict) else n for k in columns}, weight)
+    return scores.select("transcript_id", F.concat(F.col("block"), F.lit("mer_SVD"), F.col("component") + 1).alias("name"), "score")
 
 
 def svd_global(kmers: DataFrame, n: int, weight: str = "weight") -> DataFrame:
     """(transcript_id, name, score): truncated SVD over all lengths, named SVD_<i>, i from 0 (SEQ10)."""
-    columns = sorted(r["kmer"] for r in kmers.select("kmer").distinct().collect())
-    scores = _svd(kmers, columns, min(n, len(columns) - 1), weight)
+    columns = {0: sorted(r["kmer"] for r in kmers.select("kmer").distinct().collect())}
+    scores = _svd(kmers.withColumn("block", F.lit(0)), columns, {0: n}, weight)
     return scores.select("transcript_id", F.concat(F.lit("SVD_"), "component").alias("name"), "score")
 
 
@@ -114,7 +200,8 @@ def reduce_kmers(kmers: DataFrame, n: int | dict[int, int] = 1, order: str = "tf
     """A wide table of components by transcript: weights of k-mers first, or, in the order ``svd_tfidf``, weights of the components (SEQ11)."""
     if order not in ("tfidf_svd", "svd_tfidf"):
         raise ValueError(f"unknown order {order!r}")
-    rows, weight = (tfidf(kmers), "weight") if order == "tfidf_svd" else (kmers, "cnt")
+    kmers = stored(kmers, "kmers")  # read several times
+    rows, weight = (stored(tfidf(kmers), "weights"), "weight") if order == "tfidf_svd" else (kmers, "cnt")
     scores = svd_by_k(rows, n, weight) if by_k else svd_global(rows, n if isinstance(n, int) else 1, weight)
     scores = component_weights(scores) if order == "svd_tfidf" else scores
     return scores.groupBy("transcript_id").pivot("name").agg(F.first("score"))

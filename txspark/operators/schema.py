@@ -80,7 +80,9 @@ def exact_quantiles(long: DataFrame, levels: list[float]) -> DataFrame:
         bucket = F.shiftright("_key", shift).alias("_bucket")
         if wanted is not None:
             # a row for each feature and bucket: at most two for each level
-            rows = stored(rows.join(F.broadcast(wanted.select("feature", F.col("_bucket").alias("_kept")).distinct()), "feature").where(F.shiftright("_key", shift + ROUND_BITS) == F.col("_kept")).drop("_kept"), "quantiles")
+            kept = F.broadcast(wanted.select("feature", F.col("_bucket").alias("_kept")).distinct())
+            rows = rows.join(kept, "feature").where(F.shiftright("_key", shift + ROUND_BITS) == F.col("_kept")).drop("_kept")
+            rows = stored(rows, "quantiles") if shift == 64 - 2 * ROUND_BITS else rows  # the few that are left
         counts = rows.groupBy("feature", bucket).agg(F.count("*").alias("_n"), F.min("v").alias("_v"))
         if wanted is None:
             counts = stored(counts, "quantiles")

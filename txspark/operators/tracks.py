@@ -146,17 +146,19 @@ def query_tracks(intervals: DataFrame, spec: list[dict], tracks: dict[str, tuple
     w, v = F.least("end", "b_end") - F.greatest("start", "b_start"), F.col("b_value")
     is_entry = F.col("_track").isin(entry)
     number, text = F.lit(None).cast("long"), F.lit(None).cast("string")
-    whole = F.struct(number.alias("at"), number.alias("step"), F.lit(None).cast("int").alias("field"), text.alias("name"))
-    marks = F.array(F.when(~is_entry, whole))
-    if depth:
-        ends = [F.struct(at.cast("long").alias("at"), F.lit(step).cast("long").alias("step"), F.lit(None).cast("int").alias("field"), text.alias("name")) for at, step in ((F.greatest("start", "b_start"), 1), (F.least("end", "b_end"), -1))]
-        marks = F.concat(marks, F.when(is_entry, F.array(*ends)).otherwise(F.array()))
-    for k in named:
-        name = F.get(F.split("b_rest", "\t"), F.lit(k))
-        held = F.struct(number.alias("at"), number.alias("step"), F.lit(k).alias("field"), name.alias("name"))
-        marks = F.concat(marks, F.array(F.when(is_entry & (name != "") & (name != "."), held)))
-    own = ["chromosome", F.col("_start").alias("start"), F.col("_end").alias("end"), "_ask"]
-    rows = pairs.select(*own, (F.col("end") - F.col("start")).alias("len"), w.alias("w"), v.alias("v"), F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m")).select(*ASK, "len", "w", "v", "m.*")
+    mark = lambda at, step, field, name: F.struct(at.cast("long").alias("at"), F.lit(step).cast("long").alias("step"), F.lit(field).cast("int").alias("field"), name.alias("name"))
+    fields = {k: F.get(F.split("b_rest", "\t"), F.lit(k)) for k in named}
+    own = ["chromosome", F.col("_start").alias("start"), F.col("_end").alias("end"), "_ask", (F.col("end") - F.col("start")).alias("len"), w.alias("w"), v.alias("v")]
+    if not depth and len(named) < 2:  # a pair is one row
+        name = F.when(is_entry, fields[named[0]]) if named else text
+        rows = pairs.select(*own, number.alias("at"), number.alias("step"), F.when(is_entry, F.lit(named[0] if named else None)).cast("int").alias("field"), name.alias("name"), is_entry.alias("_entry"))
+        rows = rows.where("NOT _entry OR (name <> '' AND name <> '.')").drop("_entry")
+    else:
+        marks = [F.when(~is_entry, mark(number, None, None, text))]
+        if depth:
+            marks += [F.when(is_entry, mark(at, step, None, text)) for at, step in ((F.greatest("start", "b_start"), 1), (F.least("end", "b_end"), -1))]
+        marks += [F.when(is_entry & (name != "") & (name != "."), mark(number, None, k, name)) for k, name in fields.items()]
+        rows = pairs.select(*own, F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m")).select(*ASK, "len", "w", "v", "m.*")
     signal = F.col("v")
     rows = rows.select(*ASK, "at", "step", "field", "name", "len", F.when(signal.isNotNull(), F.col("w")).alias("w"), (signal * F.col("w")).alias("vw"), (signal * signal * F.col("w")).alias("vvw"), F.col("v").alias("low"), F.col("v").alias("high"), F.lit(False).alias("inside"))
     if depth:  # an interval without entries has depth 0 where the chromosome is known

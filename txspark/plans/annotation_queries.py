@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from txspark.functions import scalars
 from txspark.operators import annotation, kmers, samples, sequences
 from txspark.plans.registry import query
+from txspark.session import stored
 from txspark.sources import readers, writers
 
 
@@ -123,17 +124,27 @@ def kmer_weights(x):
 
 @query()
 def kmer_components(x):
-    return kmers.svd_by_k(kmers.tfidf(kmers.count_kmers(x.f_sequences, 3, 5)), {3: 2, 4: 1, 5: 1})
+    return kmers.svd_by_k(stored(kmers.tfidf(stored(kmers.count_kmers(x.f_sequences), "kmers")), "weights"), {3: 2, 4: 2})
 
 
 @query()
 def kmer_components_global(x):
-    return kmers.svd_global(kmers.tfidf(kmers.count_kmers(x.f_sequences, 3, 4)), 2)
+    return kmers.svd_global(stored(kmers.tfidf(stored(kmers.count_kmers(x.f_sequences), "kmers")), "weights"), 2)
 
 
 @query()
 def kmer_reduced(x):
-    return kmers.reduce_kmers(kmers.count_kmers(x.f_sequences, 3, 4), 1, "svd_tfidf")
+    return kmers.reduce_kmers(kmers.count_kmers(x.f_sequences))
+
+
+@query(f"""WITH {KMERS}, s AS (SELECT CAST(kmer AS varchar) AS kmer, sum(CAST(cnt AS double) * cnt) AS g FROM n WHERE k = 3 GROUP BY 1) SELECT 3 AS k, round(sum(g) / 1e6, 6) AS energy FROM s""")
+def kmer_energy(x):
+    """The squared lengths of all components of the counts of length 3 add up to the trace of the Gram matrix."""
+    counts = stored(kmers.count_kmers(x.f_sequences, 3, 3), "kmers")
+    columns = {3: [f"{i:03b}" for i in range(8)]}
+    sparse = kmers.sparse_rows(counts.withColumn("block", F.lit(3)), columns, "cnt")
+    values, _ = kmers.right_vectors(sparse, {3: 8}, {3: 8})[3]
+    return x.spark.createDataFrame([(3, float((values**2).sum()) / 1e6)], "k int, energy double")
 
 
 @query("""SELECT l_orderkey, CASE WHEN n = 0 THEN concat('P', l_partkey) ELSE concat('f', l_suppkey % 3, '.fa_P', l_partkey, '_dup', n) END AS transcript_id FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from txspark.operators import assembly, cleaning, encoding, expression, scaling, schema, splits
 from txspark.plans.registry import query
-from txspark.sources.writers import resume
+from txspark.session import work_folder
+from txspark.sources.writers import resume, resume_changed
 
 NUMERIC = ["mean_price", "max_qty", "sum_tax", "length"]
 
@@ -183,3 +184,14 @@ def resumed_work(x):
     done = inputs.where("length % 3 > 0").withColumn("value", F.when(F.col("length") % 2 == 0, F.col("length") * 10).when(F.col("length") % 5 > 0, F.col("length")))
     compute = lambda df: df.withColumn("value", F.when(F.col("length") % 2 == 0, F.col("length") * 10).otherwise(F.col("length")))
     return resume(inputs, done, "transcript_id", compute, ["value"])
+
+
+@query("""SELECT transcript_id, CASE WHEN length % 3 = 0 THEN length + 1000 ELSE length END AS length, CASE WHEN length % 3 = 0 OR mod(CAST(substr(transcript_id, 2) AS bigint), 7) = 0 THEN 2 ELSE 1 END AS run FROM f_features""")
+def changed_rows(x):
+    """A second run over a table computes again only the rows whose content has changed, and those that are new."""
+    folder = work_folder(x.spark, "changed")
+    second = x.f_features.select("transcript_id", F.when(F.col("length") % 3 == 0, F.col("length") + 1000).otherwise(F.col("length")).alias("length"))
+    first = x.f_features.select("transcript_id", "length").where("CAST(substr(transcript_id, 2) AS bigint) % 7 > 0")
+    for run, rows in ((1, first), (2, second)):
+        out = resume_changed(rows, folder, "transcript_id", lambda df, run=run: df.withColumn("run", F.lit(run)), ["length"], batches=2)
+    return out

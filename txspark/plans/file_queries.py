@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from txspark.operators import scaling, schema, splits
@@ -72,3 +74,33 @@ def prediction_files(x):
     path = work_folder(x.spark, "predictions") + ".csv"
     writers.write_table(x.f_scores.select("doc_id", "score", "pred"), path)
     return x.spark.read.csv(path, header=True, schema="doc_id long, score double, pred int")
+
+
+@query("""SELECT n_name AS path, 'mean' AS stat, concat('mean_', n_nationkey) AS name, CAST(greatest(n_nationkey - 5, 0) AS int) AS upstream, CAST(0 AS int) AS downstream, CAST(3 AS int) AS name_field_index FROM nation
+    UNION ALL SELECT n_name, 'extract_names', concat('names_', n_nationkey), CAST(greatest(n_nationkey - 5, 0) AS int), 0, CAST(n_nationkey AS int) FROM nation WHERE n_regionkey % 2 = 0""")
+def track_specification(x):
+    """Negative and missing distances take their defaults; unknown statistics and items without a name are skipped."""
+    items = []
+    for r in x.nation.collect():  # a specification: one small document
+        stats = [{"stat": "mean", "name": f"mean_{r['n_nationkey']}"}, {"stat": "median", "name": "unknown"}, {"stat": "max"}, "max"]
+        stats += [{"stat": "extract_names", "name": f"names_{r['n_nationkey']}", "name_field_index": int(r["n_nationkey"])}] if r["n_regionkey"] % 2 == 0 else []
+        items.append({"path": r["n_name"], "upstream": int(r["n_nationkey"]) - 5, "downstream": None if r["n_nationkey"] % 2 else "9", "stats": stats})
+    path = work_folder(x.spark, "specification") + ".json"
+    x.spark.createDataFrame([(json.dumps(items),)], "value string").coalesce(1).write.text(path)
+    rows = readers.read_track_spec(x.spark, path)
+    names = ("path", "stat", "name", "upstream", "downstream", "name_field_index")
+    return x.spark.createDataFrame([tuple(r[n] for n in names) for r in rows], "path string, stat string, name string, upstream int, downstream int, name_field_index int")
+
+
+@query("""SELECT transcript_id, gene_id, sample_id, round(fpkm, 6) AS fpkm FROM f_expression""")
+def quant_files(x):
+    """One GTF file for each sample, in folders of their own, read back as one table."""
+    folder = work_folder(x.spark, "quant")
+    lines = x.f_expression.select("sample_id", F.concat_ws("\t", F.lit("chr1"), F.lit("src"), F.lit("transcript"), F.lit("1"), F.lit("9"), F.lit("."), F.lit("+"), F.lit("."), F.format_string('gene_id "%s"; transcript_id "%s"; FPKM "%s";', "gene_id", "transcript_id", F.col("fpkm").cast("string"))).alias("value"))
+    lines.repartition("sample_id").write.partitionBy("sample_id").text(folder)
+    hadoop = x.spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder).getFileSystem(x.spark._jsc.hadoopConfiguration())
+    for part in [s.getPath() for s in fs.globStatus(hadoop.Path(f"{folder}/sample_id=*/part-*"))]:
+        sample = part.getParent().getName().removeprefix("sample_id=")
+        fs.rename(part, hadoop.Path(part.getParent(), f"{sample}.rna.gtf"))
+    return readers.read_quant(x.spark, folder)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +120,18 @@ def track_spec_table(spark: SparkSession, items: list) -> DataFrame:
     return spark.createDataFrame([tuple(r[n] for n in names) for r in track_spec(items)], "path string, stat string, name string, upstream int, downstream int, name_field_index int")
 
 
+def read_track_spec(spark: SparkSession, path: str) -> list[dict]:
+    """The rows of a specification file, through Spark's file systems: JSON, or YAML where a YAML library is installed (SRC6)."""
+    text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+    if path.rsplit(".", 1)[-1].lower() in ("yaml", "yml"):
+        try:
+            import yaml
+        except ImportError as error:
+            raise ValueError(f"{path}: no YAML library is installed; write the specification as JSON") from error
+        return track_spec(yaml.safe_load(text))
+    return track_spec(json.loads(text))
+
+
 def read_quant(spark: SparkSession, folder: str) -> DataFrame:
     """(transcript_id, gene_id, sample_id, fpkm) of all GTF files in a folder and below; the file names the sample (SRC7)."""
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gtf").text(folder)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txspark.operators.kmers import kmer_vocabulary, kmer_wide
+from txspark.session import stored
 
 CODECS = ("snappy", "gzip", "brotli", "zstd", "lz4", "none")
 
@@ -111,6 +113,39 @@ def resume(inputs: DataFrame, done: DataFrame | None, key: str, compute: Callabl
     return ready.join(inputs.select(key), key, "left_semi").unionByName(compute(todo))
 
 
+def fingerprint(df: DataFrame, columns: list[str]) -> Column:
+    """A hash of the content of some columns, in which null differs from every text."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(columns)]), {"ignoreNullFields": "false"}), 256)
+
+
+def resume_changed(inputs: DataFrame, folder: str, key: str, compute: Callable[[DataFrame], DataFrame], needed: list[str], batches: int = 1) -> DataFrame:
+    """``compute`` of all rows of ``inputs``, of which only those are computed that no earlier run in ``folder`` has computed from the same content (INC1).
+
+    A manifest holds the key and the fingerprint of the ``needed`` columns of each finished row, and the batch that it is in. What it lacks is cut into
+    ``batches`` by the key's hash; the results of a batch are written first and its manifest last, so that a run that is stopped loses at most its open batch, and rows
+    of a batch that is not in the manifest do not count. ``compute`` keeps the key, which is unique and not null, and gives one row for each.
+    """
+    spark = inputs.sparkSession
+    rows, manifest = f"{folder}/rows", f"{folder}/manifest"
+    path = spark._jvm.org.apache.hadoop.fs.Path(manifest)
+    there = lambda: path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    marked = inputs.withColumn("_content", fingerprint(inputs, needed))
+    done = spark.read.parquet(manifest).select(key, "_content", "_batch") if there() else None
+    todo = marked.join(done, [key, "_content"], "left_anti") if done is not None else marked
+    run = uuid.uuid4().hex
+    for i in range(batches):
+        own = todo.where(F.pmod(F.xxhash64(key), F.lit(batches)) == i) if batches > 1 else todo
+        own = stored(own, "batch")  # what is to do is fixed before the manifest grows
+        if own.isEmpty():
+            continue
+        compute(own.drop("_content")).join(own.select(key, "_content"), key).withColumn("_batch", F.lit(f"{run}-{i}")).write.mode("append").parquet(rows)
+        own.select(key, "_content", F.lit(f"{run}-{i}").alias("_batch")).write.mode("append").parquet(manifest)
+    if not there():  # no row ever
+        return compute(inputs)
+    current = marked.select(key, "_content").join(spark.read.parquet(manifest), [key, "_content"])
+    return spark.read.parquet(rows).join(current, [key, "_content", "_batch"], "left_semi").drop("_content", "_batch")
+
+
 def write_batches(df: DataFrame, path: str, key: str, batch_size: int) -> None:
     """Parquet files of at most ``batch_size`` rows, cut by ranges of the key (INC1)."""
     df.repartitionByRange(key).write.mode("overwrite").option("maxRecordsPerFile", batch_size).parquet(path)
