@@ -70,6 +70,14 @@ def test_against_brute_force(spark, monkeypatch, tile, block, chars):
     assert any(r[2] == "pair" for r in want) and any(len(r[3]) > 30 for r in want)
 
 
+def test_tiles_without_sources(spark, monkeypatch):
+    """Many tiles for few sources: some have none."""
+    monkeypatch.setattr(divergence, "TILE", 1)
+    rows = [(f"one two {'three ' * i}", "en", f"s{i}") for i in range(9)]
+    got = {tuple(r) for r in audit_sources(spark.createDataFrame(rows, "text string, lang string, source string"), least_docs=1).collect()}
+    assert got == brute(rows, 1, 50)
+
+
 def test_awkward_rows(spark):
     rows = [(r[1], r[2], r[3]) for r in cases.rows()]
     got = {tuple(r) for r in audit_sources(cases.docs(spark), least_docs=2).collect()}

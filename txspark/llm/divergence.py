@@ -139,7 +139,9 @@ def _tile(frame: pd.DataFrame) -> pd.DataFrame:
     for i, name in enumerate(a):
         value = np.abs(right - left[i]).sum(axis=1) + missing * np.abs(base_b - base_a[i])
         out.append(pd.DataFrame({"lang": heads["lang"].iloc[0], "source": name, "item": b, "value": value}))
-    found = pd.concat(out) if out else pd.DataFrame({"lang": [], "source": [], "item": [], "value": []})
+    if not out:  # a tile without sources
+        return pd.DataFrame({c: np.zeros(0, object) for c in ("lang", "source", "item")} | {"value": np.zeros(0, np.int64)})
+    found = pd.concat(out, ignore_index=True)
     return found[found["source"] != found["item"]]
 
 
@@ -166,7 +168,9 @@ def source_distances(groups: DataFrame, cells: DataFrame, vocabulary: DataFrame)
 
 
 def _tile_with_tags(frame: pd.DataFrame) -> pd.DataFrame:
-    return _tile(frame).assign(mirrored=bool(frame["ta"].iloc[0] != frame["tb"].iloc[0]))
+    found = _tile(frame)
+    found["mirrored"] = np.full(len(found), frame["ta"].iloc[0] != frame["tb"].iloc[0])
+    return found
 
 
 def audit_sources(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_TERMS) -> DataFrame:
