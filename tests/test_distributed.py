@@ -154,3 +154,60 @@ def test_specification_files(spark, tmp_path):
             read_track_spec(spark, str(tmp_path / "b.yaml"))
     else:
         assert read_track_spec(spark, str(tmp_path / "b.yaml")) == want
+
+
+@pytest.mark.parametrize("block", [2, 128])
+def test_correlations_by_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(evaluate, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 7)) + 1e6
+    x[:, 3] = x[:, 0] + 0.01 * rng.normal(size=300)
+    x[:, 5] = -2 * x[:, 1] + 0.1 * rng.normal(size=300)
+    x[:, 6] = 4.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    columns = [f"c {i}" for i in range(7)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and k % 2 else float(v) for k, v in enumerate(row)) for row in x], ", ".join(f"`{c}` double" for c in columns)).repartition(5)
+    got = {(r["feature"], r["feature2"]): r["corr"] for r in evaluate.correlations(df, columns, 0.5).collect()}
+    assert set(got) == {("c 0", "c 3"), ("c 1", "c 5")}
+    for (a, b), r in got.items():
+        i, j = columns.index(a), columns.index(b)
+        ok = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert abs(r - np.corrcoef(x[ok, i], x[ok, j])[0, 1]) < 1e-9
+    assert {r["feature"] for r in evaluate.correlated_features(df, columns, 0.5).collect()} == {"c 3", "c 5"}
+    assert evaluate.correlations(df, [], 0.5).count() == 0
+
+
+def test_a_planted_interaction_is_found(spark):
+    from txspark.operators import models
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(1200):
+        a, b, c = rng.random(), rng.random(), rng.random()
+        rows.append((f"t{i}", a, b if i % 50 else None, c, int(((a > 0.5) != (b > 0.5)) != (rng.random() < 0.05))))
+    df = spark.createDataFrame(rows, "transcript_id string, a double, b double, c double, y int").persist()
+    names = ["a", "b", "c"]
+    single = models.evaluate(models.train(df, "additive", names, params={"bins": 4}), df, names)
+    paired = models.train(df, "additive", names, params={"bins": 4, "pairs": 1, "regParam": 0.001})
+    assert single["accuracy"] < 0.7 < 0.9 < models.evaluate(paired, df, names)["accuracy"]
+    terms, cuts, intercept = models.additive_terms(spark, paired, names)
+    assert {r["term"] for r in terms.collect()} == {"a", "b", "c", "a & b"}
+    whole = df.where("b IS NOT NULL")
+    mine = {r["transcript_id"]: r["prob"] for r in models.score_additive(whole, terms, cuts, intercept).collect()}
+    theirs = {r["transcript_id"]: r["score"] for r in models.predict(paired, whole, names).collect()}
+    assert all(abs(mine[k] - theirs[k]) < 1e-9 for k in theirs) and len(mine) == len(theirs)
+    ranked = models.importance(models.explain_rows(df, terms, cuts)).orderBy("rank").first()
+    assert ranked["term"] == "a & b"
+
+
+def test_many_tokens_are_looked_up_once(spark):
+    from txspark.operators import encoding
+
+    rows = [("a", "T1,t2", "x"), ("b", "", None), ("c", "t9999,zz,T1,t1", "t5")]
+    df = spark.createDataFrame(rows, "transcript_id string, entries_tfbs string, other_tfbs string")
+    vocabulary = {"entries_tfbs": [f"t{i}" for i in range(10_000)], "other_tfbs": ["t5", "x"]}
+    sparse, names = encoding.token_places(df, ["entries_tfbs", "other_tfbs"], vocabulary)
+    got = {r["transcript_id"]: [names[i] for i in r["places"]] for r in sparse.collect()}
+    assert got == {"a": ["tfbs_t1", "tfbs_t2", "tfbs_x"], "b": [], "c": ["tfbs_t1", "tfbs_t5", "tfbs_t9999"]}
+    small = encoding.multi_hot(df, ["entries_tfbs", "other_tfbs"], prefix=False)
+    assert {r["transcript_id"]: (r["t1"], r["t5"], r["x"], r["zz"]) for r in small.collect()} == {"a": (True, False, True, False), "b": (False,) * 4, "c": (True, True, False, True)}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,20 +31,55 @@ def vocabularies(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     return {c: sorted(v) for c, v in found.items()}
 
 
+def token_places(df: DataFrame, columns: list[str], vocabulary: dict[str, list[str]], prefix: bool = True, name: str = "places") -> tuple[DataFrame, list[str]]:
+    """``df`` with a sorted array of the places of each row's tokens among the encoded columns, in place of the comma lists, and the names of these columns.
+
+    Tokens are looked up in one map for each list, so that a row costs as many look-ups as it has tokens, however many columns there are. The array is the
+    sparse form of the row; ``dense`` makes columns of it. The maps have at most MOST_COLUMNS entries and travel with the tasks.
+    """
+    named = lambda c, token: f"{c.split('_')[-1]}_{token}" if prefix else token
+    names = sorted({named(c, t) for c in columns for t in vocabulary[c]})
+    at = {n: i for i, n in enumerate(names)}
+    maps = [{t: at[named(c, t)] for t in vocabulary[c]} for c in columns]
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def places(lists: pd.DataFrame) -> pd.Series:
+        found = [sorted({m[t] for m, own in zip(maps, row, strict=True) if own is not None for t in own if t in m}) for row in lists.itertuples(index=False, name=None)]
+        return pd.Series(found, dtype=object)
+
+    lists = F.struct(*[F.when(F.col(f"`{c}`") != "", _tokens(f"`{c}`")).alias(f"l{i}") for i, c in enumerate(columns)])
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, (places(lists) if names else F.array().cast("array<int>")).alias(name)), names
+
+
+def dense(df: DataFrame, names: list[str], places: str = "places") -> DataFrame:
+    """A boolean column for each name, true where its place is in the array: one array of flags a row, read by place."""
+
+    @F.pandas_udf(T.ArrayType(T.BooleanType()))
+    def flags(own: pd.Series) -> pd.Series:
+        out = []
+        for row in own:
+            held = np.zeros(len(names), bool)
+            held[np.asarray(row, np.int64)] = True
+            out.append(held)
+        return pd.Series(out, dtype=object)
+
+    kept = [F.col(f"`{c}`") for c in df.columns if c != places]
+    if not names:
+        return df.select(*kept)
+    # the flags are a column before they are read, so that they are made once for a row
+    flagged = df.select(*kept, flags(places).alias("_flags"))
+    return flagged.select(*kept, *[F.col("_flags")[i].alias(n) for i, n in enumerate(names)])
+
+
 def multi_hot(df: DataFrame, columns: list[str], prefix: bool = True, vocabulary: dict[str, list[str]] | None = None) -> DataFrame:
     """A boolean column for each token instead of the comma-list columns (ENC1).
 
     With ``prefix`` a name starts with the last part of its source column (ENC2). Columns of one name are joined by or (ENC3). A
     source without tokens vanishes.
     """
-    vocabulary = vocabulary or vocabularies(df, columns)
-    made: dict[str, list] = {}
-    for c in columns:
-        held = F.coalesce(_tokens(c), F.array())
-        for token in vocabulary[c]:
-            made.setdefault(f"{c.split('_')[-1]}_{token}" if prefix else token, []).append((F.coalesce(F.col(c), F.lit("")) != "") & F.array_contains(held, token))
-    encoded = [reduce(lambda a, b: a | b, tests).alias(name) for name, tests in sorted(made.items())]
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], *encoded)
+    sparse, names = token_places(df, columns, vocabulary or vocabularies(df, columns), prefix, "_places")
+    return dense(sparse, names, "_places")
 
 
 def _column_of(prefix: str):

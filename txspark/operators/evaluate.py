@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,22 +157,67 @@ def importance_stability(trials: DataFrame) -> DataFrame:
     return trials.groupBy("feature").agg(F.var_pop("importance").alias("variance"), F.avg("importance").alias("mean")).orderBy(F.col("variance").desc(), "feature")
 
 
-def correlated_features(df: DataFrame, columns: list[str], threshold: float = 0.95) -> DataFrame:
-    """Columns whose absolute Pearson correlation with an earlier one exceeds the threshold (AGG5).
+#: Columns in a block of the correlation matrix, tasks whose sums one group adds up, and rows of a product.
+BLOCK, TOGETHER, ROWS = 128, 32, 4096
 
-    One aggregation of all pairs; for a wide table use ``correlated_features_wide``.
-    """
-    pairs = [(a, b) for j, b in enumerate(columns) for a in columns[:j]]
-    row = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")) for a, b in pairs]).first() if pairs else ()
-    dropped = sorted({b for (_, b), r in zip(pairs, row, strict=True) if r is not None and abs(r) > threshold}, key=columns.index)
-    return df.sparkSession.createDataFrame([(c,) for c in dropped], "feature string")
 
+def correlations(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
+    """(feature, feature2, corr) of pairs of columns, the first of them earlier, whose absolute Pearson correlation exceeds the threshold (AGG5).
+
+    Columns are cut into blocks. A task adds up, for each pair of blocks, the products that a correlation needs over the rows where both values are there; these
+    sums of BLOCK x BLOCK numbers are added up in groups of tasks, and a task makes the correlations of a pair of blocks from them. No matrix of all columns
+    exists anywhere: a task holds one block of rows of it. Values are centred by the column's mean first. Pairs with a constant column are left out.
+    """
+    spark = df.sparkSession
+    value = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+    means = df.agg(*[F.avg(value(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first() if columns else ()
+    blocks = [range(s, min(s + BLOCK, len(columns))) for s in range(0, len(columns), BLOCK)]
+    kind = "i int, j int, part int, sums binary"
+
+    def sums_of(i: int) -> DataFrame:
+        wide = [c for b in blocks[i:] for c in b]
+
+        def add_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = {j: 0.0 for j in range(i, len(blocks))}
+            for frame in frames:
+                for at in range(0, len(frame), ROWS):
+                    x = frame.iloc[at : at + ROWS].to_numpy(float)
+                    there = ~np.isnan(x)
+                    x, m = np.where(there, x, 0.0), there.astype(float)
+                    n = len(blocks[i])
+                    a, ma = x[:, :n].T, m[:, :n].T
+                    for j in total:
+                        own = slice(blocks[j].start - blocks[i].start, blocks[j].stop - blocks[i].start)
+                        b, mb = x[:, own], m[:, own]
+                        total[j] = total[j] + np.stack([ma @ mb, a @ mb, ma @ b, (a * a) @ mb, ma @ (b * b), a @ b])
+            part = TaskContext.get().partitionId() // TOGETHER
+            for j, t in total.items():
+                if not np.isscalar(t):
+                    yield pd.DataFrame({"i": [i], "j": [j], "part": [part], "sums": [t.tobytes()]})
+
+        return df.select(*[(value(columns[c]) - F.lit(means[c])).alias(f"c{c}") for c in wide]).mapInPandas(add_up, kind)
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(s) for s in frame["sums"]], axis=0)
+        return pd.DataFrame({"i": frame["i"].iloc[:1], "j": frame["j"].iloc[:1], "part": frame["part"].iloc[:1], "sums": [total.tobytes()]})
+
+    def pairs(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+        n, sa, sb, saa, sbb, sab = np.frombuffer(join(frame)["sums"].iloc[0]).reshape(6, len(blocks[i]), len(blocks[j]))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = (n * sab - sa * sb) / np.sqrt((n * saa - sa * sa) * (n * sbb - sb * sb))
+        a, b = np.nonzero(np.abs(np.nan_to_num(r, posinf=0.0, neginf=0.0)) > threshold)
+        a, b, r = a + blocks[i].start, b + blocks[j].start, r[a, b]
+        keep = a < b
+        names = np.array(columns, dtype=object)  # also where no pair is left
+        return pd.DataFrame({"feature": names[a[keep]], "feature2": names[b[keep]], "corr": r[keep]})
+
+    if not blocks:
+        return spark.createDataFrame([], "feature string, feature2 string, corr double")
+    sums = reduce(lambda x, y: x.unionByName(y), [sums_of(i) for i in range(len(blocks))])
+    return sums.groupBy("i", "j", "part").applyInPandas(join, kind).groupBy("i", "j").applyInPandas(pairs, "feature string, feature2 string, corr double")
 
-def correlated_features_wide(df: DataFrame, columns: list[str], threshold: float = 0.95) -> list[str]:
-    """The same by the distributed correlation matrix, whose size is the square of the columns only."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
 
-    vectors = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(df.select(*columns)).select("v")
-    m = Correlation.corr(vectors, "v").first()[0].toArray()
-    return [b for j, b in enumerate(columns) if any(abs(m[i, j]) > threshold for i in range(j))]
+def correlated_features(df: DataFrame, columns: list[str], threshold: float = 0.95) -> DataFrame:
+    """Columns whose absolute Pearson correlation with an earlier one exceeds the threshold (AGG5), from ``correlations``."""
+    return correlations(df, columns, threshold).select(F.col("feature2").alias("feature")).distinct()

@@ -95,11 +95,12 @@ def train(df: DataFrame, kind: str, features: list[str], label: str = "y", param
     """A fitted pipeline of ``pyspark.ml``: random_forest, boosted_trees or additive (MDL4).
 
     The additive one bins each feature by quantiles and fits an elastic-net logistic regression on the bins; its
-    coefficients are the terms that ``additive_terms`` returns.
+    coefficients are the terms that ``additive_terms`` returns. With ``pairs`` among the parameters, so many pairs of features that explain most of what
+    single ones leave (``pair_gains``) become terms too, and all are fitted again.
     """
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-    from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, SQLTransformer, VectorAssembler
 
     check_features(df, features)
     params = dict(params or {})
@@ -108,11 +109,27 @@ def train(df: DataFrame, kind: str, features: list[str], label: str = "y", param
         n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
         rows = rows.withColumn("weight", reduce(lambda a, kv: F.when(F.col("label") == kv[0], sum(n.values()) / (len(n) * kv[1])).otherwise(a), n.items(), F.lit(1.0)))
         params["weightCol"] = "weight"
-    rows = rows.select("*", *[F.col(f"`{f}`").cast("double").alias(f"_{f}") for f in features])
+    rows = rows.select("*", *[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))).alias(f"_{f}") for f in features])
     inputs = [f"_{f}" for f in features]
     if kind == "additive":
-        bins = params.pop("bins", 8)
-        stages = [QuantileDiscretizer(inputCols=inputs, outputCols=[f"{c}_bin" for c in inputs], numBucketsArray=[bins] * len(inputs), handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}_bin" for c in inputs], outputCols=[f"{c}_hot" for c in inputs], dropLast=False, handleInvalid="keep"), VectorAssembler(inputCols=[f"{c}_hot" for c in inputs], outputCol="features"), LogisticRegression(**{"regParam": 0.01, "elasticNetParam": 0.1, "maxIter": 50} | params)]
+        bins, pairs = params.pop("bins", 8), params.pop("pairs", 0)
+        binned = [f"{c}_bin" for c in inputs]
+        binner = QuantileDiscretizer(inputCols=inputs, outputCols=binned, numBucketsArray=[bins] * len(inputs), handleInvalid="keep")
+
+        def rest(columns: list[str]) -> list:
+            hot = [f"{c}_hot" for c in columns]
+            return [OneHotEncoder(inputCols=columns, outputCols=hot, dropLast=False, handleInvalid="keep"), VectorAssembler(inputCols=hot, outputCol="features"), LogisticRegression(**{"regParam": 0.01, "elasticNetParam": 0.1, "maxIter": 50} | params)]
+
+        single = Pipeline(stages=[binner, *rest(binned)]).fit(rows)
+        if not pairs:
+            return single
+        best = pair_gains(single.transform(rows), features).orderBy(F.col("gain").desc(), "feature", "feature2").limit(pairs).collect()
+        widths = [len(s) - 1 for s in (single.stages[0].getSplitsArray() if len(features) > 1 else [single.stages[0].getSplits()])]
+        terms = {f"{r['feature']} & {r['feature2']}": f"CAST(`_{r['feature']}_bin` * {widths[features.index(r['feature2'])] + 1} + `_{r['feature2']}_bin` AS double)" for r in best}
+        joint = SQLTransformer(statement=f"SELECT *, {', '.join(f'{e} AS `{t}`' for t, e in terms.items())} FROM __THIS__")
+        both = PipelineModel(stages=[single.stages[0], joint])
+        fitted = Pipeline(stages=rest([*binned, *terms])).fit(both.transform(rows))
+        return PipelineModel(stages=[single.stages[0], joint, *fitted.stages])
     else:
         model = {"random_forest": RandomForestClassifier, "boosted_trees": GBTClassifier}
         if kind not in model:
@@ -125,23 +142,44 @@ def predict(model, df: DataFrame, features: list[str]) -> DataFrame:
     """``df`` with score (probability of the positive class) and pred."""
     from pyspark.ml.functions import vector_to_array
 
-    rows = df.select("*", *[F.col(f"`{f}`").cast("double").alias(f"_{f}") for f in features])
+    rows = df.select("*", *[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))).alias(f"_{f}") for f in features])
     out = model.transform(rows)
     return out.select(*[F.col(f"`{c}`") for c in df.columns], vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("pred"))
 
 
 def additive_terms(spark, model, features: list[str]) -> tuple[DataFrame, dict[str, list[float]], float]:
     """Terms, cut points and intercept of a fitted additive pipeline, for ``score_additive``."""
-    binner, hot, regression = model.stages[0], model.stages[1], model.stages[-1]
-    splits = binner.getSplitsArray() if len(features) > 1 else [binner.getSplits()]
-    weights, at, rows, cuts = regression.coefficients.toArray(), 0, [], {}
-    for f, s, size in zip(features, splits, hot.categorySizes, strict=True):
-        cuts[f] = [float(x) for x in s[1:-1]]
-        rows += [(f, f, b, None, None, float(weights[at + b])) for b in range(len(s) - 1) if b < size]
+    from pyspark.ml.feature import OneHotEncoderModel
+
+    binner, regression = model.stages[0], model.stages[-1]
+    hot = next(s for s in model.stages if isinstance(s, OneHotEncoderModel))
+    splits = dict(zip(features, binner.getSplitsArray() if len(features) > 1 else [binner.getSplits()], strict=True))
+    weights, at, rows, cuts = regression.coefficients.toArray(), 0, [], {f: [float(x) for x in s[1:-1]] for f, s in splits.items()}
+    pairs = [tuple(c.split(" & ")) for c in hot.getInputCols()[len(features) :]]
+    for term, size in zip([(f,) for f in features] + pairs, hot.categorySizes, strict=True):
+        if len(term) == 1:
+            rows += [(term[0], term[0], b, None, None, float(weights[at + b])) for b in range(len(splits[term[0]]) - 1) if b < size]
+        else:
+            one, two = (len(splits[f]) - 1 for f in term)
+            rows += [(" & ".join(term), term[0], a, term[1], b, float(weights[at + k])) for a in range(one) for b in range(two) if (k := a * (two + 1) + b) < size]
         at += size + 1  # one more slot for unseen bins
     return spark.createDataFrame(rows, TERMS), cuts, float(regression.intercept)
 
 
+def pair_gains(scored: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, feature2, gain): how much of the squared residuals of a fitted additive model the means of a pair's joint bins explain (MDL4).
+
+    ``scored`` has label, probability and the bins of all features. One aggregation over the bins of all pairs, combined in the tasks: a group for each pair and joint bin.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    rows = scored.select((F.col("label") - vector_to_array("probability")[1]).alias("r"), F.array(*[F.col(f"`_{f}_bin`").cast("int") for f in features]).alias("b"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("b")[i].alias("a"), F.col("b")[j].alias("b")) for i in range(len(features)) for j in range(i + 1, len(features))])
+    cells = rows.select("r", F.explode(pairs).alias("x")).groupBy("x.i", "x.j", "x.a", "x.b").agg(F.count("*").alias("n"), F.sum("r").alias("r"))
+    names = F.array(*[F.lit(f) for f in features])
+    return cells.groupBy("i", "j").agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("gain")).select(names[F.col("i")].alias("feature"), names[F.col("j")].alias("feature2"), "gain")
+
+
 def candidates(space: dict[str, list], n: int, seed: int = 99) -> list[dict]:
     """n seeded draws from a space of parameter values, without repeats as far as there are others."""
     rng, out, seen = random.Random(seed), [], set()
