@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from txspark.llm.divergence import LEAST_DOCS, PRIOR, SCALE, TOP_TERMS
 from txspark.llm.phrases import LEAST, ORDER, TOP
-from txspark.llm.quality import ACCURACY, LEAST_SPREAD, LEAST_WORDS, PRIOR_DOCS, REACH
+from txspark.llm.quality import BESIDE, CERTAIN, LEAST_WORDS, METRICS, PRIOR_DOCS, RULES, TAIL
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = "list_filter(string_split_regex({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
@@ -26,16 +26,31 @@ OP6 = f"""WITH RECURSIVE v AS (SELECT vec_id AS id, list_transform(embedding, la
     nodes AS (SELECT id FROM v), {_COMPONENTS}, n AS (SELECT a AS id, count(*) AS n FROM links GROUP BY 1)
     SELECT v.id AS vec_id, coalesce(n.n, 0) AS n_links, component_id, v.id = component_id AS kept FROM v JOIN comp ON v.id = comp.id LEFT JOIN n ON n.id = v.id"""
 
-_GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
-_FENCES = ", ".join(f"max(CASE WHEN metric = '{m}' THEN q50 - {REACH} * spread END) AS low_{m}, max(CASE WHEN metric = '{m}' THEN q50 + {REACH} * spread END) AS high_{m}" for m in LEAST_SPREAD)
-_WITHIN = " AND ".join(f"r.{m} BETWEEN low_{m} AND high_{m}" for m in LEAST_SPREAD)
-_LEVELS = " UNION ALL ".join(f"SELECT {keys}, metric, bucket, count(*) AS n FROM b GROUP BY ALL" for keys in ("lang, source", "lang, NULL AS source", "NULL AS lang, NULL AS source"))
 
 
-def _drawn(q: str, own: str, wider: str) -> str:
-    return f"({own}.n * {own}.{q} + {PRIOR_DOCS} * {wider}.{q}) / ({own}.n + {PRIOR_DOCS}) AS {q}"
+def _place(rule: str) -> str:
+    metric, scale, step = RULES[rule]
+    return f"asin(sqrt(least({metric}, 1.0))) / {step}" if scale == "share" else f"ln(greatest({metric}, 1e-9)) / {step if scale == 'long' else -step}"
 
 
+def _smoothed(keys: str, on: str, wider: str) -> str:
+    """Sketches by ``keys`` in thousandths of documents, with PRIOR_DOCS documents of the wider ones."""
+    total = f"SELECT {on}, CAST(sum(n) AS bigint) AS total FROM {wider} GROUP BY ALL"
+    return f"""SELECT {keys}, bucket, CAST(sum(n) AS bigint) AS n FROM (SELECT {keys}, bucket, 1000 * n AS n FROM b UNION ALL
+        SELECT {keys}, bucket, n * least({1000 * PRIOR_DOCS}, total) // total FROM {wider} JOIN ({total}) USING ({on}) JOIN (SELECT DISTINCT {keys} FROM b) USING ({on})) GROUP BY ALL"""
+
+
+def _shapes(keys: str, sketch: str) -> str:
+    """Median, first valley above it and upper quantile of each sketch."""
+    return f"""SELECT {keys}, max(middle) AS middle, max(dip) AS dip, (max(dip) + min(CASE WHEN bucket > dip AND NOT low THEN bucket END)) / 2 AS valley, min(CASE WHEN 1000 * upto >= {1000 - TAIL} * total THEN bucket END) + 1 AS tail
+        FROM (SELECT *, min(CASE WHEN low AND bucket > middle THEN bucket END) OVER (PARTITION BY {keys}) AS dip
+        FROM (SELECT *, min(CASE WHEN 2 * upto >= total THEN bucket END) OVER (PARTITION BY {keys}) AS middle, later > 2 * near AND CAST(later - near AS double) * (later - near) > {1000 * CERTAIN * CERTAIN} * (later + near) AS low
+        FROM (SELECT *, coalesce(max(near) OVER (PARTITION BY {keys} ORDER BY bucket ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS later FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket ROWS BETWEEN {BESIDE} PRECEDING AND {BESIDE} FOLLOWING) AS near, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}) AS total FROM {sketch})))) GROUP BY ALL"""
+
+
+_FENCES = ", ".join(f"max(CASE WHEN rule = '{r}' THEN fence END) AS fence_{r}" for r in RULES)
+_WITHIN = " AND ".join(f"{_place(r)} <= fence_{r}" for r in RULES)
+
 OP10 = f"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
     tri AS (SELECT doc_id, i, hash_key, count(*) OVER (PARTITION BY doc_id, hash_key) AS times FROM (SELECT doc_id, i, md5(array_to_string(w[i:i + 2], ' ')) AS hash_key FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t))),
     rep AS (SELECT doc_id, count(DISTINCT word_at) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS word_at FROM tri WHERE times > 1) GROUP BY 1),
@@ -43,18 +58,17 @@ OP10 = f"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source
     c AS (SELECT t.doc_id, lang, source, len(w) AS n_words, length(translate(text, {_SPACE}, '')) AS word_chars, length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(rep.n, 0) AS n_repeat_words FROM t LEFT JOIN ln ON t.doc_id = ln.doc_id LEFT JOIN rep ON t.doc_id = rep.doc_id),
     r AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN n_symbols / CAST(word_chars AS double) ELSE 0 END AS symbol_ratio,
-        CASE WHEN n_lines > 0 THEN n_dup_lines / CAST(n_lines AS double) ELSE 0 END AS dup_line_ratio, CASE WHEN n_words > 0 THEN n_repeat_words / CAST(n_words AS double) ELSE 0 END AS repeat_ratio,
+        CASE WHEN n_lines > 0 THEN n_dup_lines / CAST(n_lines AS double) ELSE 0 END AS dup_line_ratio, CASE WHEN n_words > 0 THEN n_dup_lines / CAST(n_words AS double) ELSE 0 END AS dup_lines_per_word, CASE WHEN n_words > 0 THEN n_repeat_words / CAST(n_words AS double) ELSE 0 END AS repeat_ratio,
         CASE WHEN n_words > 0 THEN word_chars / CAST(n_words AS double) ELSE 0 END AS mean_word FROM c),
-    long AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {m} AS v FROM r WHERE NOT base_failed" for m in LEAST_SPREAD)}),
-    b AS (SELECT lang, source, metric, CASE WHEN v > 0 THEN CAST(ceil(ln(greatest(v, 1e-9)) / ln({_GAMMA!r})) AS int) ELSE -100000 END AS bucket FROM long),
-    u AS ({_LEVELS}), q AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, metric) AS total, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bucket) AS upto,
-        CASE WHEN bucket = -100000 THEN 0.0 ELSE 2 * pow({_GAMMA!r}, bucket) / {_GAMMA + 1!r} END AS value FROM u),
-    f AS (SELECT lang, source, metric, max(total) AS n, min(CASE WHEN 2 * upto >= total THEN value END) AS q50, min(CASE WHEN 10 * upto >= total THEN value END) AS q10 FROM q GROUP BY 1, 2, 3),
-    g AS (SELECT f.lang, f.metric, {_drawn("q50", "f", "a")}, {_drawn("q10", "f", "a")} FROM f JOIN f a ON f.metric = a.metric WHERE f.source IS NULL AND f.lang IS NOT NULL AND a.lang IS NULL),
-    o AS (SELECT f.lang, f.source, f.metric, {_drawn("q50", "f", "g")}, {_drawn("q10", "f", "g")} FROM f JOIN g ON f.lang = g.lang AND f.metric = g.metric WHERE f.source IS NOT NULL),
-    k AS (SELECT lang, source, metric, q50, greatest(q50 - q10, CASE metric {" ".join(f"WHEN '{m}' THEN {least}" for m, least in LEAST_SPREAD.items())} END) AS spread FROM o),
+    long AS ({" UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, CAST(floor({_place(r)}) AS int) AS bucket FROM r WHERE NOT base_failed" for r in RULES)}),
+    b AS (SELECT *, count(*) AS n FROM long GROUP BY ALL), every AS (SELECT rule, unnest(range(min(bucket), max(bucket) + 1)) AS bucket FROM b GROUP BY rule),
+    sa AS (SELECT every.rule, every.bucket, CAST(coalesce(1000 * sum(n), 0) AS bigint) AS n FROM every LEFT JOIN b ON b.rule = every.rule AND b.bucket = every.bucket GROUP BY ALL),
+    sl AS ({_smoothed("lang, rule", "rule", "sa")}), sg AS ({_smoothed("lang, source, rule", "lang, rule", "sl")}),
+    ha AS ({_shapes("rule", "sa")}), hl AS ({_shapes("lang, rule", "sl")}), hg AS ({_shapes("lang, source, rule", "sg")}),
+    k AS (SELECT hg.lang, hg.source, hg.rule, coalesce(hg.valley, CASE WHEN hl.dip > hg.middle THEN hl.valley END, CASE WHEN ha.dip > hg.middle THEN ha.valley END, hg.tail) AS fence
+        FROM hg JOIN hl ON hg.lang = hl.lang AND hg.rule = hl.rule JOIN ha ON hg.rule = ha.rule),
     wide AS (SELECT lang, source, {_FENCES} FROM k GROUP BY 1, 2)
-    SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({_WITHIN}, FALSE) AS kept, {", ".join(f"round(r.{m}, 9) AS {m}" for m in LEAST_SPREAD)}
+    SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({_WITHIN}, FALSE) AS kept, {", ".join(f"round(r.{m}, 9) AS {m}" for m in METRICS)}
     FROM r LEFT JOIN wide ON r.lang = wide.lang AND r.source = wide.source"""
 
 _LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

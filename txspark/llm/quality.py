@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,15 +9,24 @@ from txspark.llm.staging import Scratch, few_rows
 
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5
-#: Relative error of a sketched quantile.
-ACCURACY = 0.01
-#: The bucket of values that are not above zero.
-NONE = -100_000
-#: Quantiles of a group count as if it had this many more documents like its language, and a language like the whole table.
+#: Rule: the metric, the scale on which it is sketched and the width of a bucket there. On the arcsine scale shares of the same
+#: number of words scatter alike whatever their size, and lengths do so on the logarithmic one; ``short`` runs downwards.
+RULES = {
+    "symbol_ratio": ("symbol_ratio", "share", 0.0125),
+    "dup_lines": ("dup_lines_per_word", "share", 0.0125),
+    "repeat_ratio": ("repeat_ratio", "share", 0.0125),
+    "long_words": ("mean_word", "long", 0.01),
+    "short_words": ("mean_word", "short", 0.01),
+}
+METRICS = ("symbol_ratio", "dup_line_ratio", "dup_lines_per_word", "repeat_ratio", "mean_word")
+#: A group is sketched with this many more documents like its language, and a language with as many like the whole table.
 PRIOR_DOCS = 20
-#: Metric: the least spread that counts. A fence lies REACH spreads from the median; the spread is the distance from the median down to the first decile.
-LEAST_SPREAD = {"symbol_ratio": 0.01, "dup_line_ratio": 0.04, "repeat_ratio": 0.04, "mean_word": 0.1}
-REACH = 8.0
+#: Valleys are looked for in sums of a bucket and this many on each side, so that a mode needs few documents and its edges stay sharp.
+BESIDE = 4
+#: A bucket lies in a valley if a later sum is at least twice its own, and higher by this many standard deviations of their difference.
+CERTAIN = 3.0
+#: Without a valley, this many documents in a thousand of a group may lie beyond its fence.
+TAIL = 5
 
 
 def _let(value: Column, body) -> Column:
@@ -68,46 +75,75 @@ def text_metrics(docs: DataFrame) -> DataFrame:
     return found.select(*[F.col("row")[c].alias(c) for c in kept], "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines")
 
 
-def _quantiles(sketch: DataFrame, keys: list[str], gamma: float) -> DataFrame:
-    """n, median (q50) and first decile (q10) of each group of ``keys`` and metric."""
-    merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "metric")
-    ranked = merged.withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
-    value = F.when(F.col("bucket") == NONE, 0.0).otherwise(2 * F.pow(F.lit(gamma), F.col("bucket")) / F.lit(gamma + 1))
-    at = lambda parts: F.min(F.when(F.col("upto") * parts >= F.col("total"), value))
-    return ranked.groupBy(*keys, "metric").agg(F.max("total").alias("n"), at(2).alias("q50"), at(10).alias("q10"))
+def place_on_scale(rule: str) -> Column:
+    """The place of a row's metric on the scale of a rule, in buckets; a whole number is the lower edge of a bucket."""
+    metric, scale, step = RULES[rule]
+    if scale == "share":
+        return F.asin(F.sqrt(F.least(F.col(metric), F.lit(1.0)))) / F.lit(step)
+    return F.log(F.greatest(F.col(metric), F.lit(1e-9))) / F.lit(step if scale == "long" else -step)
 
 
-def quantile_fences(rows: DataFrame, least_spread: dict[str, float]) -> DataFrame:
-    """``lang``, ``source`` and, for each metric, low_<metric> and high_<metric>: a row for each group.
+def _smoothed(own: DataFrame, wider: DataFrame, keys: list[str], on: list[str]) -> DataFrame:
+    """Sketches of ``keys`` with those of the wider groups added, weighed down to PRIOR_DOCS documents; n counts thousandths of documents.
 
-    A histogram with logarithmic buckets is a mergeable sketch of quantiles with bounded relative error: the count of each bucket adds up,
-    first in the tasks, then over groups, so that the sketch of a language is the sum of those of its sources. Quantiles of a
-    group are drawn towards those of its language as by PRIOR_DOCS documents more, so that small groups need no rule of their own. Median and first
-    decile do not move with junk in the upper tail, even if that is a third of a group, and the fences follow them up and down.
+    A wider sketch has a row for each bucket of the whole table's range, empty ones included, and so have those that this returns.
     """
-    gamma = (1 + ACCURACY) / (1 - ACCURACY)
-    long = rows.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in least_spread])).alias("x")).select("lang", "source", "x.*")
-    bucket = F.when(F.col("value") > 0, F.ceil(F.log(F.greatest("value", F.lit(1e-9))) / F.lit(math.log(gamma)))).otherwise(F.lit(NONE)).cast("int")
-    sketch = long.groupBy("lang", "source", "metric", bucket.alias("bucket")).agg(F.count("*").alias("n"))
-
-    def drawn(own: DataFrame, wider: DataFrame, on: list[str]) -> DataFrame:
-        both = own.join(wider.select(*on, F.col("q50").alias("w50"), F.col("q10").alias("w10")), on)
-        pull = lambda q, w: (F.col("n") * F.col(q) + PRIOR_DOCS * F.col(w)) / (F.col("n") + PRIOR_DOCS)
-        return both.withColumns({"q50": pull("q50", "w50"), "q10": pull("q10", "w10")}).drop("w50", "w10")
-
-    by_lang = drawn(_quantiles(sketch, ["lang"], gamma), _quantiles(sketch, [], gamma), ["metric"])
-    own = drawn(_quantiles(sketch, ["lang", "source"], gamma), by_lang, ["lang", "metric"])
-    least = F.create_map(*[F.lit(x) for pair in least_spread.items() for x in pair])
-    spread = REACH * F.greatest(F.col("q50") - F.col("q10"), least[F.col("metric")])
-    fenced = own.withColumns({"low": F.col("q50") - spread, "high": F.col("q50") + spread})
-    return fenced.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{side}_{m}") for m in least_spread for side in ("low", "high")])
+    total = wider.groupBy(*on).agg(F.sum("n").alias("total"))
+    most = F.least(F.lit(1000 * PRIOR_DOCS).cast("long"), F.col("total"))
+    light = wider.join(few_rows(total), on).withColumn("most", most).select(*on, "bucket", F.expr("n * most div total").alias("n"))
+    prior = own.select(*keys).distinct().join(few_rows(light), on).select(*keys, "bucket", "n")
+    return own.select(*keys, "bucket", (1000 * F.col("n")).alias("n")).unionByName(prior).groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+
+
+def _shapes(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each sketch: ``middle``, the bucket of the median; ``dip``, the first bucket of the first valley above it; ``valley``, the
+    middle of that valley, both null if there is none; ``tail``, the upper edge of the bucket with the quantile at 1 - TAIL / 1000."""
+    whole = Window.partitionBy(*keys)
+    upwards = whole.orderBy("bucket")
+    near = F.sum("n").over(upwards.rowsBetween(-BESIDE, BESIDE))
+    seen = sketch.withColumns({"upto": F.sum("n").over(upwards), "total": F.sum("n").over(whole), "near": near})
+    seen = seen.withColumn("later", F.coalesce(F.max("near").over(upwards.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
+    gain = (F.col("later") - F.col("near")).cast("double")
+    low = (F.col("later") > 2 * F.col("near")) & (gain * gain > F.lit(1000.0 * CERTAIN * CERTAIN) * (F.col("later") + F.col("near")))
+    seen = seen.withColumns({"low": low, "middle": F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("bucket"))).over(whole)})
+    seen = seen.withColumn("dip", F.min(F.when(F.col("low") & (F.col("bucket") > F.col("middle")), F.col("bucket"))).over(whole))
+    end = F.min(F.when((F.col("bucket") > F.col("dip")) & ~F.col("low"), F.col("bucket")))
+    tail = F.min(F.when(1000 * F.col("upto") >= (1000 - TAIL) * F.col("total"), F.col("bucket"))) + 1
+    return seen.groupBy(*keys).agg(F.max("middle").alias("middle"), F.max("dip").alias("dip"), ((F.max("dip") + end) / 2).alias("valley"), tail.alias("tail"))
+
+
+def quantile_fences(rows: DataFrame) -> DataFrame:
+    """``lang``, ``source`` and fence_<rule> for each of RULES, a place on its scale: a row for each group.
+
+    ``rows`` has lang, source and METRICS. A histogram with equal buckets on the scale of a rule is a mergeable sketch of quantiles, exact to a
+    bucket: counts add up, first in the tasks, then over groups, so that the sketch of a language is the sum of those of its sources.
+
+    Junk is a second mode above that of the ordinary documents, so the fence is put in the middle of the first valley above the median. Median and
+    valley stay where they are whatever the share of junk, as long as it is under half. A group whose own sketch shows no certain valley, as it is
+    small or has little junk, takes that of its language, or of the table, if its own median lies below it; a source that writes otherwise than its
+    language throughout thus follows itself alone. Where no valley applies, an upper quantile of the group is the fence. No metric has a fixed cutoff or floor.
+    """
+    scratch = Scratch(rows.sparkSession, "fences")
+    places = F.array(*[F.struct(F.lit(r).alias("rule"), F.floor(place_on_scale(r)).cast("int").alias("bucket")) for r in RULES])
+    long = rows.select("lang", "source", F.explode(places).alias("x")).select("lang", "source", "x.*")
+    own = scratch.put(long.groupBy("lang", "source", "rule", "bucket").agg(F.count("*").alias("n")), "sketches")
+    spread = own.groupBy("rule").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
+    every = spread.select("rule", F.explode(F.sequence("a", "b")).alias("bucket"), F.lit(0).cast("long").alias("n"))
+    table = own.select("rule", "bucket", (1000 * F.col("n")).alias("n")).unionByName(every).groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
+    table = scratch.put(table, "table")
+    languages = scratch.put(_smoothed(own, table, ["lang", "rule"], ["rule"]), "languages")
+    groups = _shapes(_smoothed(own, languages, ["lang", "source", "rule"], ["lang", "rule"]), ["lang", "source", "rule"])
+    wider = lambda df, keys, name: scratch.put(_shapes(df, keys).select(*keys, F.col("dip").alias(f"{name}_dip"), F.col("valley").alias(f"{name}_valley")), f"{name}_shapes")
+    shaped = groups.join(few_rows(wider(languages, ["lang", "rule"], "lang")), ["lang", "rule"]).join(few_rows(wider(table, ["rule"], "table")), "rule")
+    above = lambda name: F.when(F.col(f"{name}_dip") > F.col("middle"), F.col(f"{name}_valley"))
+    fence = F.coalesce("valley", above("lang"), above("table"), F.col("tail").cast("double"))
+    return shaped.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == r, fence)).alias(f"fence_{r}") for r in RULES])
 
 
 def judge_quality(docs: DataFrame) -> DataFrame:
     """Counts of each document, the fixed base rule, and the verdict of the adaptive rules.
 
-    A document is kept if the base rule passes and each metric lies between the fences of its language and source. Only documents that pass
+    A document is kept if the base rule passes and no metric lies beyond a fence of its language and source. Only documents that pass
     the base rule shape the fences. Null language or source is a group of its own; null text fails the base rule; repeated rows are judged each; an
     empty table gives none; columns of the documents other than doc_id, text, lang and source are ignored.
     """
@@ -115,13 +151,13 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     counted = text_metrics(docs.select("doc_id", "text", key("lang"), key("source"))).drop("text")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    ratios = {"symbol_ratio": per("n_symbols", "word_chars"), "dup_line_ratio": per("n_dup_lines", "n_lines"), "repeat_ratio": per("n_repeat_words", "n_words"), "mean_word": per("word_chars", "n_words")}
+    ratios = {"symbol_ratio": per("n_symbols", "word_chars"), "dup_line_ratio": per("n_dup_lines", "n_lines"), "dup_lines_per_word": per("n_dup_lines", "n_words"), "repeat_ratio": per("n_repeat_words", "n_words"), "mean_word": per("word_chars", "n_words")}
     scratch = Scratch(docs.sparkSession, "quality")
     rows = scratch.put(counted.withColumns(ratios | {"base_failed": failed}), "counts")
-    fences = scratch.put(quantile_fences(rows.where(~F.col("base_failed")), LEAST_SPREAD), "fences")
+    fences = scratch.put(quantile_fences(rows.where(~F.col("base_failed"))), "fences")
     # a row for each language and source; a document without one failed the base rule
     joined = rows.join(few_rows(fences), ["lang", "source"], "left")
     within = F.lit(True)
-    for m in LEAST_SPREAD:
-        within = within & F.coalesce(F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}")), F.lit(False))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & within).alias("kept"), *LEAST_SPREAD)
+    for r in RULES:
+        within = within & F.coalesce(place_on_scale(r) <= F.col(f"fence_{r}"), F.lit(False))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & within).alias("kept"), *METRICS)

@@ -90,10 +90,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from txspark.llm.quality import LEAST_SPREAD, judge_quality
+    from txspark.llm.quality import METRICS, judge_quality
 
     judged = judge_quality(_read(spark, sf_dir, "documents"))
-    return judged.withColumns({c: F.round(c, 9) for c in LEAST_SPREAD})
+    return judged.withColumns({c: F.round(c, 9) for c in METRICS})
 
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
