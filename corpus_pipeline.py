@@ -7,7 +7,7 @@ last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txspark.llm.langid import UNKNOWN, fit, identify
@@ -23,20 +23,32 @@ SHARES = {"high": 0.81, "low": 0.185, "toxic": 0.0}
 CAPACITY = 1024
 
 
+def _row(docs: DataFrame) -> Column:
+    """All columns as one value, so that none of the caller's has a name of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told; ``lang`` becomes the predicted language."""
-    known = identify(docs, fit(docs)).where(F.col("lang_pred") != UNKNOWN)
-    return known.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    """Drop documents whose language cannot be told; ``lang`` becomes the predicted language.
+
+    Null and empty texts and those without a letter go; rows with a null ``lang`` are not learned from. Repeated rows are judged each and alike, an
+    empty table gives none, and other columns stay whatever their names.
+    """
+    # numbered columns, so that none of the caller's has a name of ours; a text crosses to Python once
+    number = {c: c if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)}
+    told = identify(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in number.items()]), fit(docs)).where(F.col("lang_pred") != UNKNOWN)
+    return told.select(*[F.col("lang_pred" if c == "lang" else n).alias(c) for c, n in number.items()])
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of near-duplicates: the smallest doc_id, then the least hash of the text, then the least row.
 
     A document is a pair of doc_id and text, so rows that repeat it are one, and different texts of one doc_id are judged each.
+    Null and empty texts are like nothing, so each such doc_id keeps a row; an empty table gives none; other columns stay whatever their names.
     """
     scratch = Scratch(spark, "dropped")
     pair = ["doc_id", "_text"]
-    rows = docs.withColumn("_text", F.xxhash64("text"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_text"), "text", _row(docs))
     pairs = scratch.put(rows.groupBy(*pair).agg(F.count("*").alias("n")), "pairs")
     several = pairs.groupBy("doc_id").agg(F.min("_text").alias("least"), F.max("_text").alias("most")).where("least < most")
     # the further texts of a doc_id get ids beyond all others
@@ -53,33 +65,43 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         # the first text of a doc_id has no hash here, and null comes before all hashes
         kept = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_text", "_id"))["_id"].alias("_id"))
         gone = placed.join(kept, "_id", "left_anti").select("_id")
-    left = named.join(few_rows(scratch.put(gone.distinct(), "ids")), "_id", "left_anti")
+    left = named.drop("text").join(few_rows(scratch.put(gone.distinct(), "ids")), "_id", "left_anti")
     again = scratch.put(pairs.where("n > 1").select(*pair), "repeated")
     if again.isEmpty():
-        return left.select(*docs.columns)
+        return left.select("row.*")
     same = lambda how: left.join(few_rows(again), pair, how)
-    one = same("left_semi").groupBy(*pair).agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row")).select("doc_id", "_row.*")
-    return same("left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+    one = same("left_semi").groupBy(*pair).agg(F.min("row").alias("row"))
+    return same("left_anti").select("row").unionByName(one.select("row")).select("row.*")
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put a mark in the place of each secret; all documents stay."""
+    """Put a mark in the place of each secret; all documents stay.
+
+    Null and empty texts stay as they are, repeated rows are treated alike, an empty table gives none; other columns stay whatever their names.
+    """
     return redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents by their rates for SHARES: a row for each copy. Those that labels mark toxic go, whatever their rate."""
+    """Repeat or drop documents by their rates for SHARES: a row for each copy. Those that labels mark toxic go, whatever their rate.
+
+    Null and empty texts have the domains' prior shares as posteriors. Rows that repeat a doc_id and text are drawn alike, so ties need no order. Without labels
+    all rates are 1; an empty table gives none; other columns stay whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domains = fit_domains(label_documents(docs, labels))
     toxic = Scratch(spark, "toxic").put(labels.where("toxic = 1").select("doc_id").distinct(), "ids")
-    rest = docs.join(few_rows(toxic), "doc_id", "left_anti").select(*docs.columns)
+    rest = docs.join(few_rows(toxic), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     mixture = fit_mixture(score_domains(rest, domains), domains, SHARES, keep=("high", "low"))
-    drawn = apply_mixture(rest.select("doc_id", "text", F.struct(*rest.columns).alias("row")), mixture).where("copies > 0")
+    drawn = apply_mixture(rest.select("doc_id", "text", _row(rest)), mixture).where("copies > 0")
     return drawn.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of CAPACITY tokens."""
+    """Pieces of documents in sequences of CAPACITY tokens.
+
+    Null and empty texts are their end token alone; repeated rows are packed each; an empty table gives no piece; columns but doc_id and text are not read.
+    """
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), CAPACITY)
 
 

@@ -101,6 +101,23 @@ def test_deduplicate_keeps_one_row(spark):
     assert (900, clean) in kept and (900, near) not in kept
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like those that the stages use inside, awkward rows and an empty table pass through all stages."""
+    own = {"_text": "mine", "_id": 7, "score": -5.0, "lang_pred": "xx", "row": "r", "spans": "s", "copies": 3, "n": 2, "component_id": 9, "a.b": "dot"}
+    more = ", ".join(f"`{c}` {'string' if isinstance(v, str) else 'double' if isinstance(v, float) else 'long'}" for c, v in own.items())
+    docs = spark.createDataFrame([(*r, *own.values()) for r in cases.rows()], f"{cases.SCHEMA}, {more}").repartition(3)
+    for table in (docs, docs.limit(0)):
+        now = table
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, "/root/testdata/sf0.001")
+            assert now.columns == docs.columns, name
+            rows = now.collect()
+            assert all(r[c] == v for r in rows for c, v in own.items()), name
+            assert bool(rows) == (table is docs), name
+            now = spark.createDataFrame(rows, docs.schema)
+        assert bool(corpus_pipeline.pack_sequences(spark, now, "").count()) == (table is docs)
+
+
 def test_mix_drops_labelled_toxic_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
