@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from txspark.operators import evaluate, expression, models
 from txspark.plans.registry import query
+from txspark.plans.track_queries import NAMES as SITES, PLAIN
 
 FEATURES = ["mean_price", "max_qty", "sum_tax", "length"]
 
@@ -285,6 +286,31 @@ def additive_calls(x):
     return models.call_transcripts(x.f_intervals.withColumn("feature", F.lit("transcript")), model, schema, track)
 
 
+RAW = """SELECT chromosome, 'transcript' AS feature, transcript_id, start, "end", strand FROM f_intervals
+    UNION ALL SELECT chromosome, 'exon', transcript_id, start % 97, start % 97 + 20 + start % 30, strand FROM f_intervals"""
+GENOME = """SELECT concat('chr', substr(transcript_id, 2)) AS chromosome, concat(replace(sequence, 'N', 'A'), repeat('ACGGTTCA', 20)) AS sequence FROM f_sequences"""
+FOLDING = """SELECT concat('T', o_orderkey) AS transcript_id, CAST(-o_orderkey AS double) / 1000 AS mfe FROM orders"""
+
+
+@query(f"""WITH {PLAIN}, {SITES}, k AS (SELECT DISTINCT concat('chr', substr(transcript_id, 2)) AS chromosome FROM f_sequences),
+    s AS (SELECT i.*, 0.13 + CASE WHEN coalesce(mean, 0) >= 0.0512345 THEN 0.41 ELSE -0.32 END + CASE WHEN list_contains(string_split(coalesce(names, ''), ','), 'E3') THEN 0.83 ELSE -0.21 END
+        + CASE WHEN i."end" - i.start >= 15 THEN -0.27 ELSE 0.19 END + CASE WHEN mfe >= -5 THEN 0.16 ELSE -0.11 END AS score
+        FROM f_intervals i JOIN k ON i.chromosome = k.chromosome JOIN ({FOLDING}) f ON i.transcript_id = f.transcript_id AND mfe < 0 LEFT JOIN a ON i.transcript_id = a.transcript_id LEFT JOIN n ON i.transcript_id = n.transcript_id),
+    e AS (SELECT transcript_id, avg(fpkm) AS fpkm_mean, stddev_pop(fpkm) AS fpkm_std FROM f_expression GROUP BY 1)
+    SELECT s.transcript_id, CASE WHEN score >= 0 THEN 1 ELSE 0 END AS prediction, round(CAST(1 / (1 + exp(-score)) AS double), 6) AS prob_lncrna, round(CAST(1 - 1 / (1 + exp(-score)) AS double), 6) AS prob_coding,
+    chromosome, start, "end", strand, round(fpkm_mean, 6) AS fpkm_mean, round(fpkm_std, 5) AS fpkm_std FROM s LEFT JOIN e ON s.transcript_id = e.transcript_id""")
+def annotation_calls(x):
+    """From annotation, genome, tracks, folding energies and expression to enriched calls: intervals are queried on both tracks, exons are spliced, k-mers of 3 to 12 are
+    counted and reduced, all parts are assembled, cleaned (an energy that is not negative drops its row) and brought to the model's schema, and an additive model scores them."""
+    bins = lambda name, *scores: [(name, name, b, None, None, v) for b, v in enumerate(scores)]
+    terms = bins("mean_signal", -0.32, 0.41) + bins("tfbs_e3", -0.21, 0.83) + bins("length", 0.19, -0.27) + bins("ss_mfe", -0.11, 0.16)
+    model = models.Additive(x.spark.createDataFrame(terms, models.TERMS), {"mean_signal": [0.0512345], "tfbs_e3": [0.5], "length": [15.0], "ss_mfe": [-5.0]}, 0.13)
+    schema = {"mean_signal": "double", "tfbs_e3": "boolean", "length": "long", "ss_mfe": "double"} | {f"{k}mer_svd1": "double" for k in range(3, 13)}
+    spec = [{"path": "signal", "stat": "mean", "name": "mean_signal"}, {"path": "sites", "stat": "extract_names", "name": "entries_tfbs", "name_field_index": 3}]
+    summary = expression.fpkm_summary(x.f_expression).withColumn("fpkm_std", F.round("fpkm_std", 5))
+    return models.call_annotation(x.sql(RAW), x.sql(GENOME), spec, {"signal": ("signal", x.f_signal), "sites": ("entry", x.f_entries)}, model, schema, structure=x.sql(FOLDING), expression=summary)
+
+
 @query()
 def refitted_trials(x):
     train, validation, test = _split(x)
