@@ -272,6 +272,28 @@ def test_additive_terms_score_like_the_pipeline(spark):
     assert len(models.refit_top(trials, 3, df, df, "random_forest", ["a", "b"])) == 1
 
 
+def test_trials_in_parallel_and_by_halving(spark):
+    """Two features tell the label only together, so depth decides; what halving keeps is the best of a full search."""
+    rng = np.random.default_rng(5)
+    rows = [(str(i), float(a), float(b), bool((a > 0.5) != (b > 0.5))) for i, (a, b) in enumerate(rng.random((900, 2)))]
+    df = spark.createDataFrame(rows, "transcript_id string, a double, b double, y boolean").repartition(4)
+    space = {"numTrees": [4], "maxDepth": [1, 2, 5, -3]}
+    full = models.search(df, df, "random_forest", ["a", "b"], space, ("accuracy",), 4).collect()
+    again = models.search(df, df, "random_forest", ["a", "b"], space, ("accuracy",), 4, parallel=1).collect()
+    assert [r[:4] for r in full] == [r[:4] for r in again]
+    assert [r["state"] for r in full] == ["complete"] * 3 + ["pruned"]
+    halved = models.search(df, df, "random_forest", ["a", "b"], space, ("accuracy",), 4, rungs=2)
+    out = halved.collect()
+    assert [r["state"] for r in out] == ["complete"] + ["pruned"] * 3
+    assert out[0][:4] == full[0][:4]
+    assert sorted(r["value"] is None for r in out) == [False, False, False, True]
+    assert len(models.refit_top(halved, 3, df, df, "random_forest", ["a", "b"])) == 1
+    few, more = ({r["transcript_id"] for r in models.nested_sample(df, ["a", "b"], s).collect()} for s in (0.2, 0.5))
+    assert few < more and 100 < len(few) < 260 < 350 < len(more) < 550
+    nothing = models.search(df.where("false"), df, "random_forest", ["a", "b"], space, ("accuracy",), 4, rungs=2).collect()
+    assert [r["state"] for r in nothing] == ["pruned"] * 4
+
+
 def test_calls_from_annotation_genome_and_tracks(spark):
     """A token of an entry track turns the call of one of two transcripts with equal signal."""
     from txspark.operators.models import TERMS, Additive, call_annotation

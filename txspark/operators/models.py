@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
 import time
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,21 +200,43 @@ def candidates(space: dict[str, list], n: int, seed: int = 99) -> list[dict]:
 TRIAL = "trial int, state string, value double, params string, seconds double"
 
 
-def search(train_df: DataFrame, test_df: DataFrame, kind: str, features: list[str], space: dict[str, list], names: list[str] = ("f1",), n: int = 10, direction: str = "maximize", seed: int = 99) -> DataFrame:
+def nested_sample(df: DataFrame, columns: list[str], share: float, seed: int = 99) -> DataFrame:
+    """The rows whose hash over the columns lies in the first ``share``: a larger share holds all rows of a smaller one, and equal rows go together."""
+    return df if share >= 1 else df.where(F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns]), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def search(train_df: DataFrame, test_df: DataFrame, kind: str, features: list[str], space: dict[str, list], names: list[str] = ("f1",), n: int = 10, direction: str = "maximize", seed: int = 99, parallel: int = 4, rungs: int = 1, keep: int = 3) -> DataFrame:
     """A row for each candidate: fitted on the first table, scored on the second by the mean of the named metrics (MDL5).
 
-    A candidate that fails is recorded as pruned. Fits run one after the other, each distributed.
+    ``parallel`` candidates at a time, each a distributed fit in a scheduler pool of its own. With more than one rung, candidates are fitted on a nested sample of
+    the first table that grows ``keep`` times with each rung, up to the whole in the last; of each rung the best in ``keep`` go on, at equal values the first ones.
+    One that stops early is recorded as pruned with its last value, one that fails as pruned without a value; if all fail on a sample, as an empty one
+    or one of a single class makes them, all go on. The complete ones come first.
     """
-    rows = []
-    for i, params in enumerate(candidates(space, n, seed)):
-        start = time.monotonic()
+    spark, trials, found = train_df.sparkSession, candidates(space, n, seed), {}
+
+    def attempt(i: int, rows: DataFrame, state: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial{i}")
+        start, spent = time.monotonic(), found[i][4] if i in found else 0.0
         try:
-            row = evaluate(train(train_df, kind, features, params=params), test_df, features)
-            rows.append((i, "complete", float(sum(row[m] for m in names) / len(names)), repr(params), time.monotonic() - start))
+            row = evaluate(train(rows, kind, features, params=trials[i]), test_df, features)
+            value, params = float(sum(row[m] for m in names) / len(names)), repr(trials[i])
         except Exception as error:  # noqa: BLE001  any failure of a candidate prunes it
-            rows.append((i, "pruned", None, f"{params!r}: {type(error).__name__}", time.monotonic() - start))
+            state, value, params = "pruned", None, f"{trials[i]!r}: {type(error).__name__}"
+        found[i] = (i, state, value, params, spent + time.monotonic() - start)
+
+    live = list(range(len(trials)))
+    for rung in range(1, rungs + 1):
+        rows = nested_sample(train_df, [*features, "y"], keep ** (rung - rungs), seed)
+        if live:
+            with ThreadPool(min(parallel, len(live))) as pool:
+                pool.map(inheritable_thread_target(spark)(lambda i: attempt(i, rows, "complete" if rung == rungs else "pruned")), live, 1)  # noqa: B023  the pool ends within the rung
+        done = [i for i in live if found[i][2] is not None]
+        done.sort(key=lambda i: (-found[i][2] if direction == "maximize" else found[i][2], i))
+        if done and rung < rungs:
+            live = done[: math.ceil(len(done) / keep)]
     sign = F.col("value").desc_nulls_last() if direction == "maximize" else F.col("value").asc_nulls_last()
-    return train_df.sparkSession.createDataFrame(rows, TRIAL).orderBy(sign, "trial")
+    return spark.createDataFrame([found[i] for i in sorted(found)], TRIAL).orderBy(F.col("state") != "complete", sign, "trial")
 
 
 def evaluate(model, df: DataFrame, features: list[str], label: str = "y") -> dict:
