@@ -224,10 +224,10 @@ def row_contributions(x):
     return models.explain_rows(x.f_features, _terms(x), CUTS)
 
 
-@query(f"""WITH {BINS}, s AS (SELECT transcript_id, CAST(sum(contribution) AS double) + 0.1 AS score FROM e GROUP BY 1) SELECT transcript_id, round(score, 6) AS score, round(1 / (1 + exp(-score)), 6) AS prob,
-    CASE WHEN round(score, 9) >= 0 THEN 1 ELSE 0 END AS pred FROM s WHERE abs(score) > 1e-9""")
+@query(f"""WITH {BINS}, s AS (SELECT transcript_id, CAST(sum(contribution) AS double) + 0.1034567 AS score FROM e GROUP BY 1) SELECT transcript_id, round(score, 6) AS score, round(1 / (1 + exp(-score)), 6) AS prob,
+    CASE WHEN score >= 0 THEN 1 ELSE 0 END AS pred FROM s""")
 def additive_scores(x):
-    return models.score_additive(x.f_features, _terms(x), CUTS, 0.1).where("abs(score) > 1e-9")
+    return models.score_additive(x.f_features, _terms(x), CUTS, 0.1034567)
 
 
 @query(f"""WITH {BINS}, i AS (SELECT term, avg(abs(CAST(contribution AS double))) AS importance FROM e GROUP BY 1) SELECT term, round(importance, 6) AS importance, round(100 * importance / sum(importance) OVER (), 6) AS percent,
