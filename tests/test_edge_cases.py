@@ -323,3 +323,26 @@ def test_kmers_across_pieces(spark):
         code = (text or "").translate(str.maketrans("ATUGC", "00011"))
         want.update((name, k, code[i : i + k]) for k in range(3, 13) for i in range(len(code) - k + 1))
     assert got == dict(want)
+
+
+def test_kmers_of_long_sequences(spark, monkeypatch):
+    """Parts, slices and repeated ids give the counts of whole sequences; what a query shuffles and stores are texts, not k-mers."""
+    seqs = [("a", "ACGGTTCANGATTACA" * 40), ("b", "ACG"), ("a", "TTGACCA"), ("c", "GATTACAGC" * 15), ("d", "NN"), ("e", None)]
+    df = spark.createDataFrame(seqs, "transcript_id string, sequence string")
+    key = lambda r: (r["transcript_id"], r["k"], r["kmer"])
+    counts = {key(r): r["cnt"] for r in kmers.count_kmers(df, 3, 6).collect()}
+    words = {(r["k"], r["kmer"]): r["cnt"] for r in kmers.count_words(df, 3, 6).collect()}
+    for name, value in (("PIECE", 50), ("PART", 2), ("CHARS", 70), ("CELLS", 1 << 8)):
+        monkeypatch.setattr(kmers, name, value)
+    assert {key(r): r["cnt"] for r in kmers.count_kmers(df, 3, 6).collect()} == counts
+    assert {(r["k"], r["kmer"]): r["cnt"] for r in kmers.count_words(df, 3, 6).collect()} == words
+    rows = spark.createDataFrame([(*k, v) for k, v in counts.items()], "transcript_id string, k int, kmer string, cnt long")
+    want = {key(r): r["weight"] for r in kmers.tfidf(rows).collect()}
+    assert {key(r): r["weight"] for r in kmers.kmer_weights(df, 3, 6).collect()} == pytest.approx(want)
+    got = {(r["transcript_id"], r["name"]): r["score"] for r in kmers.sequence_components(df, 3, 6, {3: 2}).collect()}
+    assert got == pytest.approx({(r["transcript_id"], r["name"]): r["score"] for r in kmers.svd_by_k(kmers.tfidf(rows), {3: 2}).collect()}, abs=1e-8)
+    assert ("b", "3mer_SVD1") in got and ("b", "4mer_SVD1") not in got and not {"d", "e"} & {k[0] for k in got}
+    plan = kmers.count_kmers(df, 3, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Generate")[0]  # k-mers are not shuffled
+    assert kmers.reduce_sequences(df, 3, 6, order="svd_tfidf").columns == ["transcript_id", *[f"{k}mer_SVD1" for k in (3, 4, 5, 6)]]
+    assert kmers.reduce_sequences(df.where("false"), 3, 6).count() == 0

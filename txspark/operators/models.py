@@ -20,7 +20,7 @@ from txspark.operators.assembly import assemble_features, attach_dge, attach_exp
 from txspark.operators.cleaning import canonical_columns, dedup_rows, handle_missing, sanitize_columns
 from txspark.operators.encoding import encode_for_schema
 from txspark.operators.evaluate import metrics, roc_auc
-from txspark.operators.kmers import count_kmers, reduce_kmers
+from txspark.operators.kmers import reduce_sequences
 from txspark.operators.scaling import apply_scaler
 from txspark.operators.schema import enforce_schema, fields_of
 from txspark.operators.sequences import spliced_sequences
@@ -290,7 +290,7 @@ def call_annotation(annotation: DataFrame, genome: DataFrame, spec: list[dict],
     own, genome = annotation.withColumn("chromosome", chrom), genome.withColumn("chromosome", chrom)
     intervals = annotation_to_intervals(annotation).select("chromosome", "start", "end", "transcript_id")
     track = query_tracks(intervals, spec, tracks, sizes).drop("chromosome", "start", "end")
-    kmers = reduce_kmers(count_kmers(spliced_sequences(own, genome), *lengths), components)
+    kmers = reduce_sequences(spliced_sequences(own, genome), *lengths, components)
     return call_transcripts(own, model, schema, track, kmers=kmers, **rest)
 
 
