@@ -346,3 +346,12 @@ def test_kmers_of_long_sequences(spark, monkeypatch):
     assert "Exchange" not in plan.split("Generate")[0]  # k-mers are not shuffled
     assert kmers.reduce_sequences(df, 3, 6, order="svd_tfidf").columns == ["transcript_id", *[f"{k}mer_SVD1" for k in (3, 4, 5, 6)]]
     assert kmers.reduce_sequences(df.where("false"), 3, 6).count() == 0
+
+
+def test_overlap_join_is_no_broadcast(spark):
+    """The rows by bin of a side that looks small stay off the driver, and a side shows itself only at levels that the other has."""
+    a = spark.createDataFrame([("c", i, i + 5, f"t{i}") for i in range(50)], "chromosome string, start long, end long, transcript_id string")
+    pairs = intervals.overlap_join(a, a, 16)
+    assert pairs.count() == sum(abs(i - j) < 5 for i in range(50) for j in range(50))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
