@@ -355,3 +355,12 @@ def test_overlap_join_is_no_broadcast(spark):
     assert pairs.count() == sum(abs(i - j) < 5 for i in range(50) for j in range(50))
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_splits_are_derived_once(spark):
+    """What a fit reads many times is a written table, not the joins and aggregations behind it."""
+    from txspark.plans import model_queries
+    from txspark.plans.fixtures import Inputs
+
+    for part in model_queries._split(Inputs(spark, "/root/testdata/sf0.001")):
+        assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString()

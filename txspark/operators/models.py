@@ -25,6 +25,7 @@ from txspark.operators.scaling import apply_scaler
 from txspark.operators.schema import enforce_schema, fields_of
 from txspark.operators.sequences import spliced_sequences
 from txspark.operators.tracks import query_tracks
+from txspark.session import stored
 
 TERMS = "term string, feature string, bin int, feature2 string, bin2 int, score double"
 
@@ -241,7 +242,8 @@ def search(train_df: DataFrame, test_df: DataFrame, kind: str, features: list[st
 
 def evaluate(model, df: DataFrame, features: list[str], label: str = "y") -> dict:
     """accuracy, precision, recall, f1, f1beta and roc_auc of a model on a table."""
-    scored = predict(model, df.withColumn("y", F.col(label).cast("int")), features).select("y", "score", "pred")
+    # predicted once, read by both
+    scored = stored(predict(model, df.withColumn("y", F.col(label).cast("int")), features).select("y", "score", "pred"), "scored")
     return metrics(scored).first().asDict() | roc_auc(scored).first().asDict()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from txspark.operators import evaluate, expression, models
 from txspark.plans.registry import query
 from txspark.plans.track_queries import NAMES as SITES, PLAIN
+from txspark.session import stored
 
 FEATURES = ["mean_price", "max_qty", "sum_tax", "length"]
 
@@ -239,7 +240,8 @@ def term_importance(x):
 def _split(x):
     from txspark.operators.splits import stratified_split
 
-    rows = stratified_split(x.f_features.na.fill(0.0), "y")
+    # a fit reads its rows many times: they are derived from the tables once
+    rows = stored(stratified_split(stored(x.f_features.na.fill(0.0), "features"), "y"), "split")
     return [rows.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
 
 
