@@ -1,9 +1,11 @@
 """Readers and writers by round trips through files."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from txspark.operators import kmers, scaling, schema, splits
+from txspark.plans.catalogue import ORACLES, QUERIES
 from txspark.sources import readers, writers
 
 
@@ -39,6 +41,18 @@ def test_fasta(spark, tmp_path):
     assert max(map(len, text.splitlines())) == 60 and text.count(">") == 2
 
 
+def test_sequence_files_keep_texts_without_letters(spark, tmp_path):
+    """Such documents have an empty sequence, and a null text has a null one: both are in the SQL's result, wherever they lie in a file."""
+    texts = ["Éé è.", "acgt", None, "12", "", "T" * 130, None, "", "é"]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    want = sorted(con.sql(ORACLES["sequence_files"]).fetchall())
+    got = sorted(tuple(r) for r in QUERIES["sequence_files"](spark, str(tmp_path)).collect())
+    assert got == want and len(got) == len(texts)
+
+
 def test_tracks_and_spec(spark, tmp_path):
     (tmp_path / "s.bedgraph").write_text("track\nc\t0\t5\t1.5\nc\t5\t5\t2\nc\t6\t9\tnan\n")
     (tmp_path / "e.bed").write_text("c\t0\t5\ta\tb\n")

@@ -11,6 +11,8 @@ from txspark.functions.scalars import normalize_chrom, to_rna
 from txspark.operators.expression import sample_fpkm
 from txspark.operators.tracks import STATS
 
+#: Ends the header of a record whose sequence is null, not empty.
+NO_SEQUENCE = " [sequence=null]"
 PROMOTED = ("transcript_id", "gene_id", "gene_biotype", "transcript_biotype", "FPKM")
 
 
@@ -56,14 +58,19 @@ def read_intervals(spark: SparkSession, path: str) -> DataFrame:
     return parse_intervals(spark.read.text(path))
 
 
-def read_sequences(spark: SparkSession, paths: str | list[str], rna: bool = True, names: str = "*.{fa,fasta,fna,fas}") -> DataFrame:
-    """(transcript_id, sequence, file, pos) of FASTA files or folders, of files that match ``names``; empty records are dropped (SRC3)."""
+def read_sequences(spark: SparkSession, paths: str | list[str], rna: bool = True, names: str = "*.{fa,fasta,fna,fas}", empty: bool = False) -> DataFrame:
+    """(transcript_id, sequence, file, pos) of FASTA files or folders, of files that match ``names`` (SRC3).
+
+    Records without a sequence are dropped, or kept with ``empty``: their sequence is then '', and null where ``write_sequences`` wrote a null one.
+    """
     text = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(paths)
     one = F.regexp_replace("value", "^>", "")
     head = F.regexp_extract(one, r"^([^\n]*)", 1)
     body = F.upper(F.regexp_replace(F.regexp_replace(one, r"^[^\n]*", ""), r"\s", ""))
-    rows = text.select(F.regexp_extract(head, r"^\s*(\S+)", 1).alias("transcript_id"), (to_rna(body) if rna else body).alias("sequence"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("pos"))
-    return rows.where("transcript_id <> '' AND sequence <> ''")
+    body = to_rna(body) if rna else body
+    body = F.when((body != "") | ~head.endswith(NO_SEQUENCE), body) if empty else body
+    rows = text.select(F.regexp_extract(head, r"^\s*(\S+)", 1).alias("transcript_id"), body.alias("sequence"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("pos"))
+    return rows.where("transcript_id <> ''" if empty else "transcript_id <> '' AND sequence <> ''")
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txspark.operators.kmers import kmer_vocabulary, kmer_wide
 from txspark.session import stored
+from txspark.sources.readers import NO_SEQUENCE
 
 CODECS = ("snappy", "gzip", "brotli", "zstd", "lz4", "none")
 
@@ -32,8 +33,9 @@ def fasta_lines(name: Column, sequence: Column) -> Column:
 
 
 def write_sequences(df: DataFrame, path: str) -> None:
-    """FASTA (SNK2)."""
-    df.select(fasta_lines(F.col("transcript_id"), F.col("sequence")).alias("value")).write.mode("overwrite").text(path)
+    """FASTA (SNK2); a null sequence is marked in its header."""
+    null = F.concat(F.lit(">"), F.col("transcript_id"), F.lit(NO_SEQUENCE))
+    df.select(F.coalesce(fasta_lines(F.col("transcript_id"), F.col("sequence")), null).alias("value")).write.mode("overwrite").text(path)
 
 
 def bed_rows(df: DataFrame) -> DataFrame:
