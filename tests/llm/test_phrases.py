@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm import cases
@@ -85,3 +86,47 @@ def test_filter_has_no_false_negatives(spark):
     others = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)
     assert made.holds(others.view(np.uint64)).mean() < 0.02
     assert not build_filter(spark.createDataFrame([], "key long")).holds(keys.view(np.uint64)).any()
+
+
+def test_rows_of_windows_grow_no_faster_than_the_words(spark, tmp_path):
+    """Runs of four times as many words, four times as frequent: with a fixed least count they would come to pass a filter by count all at once."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(30)]
+    texts = [(" ".join(rng.choice(words) for _ in range(200)), "en") for _ in range(320)]
+    made = {}
+    for n in (80, 320):
+        docs = spark.createDataFrame(texts[:n], "text string, lang string").coalesce(1)
+        found = phrases._windows
+        rows = []
+
+        def counted(*args, found=found, rows=rows):
+            out = found(*args)
+            rows.append(out.count())
+            return out
+
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(phrases, "_windows", counted)
+            patch.setattr(phrases, "SLICE_CHARS", 20_000)
+            got = {(r["phrase"], r["f"]) for r in phrase_counts(docs, Scratch(spark, "test"), 3, 30)[0].collect()}
+        want, _ = grams(texts[:n], 3)
+        assert got == {(" ".join(p), f) for p, f in want["en"].items() if f >= 30}
+        made[n] = rows[-1]
+    assert made[80] > 0 and made[320] <= 5 * made[80]
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+def test_prefixes_across_frames(step):
+    """Frames may end anywhere: within a phrase, and within all of its prefixes."""
+    lexicon = phrases.Lexicon([("en", f"w{k}") for k in range(1 << 13)], 5)
+    assert len(lexicon.packs) == 2
+    rng = random.Random(step)
+    windows = Counter(tuple(rng.choice([1, 2, 8192]) for _ in range(rng.randrange(2, 6))) for _ in range(500))
+    pack = lambda w: [sum(x << lexicon.bits * (width - 1 - i) for i, x in enumerate((*w, 0, 0, 0, 0)[start : start + width])) for start, width in ((0, lexicon.widths[0]), (lexicon.widths[0], lexicon.widths[1]))]
+    rows = sorted((*pack(w), n) for w, n in windows.items())
+    frames = [pd.DataFrame(rows[i : i + step], columns=[*lexicon.packs, "n"]) for i in range(0, len(rows), step)]
+    want = Counter()
+    for w, n in windows.items():
+        for k in range(2, len(w) + 1):
+            want[" ".join(f"w{x - 1}" for x in w[:k])] += n
+    got = [(r.phrase, r.f) for frame in phrases.prefix_counts(iter(frames), lexicon, 5) for r in frame.itertuples()]
+    assert len(got) == len(set(got)) and dict(got) == {p: n for p, n in want.items() if n >= 5}

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txspark.llm.staging import Scratch, few_rows
-from txspark.llm.words import PLACES, mix, text_slices, word_hashes
+from txspark.llm.words import PLACES, mix, text_slices
 
 ORDER = 5
 LEAST = 100
 TOP = 2000
-#: Runs of up to so many words are counted by hash before the windows are; their keys have so many bits more than the number of words in the table.
-PRUNED, SPARE_BITS = 3, 3
+#: Runs of two up to so many words are counted by hash before the windows are, 1 for none; their keys have so many bits more than the number of words in the table.
+PRUNED, SPARE_BITS = 1, 3
 #: Characters of text whose windows are counted at a time; a text is never cut.
 SLICE_CHARS = 32_000_000
 #: Bits of a filter for each key, hashes of a key, and the most bits of a filter: it is broadcast, and its size is bounded by them alone.
@@ -66,10 +66,6 @@ def build_filter(keys: DataFrame, drop: int = 0) -> Filter:
     return Filter(out, drop)
 
 
-def _seed(lang: str) -> np.uint64:
-    return mix(word_hashes([lang.encode("utf-8", "surrogatepass")]))[0]
-
-
 class _Codes(dict):
     """Words by the order in which they are first asked for, from 1."""
 
@@ -93,114 +89,196 @@ def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return join(parts, np.int32), join(lasts, bool), [b"", *codes]
 
 
-def run_keys(keys: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
-    """A key for each row of words, which depends on their places; a single word has its own."""
-    return keys[columns[0]] if len(columns) == 1 else mix(sum(keys[c] * p for c, p in zip(columns, PLACES, strict=False)))
+def run_keys(columns: list[np.ndarray]) -> np.ndarray:
+    """A key for each row of word ids, which depends on their places."""
+    return mix(sum(mix(c.astype(np.uint64)) * p for c, p in zip(columns, PLACES, strict=False)))
+
+
+class Lexicon:
+    """Frequent words by id, from 1, of all languages: an id tells its language. Windows of ids are packed into as few int64 as hold ``order`` of them."""
+
+    def __init__(self, words: list[tuple[str, str]], order: int):
+        self.words, self.order = words, order
+        self.bits = max(len(words).bit_length(), 1)
+        per = 62 // self.bits
+        self.widths = [min(per, order - start) for start in range(0, order, per)]
+        self.packs = [f"p{i}" for i in range(len(self.widths))]
+
+    def ids(self) -> dict[str, dict[bytes, int]]:
+        out: dict[str, dict[bytes, int]] = {}
+        for i, (lang, word) in enumerate(self.words, 1):
+            out.setdefault(lang, {})[word.encode("utf-8", "surrogatepass")] = i
+        return out
 
+    def word(self, packs: list[np.ndarray], k: int) -> np.ndarray:
+        """The ids at place ``k``, 0 where a window is shorter."""
+        for pack, width in zip(packs, self.widths, strict=True):
+            if k < width:
+                return (pack >> (self.bits * (width - 1 - k))) & ((1 << self.bits) - 1)
+            k -= width
+        raise IndexError(k)
 
-def slice_windows(texts: list[str], lang: str, order: int, filters: list[Filter]) -> tuple[list[np.ndarray], np.ndarray, list[bytes], np.ndarray]:
-    """Distinct lead windows of texts of one language: codes of the words by place (0 is padding), counts, the words by code, and their keys.
+    def prefix(self, packs: list[np.ndarray], size: int) -> list[np.ndarray]:
+        """Windows cut after ``size`` words."""
+        out = []
+        for pack, width in zip(packs, self.widths, strict=True):
+            drop = self.bits * (width - min(max(size, 0), width))
+            out.append((pack >> drop) << drop)
+            size -= width
+        return out
 
-    A window starts at each word that passes the first filter. It is padded from the end of its piece, or from the first run of k words that the k-th filter lacks.
+
+def slice_windows(texts: list[str], known: dict[bytes, int], lexicon: Lexicon, filters: list[Filter]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct lead windows of two words or more in texts of one language, packed and sorted, and their counts.
+
+    A window starts at each word of the lexicon. It ends with its piece, before a word that the lexicon lacks, or before the first run of k + 2 words that the k-th filter lacks.
     """
     here, last, names = word_codes(texts)
-    keys = mix(word_hashes(names) ^ _seed(lang))
-    if filters:
-        passed = filters[0].holds(keys)
-        passed[0] = False
-        here = np.where(passed[here], here, 0).astype(np.int32)
-    columns = [here]
-    for k in range(1, order):
+    here = np.fromiter((known.get(w, 0) for w in names), np.int32, len(names))[here]
+    columns, at, packs = [here], np.zeros(0, np.int64), []
+    sizes = iter(lexicon.widths)
+    room = next(sizes) - 1
+    for k in range(1, lexicon.order):
         after = np.append(columns[-1][1:], np.int32(0))
         both = (columns[-1] > 0) & (after > 0)
         if k == 1:
             both &= ~last
-        if k < len(filters):
+        if k <= len(filters):
+            # words of the run but its last lie in all columns so far
+            on = np.flatnonzero(both)
+            both[on] = filters[k - 1].holds(run_keys([*(c[on] for c in columns), after[on]]))
+        after[~both] = 0
+        columns = [*columns, after] if k < len(filters) else [after]
+        if k == 1:
             at = np.flatnonzero(both)
-            both[at] = filters[k].holds(run_keys(keys, [*(c[at] for c in columns), after[at]]))
-        columns.append(np.where(both, after, np.int32(0)))
-    held = here > 0
-    columns = [c[held] for c in columns]
-    if not held.any():
-        return columns, np.zeros(0, np.int64), names, keys
-    # windows as one or more integers, sorted and counted
-    bits = max(int(len(names) - 1).bit_length(), 1)
-    per = 62 // bits
-    packed = []
-    for start in range(0, order, per):
-        word = np.zeros(len(columns[0]), np.int64)
-        for c in columns[start : start + per]:
-            word = (word << bits) | c
-        packed.append(word)
-    by = np.lexsort(packed[::-1]) if len(packed) > 1 else np.argsort(packed[0], kind="stable")
-    fresh = np.ones(len(by), bool)
-    fresh[1:] = np.logical_or.reduce([p[by[1:]] != p[by[:-1]] for p in packed])
-    first = np.flatnonzero(fresh)
-    return [c[by[first]] for c in columns], np.diff(np.append(first, len(by))), names, keys
-
-
-def _counted(docs: DataFrame, order: int, filters: list[Filter], rows: Callable, schema: str) -> DataFrame:
-    """What ``rows`` makes of the windows of each slice of each language."""
-    shared = docs.sparkSession.sparkContext.broadcast([(f.words, f.drop) for f in filters])  # MOST_BITS bits each at most
+            packs.append(here[at].astype(np.int64))
+        if not room:
+            packs.append(np.zeros(len(at), np.int64))
+            room = next(sizes)
+        packs[-1] = (packs[-1] << lexicon.bits) | after[at]
+        room -= 1
+    if not len(at):
+        return packs, np.zeros(0, np.int64)
+    by = np.lexsort(packs[::-1]) if len(packs) > 1 else np.argsort(packs[0], kind="stable")
+    packs = [p[by] for p in packs]
+    first = np.flatnonzero(_fresh(packs))
+    return [p[first] for p in packs], np.diff(np.append(first, len(by)))
+
+
+def _fresh(columns: list[np.ndarray]) -> np.ndarray:
+    """Whether each of the sorted rows differs from the one before it."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def _by_language(docs: DataFrame, rows: Callable, schema: str) -> DataFrame:
+    """What ``rows`` makes of the texts of each language in each slice; it is built once in a task."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own_filters = [Filter(*f) for f in shared.value]
+        own_rows = rows()
         for frame in frames:
             for part in text_slices(frame, SLICE_CHARS):
                 for lang, own in part.groupby("lang", sort=True):
-                    yield rows(lang, *slice_windows(own["text"].tolist(), lang, order, own_filters))
+                    yield own_rows(lang, own["text"].tolist())
 
     return docs.mapInPandas(count, schema)
 
 
 def _frequent_words(docs: DataFrame, least: int) -> DataFrame:
-    """(lang, key, n) of words by hash with n at least ``least``, and a row with a null key for each language: all of its words."""
-    rows = lambda lang, columns, n, names, keys: pd.DataFrame({"lang": lang, "key": keys[columns[0]].view(np.int64), "n": n})
-    found = _counted(docs, 1, [], rows, "lang string, key long, n long")
-    return found.rollup("lang", "key").agg(F.sum("n").alias("n")).where(F.col("lang").isNotNull() & (F.col("key").isNull() | (F.col("n") >= least)))
+    """(lang, word, n) of words with n at least ``least``, and a row with a null word for each language: all of its words."""
+
+    def rows(lang, texts):
+        codes, _, names = word_codes(texts)
+        n = np.bincount(codes, minlength=len(names))
+        words = [None, *(w.decode("utf-8", "surrogatepass") for w in names[1:])]
+        return pd.DataFrame({"lang": np.full(len(words), lang, object), "word": np.array(words, object), "n": np.append(len(codes), n[1:])})
 
+    return _by_language(docs, lambda: rows, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("word").isNull() | (F.col("n") >= least))
 
-def _frequent_runs(docs: DataFrame, size: int, filters: list[Filter], drop: int, least: int) -> DataFrame:
+
+def _windows(docs: DataFrame, lexicon: Lexicon, filters: list[Filter], rows: Callable, schema: str) -> DataFrame:
+    """What ``rows`` makes of the windows of each slice of each language."""
+    shared = docs.sparkSession.sparkContext.broadcast((lexicon, [(f.words, f.drop) for f in filters]))
+
+    def build():
+        own, words = shared.value
+        ids, own_filters = own.ids(), [Filter(*f) for f in words]
+        return lambda lang, texts: rows(own, *slice_windows(texts, ids.get(lang, {}), own, own_filters))
+
+    return _by_language(docs, build, schema)
+
+
+def _frequent_runs(docs: DataFrame, words: list[tuple[str, str]], size: int, filters: list[Filter], drop: int, least: int) -> DataFrame:
     """(key, n) of runs of ``size`` words that pass, by hash without its lowest ``drop`` bits, with n at least ``least``: runs of one key are added up."""
 
-    def rows(lang, columns, n, names, keys):
+    def rows(lexicon, packs, n):
+        columns = [lexicon.word(packs, k) for k in range(size)] if packs else [np.zeros(0, np.int64)] * size
         whole = columns[-1] > 0
-        own = run_keys(keys, [c[whole] for c in columns]) >> np.uint64(drop)
-        return pd.DataFrame({"key": own.view(np.int64), "n": n[whole]})
+        return pd.DataFrame({"key": (run_keys([c[whole] for c in columns]) >> np.uint64(drop)).view(np.int64), "n": n[whole]})
+
+    return _windows(docs, Lexicon(words, size), filters, rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
 
-    return _counted(docs, size, filters, rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def prefix_counts(frames: Iterator[pd.DataFrame], lexicon: Lexicon, least: int) -> Iterator[pd.DataFrame]:
+    """(lang, size, phrase, f) of all prefixes of two words or more with f at least ``least``, of windows sorted by their packs, whichever way these are cut into frames.
+
+    Equal prefixes lie side by side, so that only the last of each size is kept from one frame to the next.
+    """
+    sizes = range(2, lexicon.order + 1)
+    last: dict[int, tuple[list[np.ndarray], np.ndarray]] = {}
+
+    def found(size: int, packs: list[np.ndarray], f: np.ndarray) -> pd.DataFrame:
+        packs, f = [p[f >= least] for p in packs], f[f >= least]
+        ids = zip(*(lexicon.word(packs, k).tolist() for k in range(size)), strict=True)
+        words = [[lexicon.words[i - 1] for i in row] for row in ids]
+        return pd.DataFrame({"lang": np.array([w[0][0] for w in words], object), "size": np.full(len(f), size, np.int32), "phrase": np.array([" ".join(x[1] for x in w) for w in words], object), "f": f})
+
+    for frame in frames:
+        whole, n = [frame[p].to_numpy(np.int64) for p in lexicon.packs], frame["n"].to_numpy(np.int64)
+        for size in sizes:
+            held = lexicon.word(whole, size - 1) > 0
+            if not held.any():
+                continue
+            packs, f = lexicon.prefix([p[held] for p in whole], size), n[held]
+            if size in last:
+                packs, f = [np.append(a, b) for a, b in zip(last[size][0], packs, strict=True)], np.append(last[size][1], f)
+            first = np.flatnonzero(_fresh(packs))
+            packs, f = [p[first] for p in packs], np.add.reduceat(f, first)
+            last[size] = [p[-1:] for p in packs], f[-1:]
+            if (f[:-1] >= least).any():
+                yield found(size, [p[:-1] for p in packs], f[:-1])
+    for size, (packs, f) in last.items():
+        yield found(size, packs, f)
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of 1 to ``order`` words with f >= least, and (lang, n).
 
-    Each word is the start of one window, its lead columns the words that follow, padded at the end of the piece. Only distinct windows are counted, and a
-    rollup over the columns sums them to all shorter prefixes: these are all phrases. Passes before it find words, then runs of 2 to PRUNED words that occur
-    ``least`` times (by hash, so too many rather than too few pass); a window is padded from the first that does not, as no phrase across it can.
+    Each frequent word is the start of one window with the frequent words that follow, up to the end of the piece. Windows are distinct in their slice, packed into integers, dealt
+    by their first two words and sorted, and one pass over them sums all their prefixes: these are all phrases. Rows grow with the words of the input, as no run of words is
+    pruned by its own count unless PRUNED says so: how many runs pass such a test grows faster than the input, from few in a small table to nearly all in a large one.
     """
     ones = scratch.put(_frequent_words(docs, least), "words")
-    filters = [build_filter(ones.where("key IS NOT NULL"))]
-    total = ones.where("key IS NULL").agg(F.sum("n")).first()[0] or 0
-    # some keys for each word of the table: less would join many rare runs to frequent ones, more would only make longer rows
-    drop = max(0, 64 - int(total).bit_length() - SPARE_BITS)
-    for size in range(2, min(PRUNED, order) + 1):
-        runs = scratch.put(_frequent_runs(docs, size, filters, drop, least), f"runs-{size}")
-        filters.append(build_filter(runs, drop))
-    places = [f"w{k}" for k in range(1, order + 1)]
-
-    def rows(lang, columns, n, names, keys):
-        used, at = np.unique(np.concatenate(columns), return_inverse=True)
-        text = np.array([names[k].decode("utf-8", "surrogatepass") for k in used.tolist()], object)[at].reshape(order, -1)
-        return pd.DataFrame({"lang": lang, **dict(zip(places, text, strict=True)), "n": n})
-
-    windows = _counted(docs, order, filters, rows, f"lang string, {', '.join(f'{p} string' for p in places)}, n long")
-    windows = windows.groupBy("lang", *places).agg(F.sum("n").alias("n"))
-    sums = windows.rollup("lang", *places).agg(F.sum("n").alias("f"), F.grouping_id().alias("_set")).where(F.col("f") >= least)
-    # the grouping set has a bit for each column that is summed over, the last column the lowest
-    size = F.lit(order) - F.bit_count("_set")
-    whole = (F.col("lang").isNotNull()) & (size > 0) & (F.element_at(F.array(*places), F.greatest(size, F.lit(1)).cast("int")) != "")
-    counts = sums.where(whole).select("lang", size.cast("int").alias("size"), F.array_join(F.array(*places), " ").alias("phrase"), "f")
-    return scratch.put(counts, "phrases"), ones.where("key IS NULL").select("lang", "n")
+    singles = ones.where("word IS NOT NULL")
+    # at most one in ``least`` of all words, far fewer in any language
+    words = [(r["lang"], r["word"]) for r in singles.select("lang", "word").orderBy("lang", "word").toLocalIterator()]
+    lexicon, filters = Lexicon(words, order), []
+    if PRUNED > 1:
+        total = ones.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
+        # some keys for each word of the table: less would join many rare runs to frequent ones, more would only make longer rows
+        drop = max(0, 64 - int(total).bit_length() - SPARE_BITS)
+        for size in range(2, min(PRUNED, order) + 1):
+            runs = scratch.put(_frequent_runs(docs, words, size, filters, drop, least), f"runs-{size}")
+            filters.append(build_filter(runs, drop))
+    rows = lambda lexicon, packs, n: pd.DataFrame({**dict(zip(lexicon.packs, packs or [n] * len(lexicon.packs), strict=True)), "n": n})
+    schema = ", ".join(f"{p} long" for p in lexicon.packs) + ", n int"
+    windows = _windows(docs, lexicon, filters, rows, schema)
+    two = F.shiftright(F.col("p0"), lexicon.bits * (lexicon.widths[0] - 2))
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    longer = windows.repartition(two).sortWithinPartitions(*lexicon.packs).mapInPandas(lambda frames: prefix_counts(frames, shared.value, least), "lang string, size int, phrase string, f long")
+    counts = singles.select("lang", F.lit(1).alias("size"), F.col("word").alias("phrase"), F.col("n").alias("f")).unionByName(longer)
+    return scratch.put(counts, "phrases"), ones.where("word IS NULL").select("lang", "n")
 
 
 def mine_phrases(docs: DataFrame, order: int = ORDER, least: int = LEAST, top: int = TOP) -> DataFrame:
