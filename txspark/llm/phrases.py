@@ -100,8 +100,9 @@ class Lexicon:
     def __init__(self, words: list[tuple[str, str]], order: int):
         self.words, self.order = words, order
         self.bits = max(len(words).bit_length(), 1)
+        # the two words that windows are dealt by lie apart, so that rows beside each other differ in one place only and compress well
         per = 62 // self.bits
-        self.widths = [min(per, order - start) for start in range(0, order, per)]
+        self.widths = [min(2, order), *(min(per, order - start) for start in range(2, order, per))]
         self.packs = [f"p{i}" for i in range(len(self.widths))]
 
     def ids(self) -> dict[str, dict[bytes, int]]:
