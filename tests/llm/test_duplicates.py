@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm import cases
-from txspark.llm import minhash
+from txspark.llm import minhash, staging
 from txspark.llm.components import connected_components
 from txspark.llm.embeddings import near_vectors, normalise, quantise
 from txspark.llm.minhash import band_keys, near_duplicates, shared_counts, shingle_sets, signatures
@@ -89,6 +89,26 @@ def test_documents_with_a_shared_template(spark, monkeypatch, tile):
     assert 20 < sum(not r["kept"] for r in got) < 60
 
 
+def test_no_table_that_grows_is_broadcast(spark, monkeypatch):
+    """Files of ids look small to Spark: beyond the counted bound, no join sends a side through the driver, the rows by tile least of all."""
+    plans = {}
+
+    class Noted(minhash.Scratch):
+        def put(self, df, name):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return super().put(df, name)
+
+    monkeypatch.setattr(minhash, "Scratch", Noted)
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", 0)
+    rng = random.Random(5)
+    template = cases.words(rng, 420)
+    docs = spark.createDataFrame([(g, template + " " + cases.words(rng, 82)) for g in range(40)] + [(50, template), (51, template + " x")], "doc_id long, text string")
+    check_documents(docs.collect(), near_duplicates(docs).collect())
+    assert {"reps", "candidates", "open", "rest", "links-3"} <= set(plans)
+    for name in ("reps", "candidates", "placed", "chains", "rest", "sets", "links-3"):
+        assert "Broadcast" not in plans[name], name
+
+
 def test_shared_counts():
     rng = np.random.default_rng(6)
     sets = [np.unique(np.concatenate([rng.integers(0, 60, 30), rng.integers(100, 2000, k)]).astype(np.uint64)) for k in (0, 5, 400, 900) * 12] + [np.zeros(0, np.uint64)]

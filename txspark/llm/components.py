@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "compon
         large = both.join(few_rows(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.put(large, f"{name}-large-{turn}")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(few_rows(least, large), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = scratch.put(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{name}-{turn}")
         scratch.drop(f"{name}-large-{turn}", f"{name}-least-{turn}", f"{name}-{turn - 1}")
         was, state = state, _digest(after)

@@ -227,12 +227,13 @@ def _rest(texts: DataFrame, reps: DataFrame, groups: DataFrame, scratch: Scratch
     of = of.select("cluster", F.col("most.component").alias("largest"), blocks(F.col("most.n"), F.col("most.s")).alias("n_large"), blocks(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.s")).alias("n_other"))
     draw = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     # blocks of the others come first, then those of the largest group
-    numbered = rows.join(of, "cluster").withColumn("block", F.when(F.col("component") == F.col("largest"), F.col("n_other") + draw("n_large")).otherwise(draw("n_other")))
+    numbered = rows.join(few_rows(of, rows), "cluster").withColumn("block", F.when(F.col("component") == F.col("largest"), F.col("n_other") + draw("n_large")).otherwise(draw("n_other")))
     meets = F.when(F.col("block") < F.col("n_other"), F.sequence(F.lit(0), F.col("n_other") + F.col("n_large") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_other") - 1))
     tiles = numbered.select("doc_id", "component", "cluster", "block", F.explode(meets).alias("with"))
     tiles = tiles.select("doc_id", "component", "cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"))
     sets = texts.join(few_rows(rows.select("doc_id")), "doc_id", "left_semi").mapInPandas(_sets, "doc_id long, shingles binary")
-    return tiles.join(scratch.put(sets, "sets"), "doc_id").groupBy("cluster", "i", "j").applyInPandas(_tile_links(least_percent), "a long, b long")
+    # a document has a row for each tile that it is in, which Spark's estimate of the size of tiles does not know
+    return tiles.hint("merge").join(scratch.put(sets, "sets"), "doc_id").groupBy("cluster", "i", "j").applyInPandas(_tile_links(least_percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
@@ -256,8 +257,8 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     classes = scratch.put(described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     often = scratch.put(described.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "often")
     once = _once(texts, often)
-    # equal rows have equal sketches
-    reps = scratch.put(_once(described, often).join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch", "bands"), "reps")
+    # equal rows have equal sketches; tables of about as many rows as documents are joined by a shuffle, however small their files look
+    reps = scratch.put(_once(described, often).join(classes.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch", "bands"), "reps")
 
     member = reps.select("doc_id", F.explode("bands").alias("bucket"))
     first = [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)).alias("order"), F.col("doc_id").alias("id")))["id"] for k in range(1, CENTRES)]
@@ -268,7 +269,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     slim = reps.select("doc_id", "n_shingles", "sketch")
     side = lambda x: slim.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     # edges are written first, so that a centre of very many is a hot key of a plain join, which adaptive execution splits
-    sized = scratch.put(edges, "edges").join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= least_percent * F.greatest("n_a", "n_b"))
+    sized = scratch.put(edges, "edges").hint("merge").join(side("a"), "a").hint("merge").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= least_percent * F.greatest("n_a", "n_b"))
     alike = sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(_agreement, "a long, b long, n_a long, n_b long, alike double").where(F.col("alike") >= LEAST_AGREEMENT)
     candidates = scratch.put(alike, "candidates")
     scratch.drop("edges")
@@ -276,16 +277,16 @@ def near_duplicates(docs: DataFrame, least_percent: int = 75) -> DataFrame:
     best = candidates.groupBy("a").agg(F.max(F.struct("alike", "b", "n_a", "n_b")).alias("x")).select("a", "x.b", "x.n_a", "x.n_b")
     best = scratch.put(best, "best")
     links = scratch.put(_confirmed(once, best, least_percent, scratch), "links-1")
-    groups = connected_components(links, scratch, "groups-1")
+    groups = few_rows(connected_components(links, scratch, "groups-1"))
     of = lambda x: groups.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
     open_pairs = candidates.drop("alike").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "n_a", "n_b")
-    open_pairs = scratch.put(open_pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), "open")
+    open_pairs = scratch.put(open_pairs.join(few_rows(best.select("a", "b")), ["a", "b"], "left_anti"), "open")
     scratch.free_shuffles()
     links = links.unionByName(scratch.put(_confirmed(once, open_pairs, least_percent, scratch), "links-2"))
-    groups = connected_components(links, scratch, "groups-2")
+    groups = few_rows(connected_components(links, scratch, "groups-2"))
     more = _rest(once, reps, groups, scratch, least_percent)
     if more is not None:
-        groups = connected_components(links.unionByName(scratch.put(more, "links-3")), scratch, "groups-3")
+        groups = few_rows(connected_components(links.unionByName(scratch.put(more, "links-3")), scratch, "groups-3"))
     scratch.free_shuffles()
 
     component = classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))

@@ -54,6 +54,10 @@ class Scratch:
         self.spark._jvm.System.gc()
 
 
-def few_rows(df: DataFrame) -> DataFrame:
-    """A narrow written table, marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def few_rows(df: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """A narrow table, marked for broadcast if it has few rows, else for a join by shuffle: Spark's own choice goes by the size of compressed files, and the driver would hold many times that.
+
+    ``of`` is a written table that has no fewer rows, counted in place of one that would be computed for it.
+    """
+    counted = df if of is None else of
+    return F.broadcast(df) if counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df.hint("merge")
