@@ -53,6 +53,47 @@ def test_many_tracks_share_one_join(spark):
     assert (c["e_coverage"], c["e_mean"], c["e_extract_names"], c["m1"]) == (0.0, 0.0, None, None) and d["e_coverage"] is None
 
 
+def test_depth_is_swept_once_for_all_intervals(spark):
+    """Depth comes from segments of the track, over any tile: what is shuffled by interval are sums, not the ends of each overlap."""
+    rng = random.Random(9)
+    entries = [(c, s, s + rng.choice([0, 1, 7, 30, 400]), "x") for c in ("a", "b") for s in (rng.randrange(-40, 900) for _ in range(150))]
+    df = spark.createDataFrame(entries, "chromosome string, start long, end long, rest string")
+    depth = {c: [0] * 1400 for c in ("a", "b")}
+    for c, s, e, _ in entries:
+        for x in range(s, e):
+            depth[c][x + 50] += 1
+    for tile in (1, 13, 256, tracks.TILE):
+        got = {c: [0] * 1400 for c in ("a", "b")}
+        for r in tracks.depth_segments(df, tile=tile).collect():
+            for x in range(r["start"], r["end"]):
+                assert got[r["chromosome"]][x + 50] == 0
+                got[r["chromosome"]][x + 50] = r["value"]
+        assert got == depth, tile
+    iv = [(rng.choice("abc"), s, s + rng.choice([1, 3, 20, 300]), f"t{i}") for i, s in enumerate(rng.randrange(0, 1000) for _ in range(40))]
+    spec = [{"path": p, "stat": s, "name": f"{p}_{s}", "upstream": 2 * (p == "f")} for p in ("e", "f") for s in ("coverage", "mean", "min", "max", "sum")]
+    found = tracks.query_tracks(spark.createDataFrame(iv, INTERVALS), spec, {"e": ("entry", df), "f": ("entry", df.where("start % 2 = 0"))})
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    for r in found.collect():
+        if r["chromosome"] == "c":
+            assert r["e_sum"] is None and r["f_max"] is None
+            continue
+        own = depth[r["chromosome"]][r["start"] + 50 : r["end"] + 50]
+        some = [d for d in own if d]
+        want = (len(some) / len(own), sum(some) / len(some) if some else 0, min(some, default=0), max(some, default=0), sum(some))
+        assert [r[f"e_{s}"] for s in ("coverage", "mean", "min", "max", "sum")] == pytest.approx(list(want))
+
+
+def test_bins_are_as_long_as_the_typical_interval(spark):
+    """A few short intervals do not make all of the other side show itself at their level too."""
+    a = spark.createDataFrame([("c", 7 * i, 7 * i + (40 if i % 10 else 3), f"t{i}") for i in range(100)], INTERVALS)
+    b = spark.createDataFrame([("c", i, i + 1, f"s{i}") for i in range(700)], INTERVALS)
+    pairs = intervals.overlap_join(a, b, 16)
+    assert pairs.count() == sum(min(7 * i + (40 if i % 10 else 3), 700) - 7 * i for i in range(100))
+    levels = intervals.interval_levels(a, 16)
+    assert levels == {0: 10, 1: 90} and intervals.typical_level(levels) == 1 and intervals.typical_level({}) == 0
+    assert intervals.in_bins(b, "start", "end", [1], "own", 16, 1).count() == 700
+
+
 def test_running_totals_over_many_slices(spark):
     df = spark.range(6_000).select((F.col("id") * 7919 % 6_007).cast("double").alias("x"), (F.col("id") % 5).alias("n"))
     with_n = ordered.in_slices(df, "x", 1_000).coalesce(8)
