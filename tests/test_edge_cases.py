@@ -1,6 +1,7 @@
 """Hand-made cases with answers computed by hand."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -348,6 +349,39 @@ def test_kmers_of_long_sequences(spark, monkeypatch):
     assert kmers.reduce_sequences(df.where("false"), 3, 6).count() == 0
 
 
+def test_short_and_long_sequences_have_the_same_components(spark, monkeypatch):
+    """Windows of short texts are looked up, counts of long ones multiplied: scores are the same either way."""
+    rng = random.Random(17)
+    seqs = [(f"t{i}", "".join(rng.choice("ACGT") for _ in range(rng.choice([2, 3, 5, 20, 50, 400])))) for i in range(60)] + [("n", "ACNNACGTN"), ("none", "NN")]
+    df = spark.createDataFrame(seqs, "transcript_id string, sequence string")
+    found = []
+    for short in (-1, 100, 10_000):
+        monkeypatch.setattr(kmers, "SHORT", short)
+        monkeypatch.setattr(kmers, "WINDOWS", 700)
+        found.append({(r["transcript_id"], r["name"]): r["score"] for by_k in (True, False) for r in kmers.sequence_components(df, 3, 8, 2, by_k).collect()})
+    assert found[1] == pytest.approx(found[0], abs=1e-8) and found[2] == pytest.approx(found[0], abs=1e-8) and ("none", "SVD_0") not in found[2]
+
+
+def test_a_slow_spectrum_takes_few_rounds():
+    """Directions of all rounds count: 40 rounds of powers alone leave these values wrong."""
+    rng = np.random.default_rng(3)
+    values = 0.995 ** np.arange(400)
+    basis = np.linalg.qr(rng.standard_normal((400, 400)))[0]
+    gram, rounds = (basis * values) @ basis.T, []
+
+    def times(rows, q):
+        rounds.append({b: m.shape[1] for b, m in q.items()})
+        return {b: gram @ m for b, m in q.items()}
+
+    s, v = kmers.right_vectors(None, {5: 400}, {5: 2}, times)[5]
+    assert np.abs(s**2 - values[:2]).max() < 1e-6 and np.abs(np.abs(basis[:, :2].T @ v) - np.eye(2)).max() < 1e-2
+    assert len(rounds) <= 40 and max(r[5] for r in rounds) <= 4
+    for m, wanted in ((1, 1), (8, 2), (12, 1), (30, 29)):
+        part = gram[:m, :m]
+        s, v = kmers.right_vectors(None, {0: m}, {0: wanted}, lambda rows, q, part=part: {b: part @ x for b, x in q.items()})[0]
+        assert np.abs(s**2 - np.sort(np.linalg.eigvalsh(part))[::-1][:wanted]).max() < 1e-9 and v.shape == (m, wanted)
+
+
 def test_overlap_join_is_no_broadcast(spark):
     """The rows by bin of a side that looks small stay off the driver, and a side shows itself only at levels that the other has."""
     a = spark.createDataFrame([("c", i, i + 5, f"t{i}") for i in range(50)], "chromosome string, start long, end long, transcript_id string")
